@@ -1,0 +1 @@
+"""Reserved: every load in this engine replaces a whole table, so there is no streaming operator."""
