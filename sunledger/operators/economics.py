@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sunledger.functions.scalars import per_thousand, ratio, safe_ratio
 from sunledger.functions.timeops import local_date, month_start
 from sunledger.operators.balance import TARIFF_COLUMNS
+from sunledger.operators.rollups import exact_sum
 from sunledger.settings import BATTERY_COST_CHF_PER_KWH
 
 BATTERY_ENERGY = (
@@ -70,8 +71,8 @@ def battery_monthly(daily: DataFrame) -> DataFrame:
     """Monthly KPIs per (asset, month, capacity), ratios re-derived from the sums."""
     sums = daily.groupBy("asset_id", month_start("date").alias("month"), "battery_capacity_kwh").agg(
         *[F.sum(c).alias(c) for c in BATTERY_ENERGY],
-        F.round(F.sum("co2_avoided_kg"), 2).alias("co2_avoided_kg"),
-        F.round(F.sum("net_chf_cost"), 2).alias("net_chf_cost"),
+        F.round(exact_sum("co2_avoided_kg", 3), 2).cast("double").alias("co2_avoided_kg"),
+        exact_sum("net_chf_cost", 2).cast("double").alias("net_chf_cost"),
     )
     return sums.withColumns(
         {

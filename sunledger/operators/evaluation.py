@@ -123,7 +123,7 @@ def error_metrics_by_split(
                 )
             )
     one_row = filter_target(attached, target).agg(F.min("model_version").alias("model_version"), *figures)
-    return one_row.select(
+    return one_row.where(F.col("model_version").isNotNull()).select(
         F.lit(target).alias("target"), "model_version", F.explode(F.array(*entries)).alias("e")
     ).select("target", "model_version", "e.*")
 

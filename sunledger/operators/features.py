@@ -80,11 +80,13 @@ def lag_after_join(
     return lag_rows(enriched, lags, rows_per_task=rows_per_task, sized_by=sized_by)
 
 
-def pv_features(pv: DataFrame, weather: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def pv_features(
+    pv: DataFrame, weather: DataFrame, rows_per_task: int = ROWS_PER_TASK, sized_by: DataFrame | None = None
+) -> DataFrame:
     """PV target with lags, calendar and weather."""
     base = pv.select(*SERIES_KEY, "ts_local", "pv_power_kw")
     lags = {name: ("pv_power_kw", n) for name, n in zip(PV_LAGS, LAGS)}
-    lagged = lag_rows(pv_weather_join(base, weather), lags, rows_per_task=rows_per_task, sized_by=base)
+    lagged = lag_rows(pv_weather_join(base, weather), lags, rows_per_task=rows_per_task, sized_by=sized_by or base)
     return lagged.withColumns(
         {
             "hour_of_day": hour_of_day("ts_local"),
@@ -102,6 +104,7 @@ def price_features(
     genmix: DataFrame,
     day_ahead_safe: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Price target with lags, calendar, holiday flag, weather, load forecast and the mix of 24 rows earlier.
 
@@ -113,7 +116,7 @@ def price_features(
     lags = {name: ("price_eur_mwh", n) for name, n in zip(PRICE_LAGS, LAGS)}
     lags |= {name: (c, 24) for name, c in zip(MIX_LAGS, MIX)}
     enriched = price_enrich_join(base, weather, load_forecast, genmix)
-    lagged = lag_rows(enriched, lags, rows_per_task=rows_per_task, sized_by=base)
+    lagged = lag_rows(enriched, lags, rows_per_task=rows_per_task, sized_by=sized_by or base)
     dated = lagged.withColumns({"hour_of_day": hour_of_day("ts_local"), "day_of_week": day_of_week("ts_local")})
     flagged = holiday_join(dated.withColumn("is_weekend", is_weekend("day_of_week")), holidays)
     columns = [c for c in PRICE_FEATURE_COLUMNS if not (day_ahead_safe and c == "price_lag_1h")]

@@ -105,10 +105,10 @@ def train_forecaster(
         featureSubsetStrategy=str(column_sample),
         lossType="squared",
         seed=seed,
-        validationIndicatorCol="is_validation",
-        validationTol=tolerance,
     )
     try:
+        if not training.where("is_validation").isEmpty():
+            trees = trees.setParams(validationIndicatorCol="is_validation", validationTol=tolerance)
         fitted = trees.fit(training)
     finally:
         training.unpersist()

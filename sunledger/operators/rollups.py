@@ -21,6 +21,12 @@ ENERGY = {
 }
 
 
+def exact_sum(column: str, digits: int) -> Column:
+    """Sum of figures already rounded to `digits` decimals, added as decimals: the result does not depend on the
+    order of the rows, so rounding it again is reproducible."""
+    return F.sum(F.col(column).cast(f"decimal(18,{digits})"))
+
+
 def kpi_daily(facts: DataFrame) -> DataFrame:
     """Daily KPIs per asset, local day and tariff; kW over one hour is kWh."""
     keys = ["asset_id", local_date("ts_local").alias("date"), *TARIFF_COLUMNS]
@@ -42,8 +48,8 @@ def kpi_monthly(daily: DataFrame) -> DataFrame:
     money add up the rounded daily figures."""
     sums = daily.groupBy("asset_id", month_start("date").alias("month")).agg(
         *[F.sum(c).alias(c) for c in ENERGY],
-        F.round(F.sum("co2_avoided_kg"), 2).alias("co2_avoided_kg"),
-        F.round(F.sum("chf_saved"), 2).alias("chf_saved"),
+        F.round(exact_sum("co2_avoided_kg", 3), 2).cast("double").alias("co2_avoided_kg"),
+        exact_sum("chf_saved", 2).cast("double").alias("chf_saved"),
     )
     return sums.select(
         "asset_id",

@@ -14,14 +14,19 @@ KEYS = ("asset_id",)
 
 def chunk_span(df: DataFrame, keys: Sequence[str], ts: str, rows_per_task: int) -> int | None:
     """None when no series holds more than `rows_per_task` rows; else the chunk length in microseconds that
-    brings the densest long series down to about that many rows per chunk. One aggregate, one row back."""
+    brings the densest long series down to about that many rows per chunk.
+
+    The usual case costs one pre-aggregated count over the key column; times are read only if a series is long.
+    One number comes back to the driver.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    longest = sizes.agg(F.max("n")).first()[0]
+    if longest is None or longest <= rows_per_task:
+        return None
     stamp = F.unix_micros(F.col(ts).cast("timestamp"))
-    sizes = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), (F.max(stamp) - F.min(stamp) + 1).alias("micros")
-    )
-    long_series = sizes.where(F.col("n") > rows_per_task)
-    span = long_series.agg(F.min(F.col("micros") / F.col("n") * rows_per_task)).first()[0]
-    return None if span is None else max(1, int(span))
+    extents = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.max(stamp) - F.min(stamp) + 1).alias("micros"))
+    span = extents.where(F.col("n") > rows_per_task).agg(F.min(F.col("micros") / F.col("n") * rows_per_task))
+    return max(1, int(span.first()[0]))
 
 
 def lag_rows(
@@ -35,8 +40,8 @@ def lag_rows(
     """Add `name = column n rows earlier in the series` for each `name: (column, n)`.
 
     All lags share one window: one shuffle on the series key and one sort. That is the best plan as long as every
-    series fits a task, which is measured first (on `sized_by`, a cheaper frame with the same keys and times, if
-    given). A longer series is cut into time chunks, see `lag_rows_chunked`.
+    series fits a task, which is measured first: on `sized_by` if given, a frame that is cheaper to count and has at
+    least as many rows per key. A longer series is cut into time chunks, see `lag_rows_chunked`.
     """
     span = chunk_span(df if sized_by is None else sized_by, keys, ts, rows_per_task)
     if span is not None:

@@ -15,7 +15,7 @@ from sunledger.operators.economics import border_flows
 from sunledger.operators.features import PRICE_LAGS, PV_LAGS, price_features, pv_features
 from sunledger.operators.forecasting import chronological_split, forecast_rows, stack_forecasts
 from sunledger.operators.staging import genmix_pivot
-from sunledger.session import pin_session
+from sunledger.session import pin_session, scratch_path
 from sunledger.settings import BATTERY_CAPACITIES_KWH
 from sunledger.sources.tables import scan_ordered
 
@@ -146,7 +146,7 @@ class Bindings:
     @cached_property
     def supplier_rows(self) -> DataFrame:
         return self.table("lineitem").select(
-            F.col("l_suppkey").alias("asset_id"),
+            F.col("l_suppkey").cast("string").alias("asset_id"),
             (F.col("l_shipdate") + _hours(F.col("l_partkey") % 24)).cast("timestamp").alias("ts_utc"),
             "l_extendedprice",
             "l_returnflag",
@@ -178,7 +178,7 @@ class Bindings:
     def supplier_facts(self) -> DataFrame:
         """Fleet-wide facts; tariffs by the supplier's region stand in for the asset dimension."""
         nation = self.table("nation").select("n_nationkey", "n_regionkey")
-        site = self.table("supplier").select(F.col("s_suppkey").alias("asset_id"), F.col("s_nationkey").alias("n_nationkey"))
+        site = self.table("supplier").select(F.col("s_suppkey").cast("string").alias("asset_id"), F.col("s_nationkey").alias("n_nationkey"))
         tariffs = self.dim_asset.withColumnRenamed("asset_id", "n_regionkey")
         assets = site.join(nation, "n_nationkey").join(tariffs, "n_regionkey")
         return asset_facts(split_flows(self.supplier_hourly), assets)
@@ -244,20 +244,39 @@ class Bindings:
     @cached_property
     def price_features(self) -> DataFrame:
         return price_features(
-            self.price_hourly, self.holidays, self.price_weather, self.price_load_forecast, self.price_genmix
+            self.price_hourly,
+            self.holidays,
+            self.price_weather,
+            self.price_load_forecast,
+            self.price_genmix,
+            sized_by=self.order_series,
         )
 
     @cached_property
     def pv_features(self) -> DataFrame:
-        return pv_features(self.supplier_hourly, self.supplier_weather)
+        return pv_features(self.supplier_hourly, self.supplier_weather, sized_by=self.supplier_rows)
+
+    # The feature tables as stored marts: splits, forecasts and metrics read them several times.
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def price_mart(self) -> DataFrame:
+        return self._stored(self.price_features, "price-features")
+
+    @cached_property
+    def pv_mart(self) -> DataFrame:
+        return self._stored(self.pv_features, "pv-features")
 
     @cached_property
     def price_split(self) -> DataFrame:
-        return chronological_split(scan_ordered(self.price_features, PRICE_LAGS))
+        return chronological_split(scan_ordered(self.price_mart, PRICE_LAGS))
 
     @cached_property
     def pv_split(self) -> DataFrame:
-        return chronological_split(scan_ordered(self.pv_features, PV_LAGS))
+        return chronological_split(scan_ordered(self.pv_mart, PV_LAGS))
 
     def blend(self, split: DataFrame, target: str, prefix: str) -> DataFrame:
         """A fixed blend of both naive forecasts over the test window, standing in for a trained model."""

@@ -30,14 +30,12 @@ def forecast_rows(b: Bindings) -> DataFrame:
 
 @query(
     """
-SELECT asset_id AS asset_id, ts_utc, ts_local, target, round(y_pred, 3) AS y_pred, y_true, model_version
-FROM (SELECT * REPLACE (CAST(asset_id AS VARCHAR) AS asset_id) FROM price_blend
-      UNION ALL SELECT * REPLACE (CAST(asset_id AS VARCHAR) AS asset_id) FROM pv_blend) AS stacked
+SELECT asset_id, ts_utc, ts_local, target, round(y_pred, 3) AS y_pred, y_true, model_version
+FROM (SELECT * FROM price_blend UNION ALL SELECT * FROM pv_blend) AS stacked
 """
 )
 def stack_forecasts(b: Bindings) -> DataFrame:
-    text = lambda df: df.withColumn("asset_id", F.col("asset_id").cast("string"))
-    return rounded(forecasting.stack_forecasts(text(b.price_blend), text(b.pv_blend)), 3)
+    return rounded(b.forecasts, 3)
 
 
 @query("SELECT target, count(*) AS n FROM (SELECT target FROM price_blend UNION ALL SELECT target FROM pv_blend) AS s GROUP BY 1")
@@ -87,12 +85,12 @@ def forecast_lift(b: Bindings) -> DataFrame:
 
 @query(
     """
-SELECT CAST(extract(hour FROM ts_local) AS INTEGER) AS hour_of_day, round(avg(abs(y_pred - y_true)), 4) AS mae
+SELECT CAST(extract(hour FROM ts_local) AS INTEGER) AS hour_of_day, round(avg(abs(y_pred - y_true)), 6) AS mae
 FROM price_blend GROUP BY 1
 """
 )
 def mae_by_hour(b: Bindings) -> DataFrame:
-    return rounded(evaluation.mae_by_hour(b.forecasts, "price_eur_mwh"), 4)
+    return rounded(evaluation.mae_by_hour(b.forecasts, "price_eur_mwh"), 6)
 
 
 GATE_SQL = """
@@ -131,21 +129,21 @@ def acceptance_gate_pv(b: Bindings) -> DataFrame:
 @query()
 def train_price(b: Bindings) -> DataFrame:
     """Train, score the test window, and return the gate row."""
-    split = b.price_split.persist()
+    split = b.price_split
     model = forecasting.train_price(split, VERSION)
     return rounded(forecasting.price_gate(forecasting.score_test_window(split, model)), 4)
 
 
 @query()
 def train_pv(b: Bindings) -> DataFrame:
-    split = b.pv_split.persist()
+    split = b.pv_split
     model = forecasting.train_pv(split, VERSION)
     return rounded(forecasting.pv_gate(forecasting.score_test_window(split, model)), 4)
 
 
 @query()
 def score_test_window(b: Bindings) -> DataFrame:
-    split = b.price_split.persist()
+    split = b.price_split
     model = forecasting.train_price(split, VERSION)
     scored = forecasting.score_test_window(split, model)
     return forecasting.forecast_rows(scored, "price_eur_mwh", VERSION)
@@ -154,7 +152,7 @@ def score_test_window(b: Bindings) -> DataFrame:
 @query()
 def model_bundle(b: Bindings) -> DataFrame:
     """Predictions of a bundle that was saved and loaded again."""
-    split = b.price_split.persist()
+    split = b.price_split
     path = scratch_path(b.spark, "bundle")
     forecasting.save_bundle(forecasting.train_price(split, VERSION), b.spark, path)
     model = forecasting.load_bundle(b.spark, path)

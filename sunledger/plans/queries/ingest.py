@@ -213,8 +213,8 @@ def scan_ordered_pv(b: Bindings) -> DataFrame:
 
 
 def price_and_pv_metrics(b: Bindings) -> DataFrame:
-    price = attach_baselines(b.price_blend, b.price_features, "price")
-    pv = attach_baselines(b.pv_blend, b.pv_features, "pv")
+    price = attach_baselines(b.price_blend, b.price_mart, "price")
+    pv = attach_baselines(b.pv_blend, b.pv_mart, "pv")
     return error_metrics_by_split(price, "price_eur_mwh").unionByName(error_metrics_by_split(pv, "pv_power_kw"))
 
 

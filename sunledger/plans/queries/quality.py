@@ -159,7 +159,7 @@ def check_split_bounds(b: Bindings) -> DataFrame:
     )
 )
 def check_split_total(b: Bindings) -> DataFrame:
-    source = b.price_features.dropna(subset=list(PRICE_LAGS))
+    source = b.price_mart.dropna(subset=list(PRICE_LAGS))
     return quality.check_split_total(b.price_split, source, "price_features")
 
 

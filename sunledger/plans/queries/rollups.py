@@ -59,12 +59,12 @@ def kpi_monthly_fleet(b: Bindings) -> DataFrame:
 @query(
     """
 SELECT round(avg(self_consumption_ratio), 6) AS avg_sc_ratio, round(avg(autarky_ratio), 6) AS avg_autarky,
-  round(sum(co2_avoided_kg) / 1000, 4) AS total_co2_t, round(sum(chf_saved) / 5, 3) AS avg_chf_yr FROM fleet_monthly
+  round(sum(co2_avoided_kg) / 1000, 6) AS total_co2_t, round(sum(chf_saved) / 5, 4) AS avg_chf_yr FROM fleet_monthly
 """
 )
 def kpi_overview(b: Bindings) -> DataFrame:
     overview = rollups.kpi_overview(fleet_monthly(b), n_years=5)
-    digits = {"avg_sc_ratio": 6, "avg_autarky": 6, "total_co2_t": 4, "avg_chf_yr": 3}
+    digits = {"avg_sc_ratio": 6, "avg_autarky": 6, "total_co2_t": 6, "avg_chf_yr": 4}
     return overview.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 

@@ -397,7 +397,7 @@ FROM price_blend b LEFT JOIN price_features p ON b.asset_id = p.asset_id AND b.t
 """
 )
 def forecast_vs_seasonal(b: Bindings) -> DataFrame:
-    return rounded(evaluation.forecast_vs_seasonal(b.forecasts, b.price_features), 3)
+    return rounded(evaluation.forecast_vs_seasonal(b.forecasts, b.price_mart), 3)
 
 
 @query(
@@ -407,7 +407,7 @@ FROM pv_blend b LEFT JOIN pv_features p ON b.asset_id = p.asset_id AND b.ts_utc
 """
 )
 def forecast_vs_persistence(b: Bindings) -> DataFrame:
-    return rounded(evaluation.forecast_vs_persistence(b.forecasts, b.pv_features), 3)
+    return rounded(evaluation.forecast_vs_persistence(b.forecasts, b.pv_mart), 3)
 
 
 @query(
@@ -417,7 +417,7 @@ SELECT asset_id, ts_utc, ts_local, target, round(y_pred, 3) AS y_pred, y_true, m
 """
 )
 def attach_baselines(b: Bindings) -> DataFrame:
-    return rounded(evaluation.attach_baselines(b.price_blend, b.price_features, "price"), 3)
+    return rounded(evaluation.attach_baselines(b.price_blend, b.price_mart, "price"), 3)
 
 
 # ---- pivot of the long generation table
