@@ -18,23 +18,23 @@ def col(c: Column | str) -> Column:
 
 
 def utc_to_local(ts: Column | str, zone: str = ZONE) -> Column:
-    """Wall time in `zone` of an instant."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), col(ts).cast("timestamp_ntz"))
+    """Wall time in `zone` of an instant.
+
+    `from_utc_timestamp` resolves a literal zone once per task, `convert_timezone` once per row (several times
+    slower); the cast back to a wall clock relies on the session zone being UTC.
+    """
+    return F.from_utc_timestamp(col(ts).cast("timestamp"), zone).cast("timestamp_ntz")
 
 
 def localize_wall_clock(local: Column | str, zone: str = ZONE) -> Column:
     """Instant of a naive wall clock: a skipped time moves to the first valid instant, a repeated one is
     read as standard time. Assumes one-hour shifts that start on a full UTC hour, as in Europe."""
-    wall = col(local).cast("timestamp_ntz")
-    first = F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
+    wall = col(local).cast("timestamp")
+    first = F.to_utc_timestamp(wall, zone)
     second = first + F.expr(HOUR)
-    shown = F.convert_timezone(F.lit("UTC"), F.lit(zone), first)
-    shown_later = F.convert_timezone(F.lit("UTC"), F.lit(zone), second)
-    return (
-        F.when(shown != wall, F.date_trunc("hour", first))
-        .when(shown_later == wall, second.cast("timestamp"))
-        .otherwise(first.cast("timestamp"))
-    )
+    shown = F.from_utc_timestamp(first, zone)
+    shown_later = F.from_utc_timestamp(second, zone)
+    return F.when(shown != wall, F.date_trunc("hour", first)).when(shown_later == wall, second).otherwise(first)
 
 
 def floor_hour(ts: Column | str) -> Column:

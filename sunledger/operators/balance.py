@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions.scalars import at_least_zero
+from sunledger.operators.sizing import join_dimension
 
 FACT_COLUMNS = (
     "asset_id",
@@ -42,8 +43,7 @@ def energy_balance(pv: DataFrame, load: DataFrame) -> DataFrame:
 
 
 def asset_facts(balance: DataFrame, assets: DataFrame) -> DataFrame:
-    """Balance rows with tariff and carbon constants. The asset table is broadcast when Spark measures it to be
-    small; otherwise adaptive execution splits the partition of a hot asset."""
-    return balance.join(assets.select("asset_id", *TARIFF_COLUMNS), "asset_id").select(
+    """Balance rows with tariff and carbon constants of their asset."""
+    return join_dimension(balance, assets.select("asset_id", *TARIFF_COLUMNS), "asset_id").select(
         *FACT_COLUMNS, *TARIFF_COLUMNS
     )

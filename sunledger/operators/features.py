@@ -45,10 +45,10 @@ PV_FEATURE_COLUMNS = (
 
 
 def holiday_join(series: DataFrame, holidays: DataFrame) -> DataFrame:
-    """Add `is_holiday` for the local date. The dimension has nine rows per year; making it distinct keeps the
-    series from fanning out when two holidays share a date."""
+    """Add `is_holiday` for the local date. Making the dimension distinct keeps the series from fanning out when
+    two holidays share a date; distinct dates are bounded by the calendar, so they are always broadcast."""
     days = holidays.select(F.col("holiday_date")).distinct()
-    joined = series.join(days, local_date("ts_local") == F.col("holiday_date"), "left")
+    joined = series.join(F.broadcast(days), local_date("ts_local") == F.col("holiday_date"), "left")
     return joined.withColumn("is_holiday", F.col("holiday_date").isNotNull()).drop("holiday_date")
 
 

@@ -19,6 +19,7 @@ from sunledger.operators.features import feature_columns
 from sunledger.settings import (
     BOOST_ROUNDS,
     COLUMN_SAMPLE,
+    EARLY_STOP_ROUNDS,
     LEARNING_RATE,
     PRICE_GATE_FACTOR,
     ROW_SAMPLE,
@@ -29,7 +30,7 @@ from sunledger.settings import (
     VALIDATION_MONTHS,
 )
 
-FORECAST_COLUMNS = ("asset_id", "ts_utc", "ts_local", "target", "y_pred", "y_true", "model_version")
+BUNDLE_SCHEMA = "target STRING, model_version STRING, nonnegative BOOLEAN, features ARRAY<STRING>"
 
 
 def chronological_split(
@@ -65,6 +66,34 @@ def _inputs(rows: DataFrame, features: Sequence[str], *others: str) -> DataFrame
     return rows.select(*others, *[F.col(c).cast("double").alias(c) for c in features])
 
 
+def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Rounds up to the lowest error seen before `patience` rounds in a row bring no gain, and whether such a
+    stall was reached."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def _boost(trees: GBTRegressor, training: DataFrame, validation: DataFrame, rounds: int, patience: int):
+    """Boosted trees with early stopping on the validation MAE.
+
+    The number of rounds grows until the error has stalled for `patience` rounds, then the model is fitted with
+    the best number: under one seed a shorter fit is a prefix of a longer one. Only one error per round comes
+    back to the driver.
+    """
+    limit = min(rounds, patience + patience // 2)
+    while True:
+        fitted = trees.copy({trees.maxIter: limit}).fit(training)
+        best, stalled = best_round(fitted.evaluateEachIteration(validation, "absolute"), patience)
+        if stalled or limit >= rounds:
+            return fitted if best == limit else trees.copy({trees.maxIter: best}).fit(training)
+        limit = min(rounds, 2 * limit)
+
+
 def train_forecaster(
     split: DataFrame,
     target: str,
@@ -76,27 +105,24 @@ def train_forecaster(
     row_sample: float = ROW_SAMPLE,
     column_sample: float = COLUMN_SAMPLE,
     seed: int = SEED,
-    tolerance: float = 0.001,
+    patience: int = EARLY_STOP_ROUNDS,
 ) -> Forecaster:
     """Boosted trees on the 'train' rows of a labelled frame, stopped early on the 'validation' rows.
 
-    Missing features are filled with training means. Boosting stops once a round improves the validation error by
-    less than `tolerance` (relative). Trees grow one after another, each by distributed histogram passes over the
-    training frame, which is therefore kept with spill to disk.
+    Missing features are filled with training means. Trees grow one after another, each by distributed histogram
+    passes over the training frame, which is therefore kept in memory with spill to disk.
     """
     features = feature_columns(split, target)
     usable = split.where(F.col("split").isin("train", "validation")).dropna(subset=[target])
-    rows = _inputs(
-        usable, features, "split", target
-    ).withColumn("is_validation", F.col("split") == "validation")
+    rows = _inputs(usable, features, "split", target)
     prepare = Pipeline(
         stages=[
             Imputer(inputCols=features, outputCols=[f"{c}_filled" for c in features]),
             VectorAssembler(inputCols=[f"{c}_filled" for c in features], outputCol="features"),
         ]
-    ).fit(rows.where(~F.col("is_validation")))
-    training = prepare.transform(rows).select("features", F.col(target).alias("label"), "is_validation")
-    training = training.persist(StorageLevel.MEMORY_AND_DISK)
+    ).fit(rows.where(F.col("split") == "train"))
+    ready = prepare.transform(rows).select("features", F.col(target).alias("label"), "split")
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     trees = GBTRegressor(
         maxIter=rounds,
         maxDepth=depth,
@@ -106,12 +132,14 @@ def train_forecaster(
         lossType="squared",
         seed=seed,
     )
+    training, validation = (ready.where(F.col("split") == part) for part in ("train", "validation"))
     try:
-        if not training.where("is_validation").isEmpty():
-            trees = trees.setParams(validationIndicatorCol="is_validation", validationTol=tolerance)
-        fitted = trees.fit(training)
+        if validation.isEmpty():
+            fitted = trees.fit(training)
+        else:
+            fitted = _boost(trees, training, validation, rounds, patience)
     finally:
-        training.unpersist()
+        ready.unpersist()
     model = PipelineModel(stages=[*prepare.stages, fitted])
     return Forecaster(model, features, target, version or f"gbt_v1_{date.today()}", nonnegative)
 
@@ -198,7 +226,7 @@ def save_bundle(forecaster: Forecaster, spark: SparkSession, path: str) -> None:
     forecaster.model.write().overwrite().save(f"{path}/model")
     described = spark.createDataFrame(
         [(forecaster.target, forecaster.version, forecaster.nonnegative, forecaster.features)],
-        "target STRING, model_version STRING, nonnegative BOOLEAN, features ARRAY<STRING>",
+        BUNDLE_SCHEMA,
     )
     described.coalesce(1).write.mode("overwrite").json(f"{path}/about")
 
@@ -212,9 +240,7 @@ def save_if_accepted(forecaster: Forecaster, gate: DataFrame, spark: SparkSessio
 
 
 def load_bundle(spark: SparkSession, path: str) -> Forecaster:
-    about = spark.read.schema(
-        "target STRING, model_version STRING, nonnegative BOOLEAN, features ARRAY<STRING>"
-    ).json(f"{path}/about").first()
+    about = spark.read.schema(BUNDLE_SCHEMA).json(f"{path}/about").first()
     return Forecaster(
         PipelineModel.load(f"{path}/model"), list(about.features), about.target, about.model_version, about.nonnegative
     )

@@ -1,35 +1,65 @@
-"""Exact medians that never bring a whole group into one task."""
+"""Exact medians, also of groups too large for one task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sunledger.operators.sizing import BROADCAST_ROWS, largest_group
+
+# Rows of one group that the built-in median may hold in memory.
+ROWS_PER_GROUP = 1_000_000
+
 # Rank accuracy of the sketch that brackets the median, and the half-width of the bracket in rank share.
 SKETCH_ACCURACY = 10_000
 BRACKET = 0.0005
 
 
-def exact_median(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
-    """Interpolated median of `value` per group, exact for groups of any size.
+def agg_with_median(
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    name: str,
+    others: Sequence[Column] = (),
+    rows_per_group: int = ROWS_PER_GROUP,
+    sized_by: DataFrame | None = None,
+) -> DataFrame:
+    """Interpolated median of `value` per group, next to other aggregates.
+
+    The built-in median keeps the distinct values of a group in memory: one pass and the best plan while every
+    group is small. That is measured first, on `sized_by` if given: a frame that is cheaper to count and has at
+    least as many rows per group. Otherwise the median comes from `bracketed_median`.
+    """
+    if largest_group(df if sized_by is None else sized_by, by) <= rows_per_group:
+        return df.groupBy(*by).agg(*others, F.median(value).alias(name))
+    median = bracketed_median(df, by, value, name)
+    return df.groupBy(*by).agg(*others).join(median, list(by), "left") if others else median
+
+
+def bracketed_median(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
+    """Median per group, for groups of any size.
 
     1. Equal values are counted first: partial aggregation, then a shuffle on (group, value), so neither a hot
        group nor a hot value lands on one task.
     2. A quantile sketch per group gives a narrow bracket [lo, hi] around the median; counting what lies below
        and inside proves that the bracket holds the middle ranks. A group without that proof keeps all its rows.
     3. Only distinct values inside the bracket are ranked.
+
+    The per-group tables are broadcast when the groups are few; with many groups no join key is hot enough to need it,
+    and adaptive execution splits what remains skewed.
     """
     by = list(by)
     if not by:
-        return exact_median(df.withColumn("_all", F.lit(1)), ["_all"], value, name).drop("_all")
+        return bracketed_median(df.withColumn("_all", F.lit(1)), ["_all"], value, name).drop("_all")
     known = df.where(F.col(value).isNotNull())
     counted = known.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     bracket = known.groupBy(*by).agg(
         F.percentile_approx(value, [0.5 - BRACKET, 0.5 + BRACKET], SKETCH_ACCURACY).alias("_b")
     )
-    placed = counted.join(bracket, by)
+    few = F.broadcast if known.select(*by).distinct().count() <= BROADCAST_ROWS else (lambda table: table)
+    placed = counted.join(few(bracket), by)
     below = F.col("_v") < F.col("_b")[0]
     inside = F.col("_v").between(F.col("_b")[0], F.col("_b")[1])
     ranks = (
@@ -47,7 +77,7 @@ def exact_median(df: DataFrame, by: Sequence[str], value: str, name: str) -> Dat
             (F.col("_below") <= F.col("_low_rank")) & (F.col("_below") + F.col("_inside") > F.col("_high_rank")),
         )
     )
-    near = counted.join(ranks, by).where(~F.col("_proven") | inside)
+    near = counted.join(few(ranks), by).where(~F.col("_proven") | inside)
     running = Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     start = F.when(F.col("_proven"), F.col("_below")).otherwise(0)
     ranked = near.withColumn("_end", start + F.sum("_n").over(running)).withColumn("_start", F.col("_end") - F.col("_n"))

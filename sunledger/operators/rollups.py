@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sunledger.functions.scalars import per_thousand, ratio, safe_ratio
 from sunledger.functions.timeops import floor_hour, hour_of_day, local_date, month_start, season
 from sunledger.operators.balance import TARIFF_COLUMNS
-from sunledger.operators.medians import exact_median
+from sunledger.operators.medians import agg_with_median
 
 ENERGY = {
     "total_pv_kwh": "pv_power_kw",
@@ -143,20 +143,26 @@ def hourly_shape_median(series: DataFrame, value: str, ts: str = "ts_local") ->
     rows = series.select(season(ts).alias("season"), hour_of_day(ts).alias("hour"), value).where(
         F.col("season").isNotNull()
     )
-    return exact_median(rows, ["season", "hour"], value, f"median_{value}")
+    return agg_with_median(rows, ["season", "hour"], value, f"median_{value}")
 
 
-def series_summary(series: DataFrame, value: str, ts: str = "ts_utc", by: Sequence[str] = ("asset_id",)) -> DataFrame:
+def series_summary(
+    series: DataFrame,
+    value: str,
+    ts: str = "ts_utc",
+    by: Sequence[str] = ("asset_id",),
+    sized_by: DataFrame | None = None,
+) -> DataFrame:
     """Period, min, max, mean and exact median of a series."""
-    basic = series.groupBy(*by).agg(
+    others = [
         F.min(ts).alias("first_ts"),
         F.max(ts).alias("last_ts"),
         F.count(value).alias("n"),
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
         F.avg(value).alias("mean_value"),
-    )
-    return basic.join(exact_median(series, by, value, "median_value"), list(by), "left")
+    ]
+    return agg_with_median(series, by, value, "median_value", others, sized_by=sized_by)
 
 
 def summary_by_type(long: DataFrame, value: str = "generation_mw", label: str = "gen_type") -> DataFrame:

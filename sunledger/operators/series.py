@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sunledger.operators.sizing import largest_group
 from sunledger.settings import LAGS, ROWS_PER_TASK
 
 KEYS = ("asset_id",)
@@ -19,9 +20,7 @@ def chunk_span(df: DataFrame, keys: Sequence[str], ts: str, rows_per_task: int)
     The usual case costs one pre-aggregated count over the key column; times are read only if a series is long.
     One number comes back to the driver.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    longest = sizes.agg(F.max("n")).first()[0]
-    if longest is None or longest <= rows_per_task:
+    if largest_group(df, keys) <= rows_per_task:
         return None
     stamp = F.unix_micros(F.col(ts).cast("timestamp"))
     extents = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.max(stamp) - F.min(stamp) + 1).alias("micros"))
@@ -165,7 +164,7 @@ def ordering_check(
 
 def expected_hours(series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_utc") -> DataFrame:
     """Every hour between the first and last of each series. Months are exploded first and spread out, then the
-    hours of each month, so no long array is ever built."""
+    hours of each month, so no long array is built and a long series is filled by many tasks."""
     hour = F.expr("INTERVAL 1 HOUR")
     spans = series.groupBy(*keys).agg(
         F.min(F.date_trunc("hour", ts)).alias("_from"), F.max(F.date_trunc("hour", ts)).alias("_to")
@@ -179,7 +178,7 @@ def expected_hours(series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_
         ).alias("_month"),
     )
     last = F.least(F.col("_to"), F.col("_month") + F.expr("INTERVAL 1 MONTH") - hour)
-    return months.select(*keys, F.explode(F.sequence(F.greatest("_from", "_month"), last, hour)).alias(ts))
+    return months.repartition(*keys, "_month").select(*keys, F.explode(F.sequence(F.greatest("_from", "_month"), last, hour)).alias(ts))
 
 
 def missing_hours(series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_utc") -> DataFrame:

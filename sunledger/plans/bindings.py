@@ -31,8 +31,8 @@ ORDER_GEN_TYPES = {"O": "solar", "F": "hydro_reservoir", "P": "nuclear"}
 BLEND_VERSION = "blend_v1"
 
 
-def _hours(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), n.cast("int"))
+def _plus_hours(day: str, hours: Column) -> Column:
+    return F.timestamp_seconds(F.unix_seconds(F.col(day).cast("timestamp")) + hours * 3600)
 
 
 def _label(c: str, mapping: dict[str, str]) -> Column:
@@ -147,7 +147,7 @@ class Bindings:
     def supplier_rows(self) -> DataFrame:
         return self.table("lineitem").select(
             F.col("l_suppkey").cast("string").alias("asset_id"),
-            (F.col("l_shipdate") + _hours(F.col("l_partkey") % 24)).cast("timestamp").alias("ts_utc"),
+            _plus_hours("l_shipdate", F.col("l_partkey") % 24).alias("ts_utc"),
             "l_extendedprice",
             "l_returnflag",
             "l_linestatus",
@@ -189,7 +189,7 @@ class Bindings:
         return self.table("orders").select(
             "o_orderkey",
             F.col("o_orderpriority").alias("asset_id"),
-            (F.col("o_orderdate") + _hours(F.col("o_orderkey") % 24)).alias("wall"),
+            _plus_hours("o_orderdate", F.col("o_orderkey") % 24).cast("timestamp_ntz").alias("wall"),
             "o_orderstatus",
             "o_totalprice",
         )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.operators import economics, rollups, staging
+from sunledger.operators.medians import bracketed_median
 from sunledger.plans.bindings import Bindings
 from sunledger.plans.queries.shaping import BATTERY_SUMS
 from sunledger.plans.registry import query, rounded, rounds
@@ -178,7 +179,7 @@ SELECT asset_id, min(ts_utc) AS first_ts, max(ts_utc) AS last_ts, count(price_eu
 """
 )
 def series_summary(b: Bindings) -> DataFrame:
-    summary = rollups.series_summary(b.price_hourly, "price_eur_mwh")
+    summary = rollups.series_summary(b.price_hourly, "price_eur_mwh", sized_by=b.order_rows)
     return summary.withColumns({"mean_value": F.round("mean_value", 5), "median_value": F.round("median_value", 4)})
 
 
@@ -191,10 +192,20 @@ FROM supplier_hourly GROUP BY 1
 )
 def series_summary_fleet(b: Bindings) -> DataFrame:
     """Many series, with a third of all values equal to zero."""
-    summary = rollups.series_summary(b.supplier_hourly, "load_kw")
+    summary = rollups.series_summary(b.supplier_hourly, "load_kw", sized_by=b.supplier_rows)
     return summary.withColumns({"mean_value": F.round("mean_value", 5), "median_value": F.round("median_value", 4)})
 
 
+@query(
+    """
+SELECT asset_id, round(median(load_kw), 4) AS median_load_kw FROM supplier_hourly GROUP BY 1
+"""
+)
+def median_large_groups(b: Bindings) -> DataFrame:
+    """The path for groups too large for one task; a third of all values is the same."""
+    return rounded(bracketed_median(b.supplier_hourly, ["asset_id"], "load_kw", "median_load_kw"), 4)
+
+
 @query(
     """
 SELECT gen_type, round(avg(generation_mw), 8) AS mean_mw, max(generation_mw) AS max_mw, count(generation_mw) AS n_rows

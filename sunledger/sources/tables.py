@@ -58,8 +58,8 @@ def replace_table(
 ) -> int:
     """Overwrite the Parquet table at `path` and return its row count as read back.
 
-    With `partition_by`, rows are first spread by those columns plus a hash of `sort_by`'s leading column, so a
-    folder is written by a few tasks (AQE splits an oversized one) and not by every task.
+    With `partition_by`, rows are first rebalanced by those columns: a folder is written by few tasks instead of
+    by every task, and adaptive execution splits a folder that is too large for one.
     """
     out = df
     if partition_by:
