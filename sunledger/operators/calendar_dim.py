@@ -25,11 +25,10 @@ def easter_sunday(year: Column) -> Column:
 
 def holidays_of_years(years: DataFrame, year: str = "year") -> DataFrame:
     """Holidays of each year in the frame: nine rows per year, one row per date."""
-    y = F.col(year).cast("int")
-    easter = easter_sunday(y)
-    dates = [F.make_date(y, F.lit(m), F.lit(d)) for m, d in FIXED_HOLIDAYS]
-    dates += [F.date_add(easter, n) for n in EASTER_OFFSETS]
-    return years.select(year).distinct().select(F.explode(F.array(*dates)).alias("holiday_date"))
+    dated = years.select(F.col(year).cast("int").alias("y")).distinct().withColumn("easter", easter_sunday(F.col("y")))
+    dates = [F.make_date("y", F.lit(m), F.lit(d)) for m, d in FIXED_HOLIDAYS]
+    dates += [F.date_add("easter", n) for n in EASTER_OFFSETS]
+    return dated.select(F.explode(F.array(*dates)).alias("holiday_date"))
 
 
 def holiday_dim(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:

@@ -47,22 +47,27 @@ def stg_pv(raw: DataFrame, zone: str = ZONE) -> DataFrame:
 
 
 def dedupe_avg(raw: DataFrame, value: str = "load_kw") -> DataFrame:
-    """Load series with repeated (asset, hour) rows averaged; partial sums leave the map side, so a hot asset
-    costs no more than its number of distinct hours."""
-    return raw.select(*_clock(), _double(value)).groupBy("asset_id", "ts_utc", "ts_local").agg(
-        F.avg(value).alias(value)
-    )
+    """Load series with repeated (asset, hour) rows averaged.
+
+    Partial sums leave the map side, so a hot asset costs no more than its number of distinct hours. The wall clock
+    follows from the instant; carrying it as an aggregate leaves the result partitioned by (asset_id, ts_utc), the
+    key of the joins that come next.
+    """
+    typed = raw.select(*_clock(), _double(value))
+    return typed.groupBy("asset_id", "ts_utc").agg(F.min("ts_local").alias("ts_local"), F.avg(value).alias(value))
 
 
 def genmix_pivot(long: DataFrame) -> DataFrame:
-    """Generation mix: one row per (asset, hour) with MW per group, total and shares."""
-    mw = F.col("generation_mw").cast("double")
-    kind = F.col("gen_type")
+    """Generation mix: one row per (asset, hour) with MW per group, total and shares; partitioned like
+    `dedupe_avg`."""
+    typed = long.select(*_clock(), "gen_type", _double("generation_mw"))
+    mw, kind = F.col("generation_mw"), F.col("gen_type")
 
     def total_of(condition: Column, name: str) -> Column:
         return F.sum(F.when(condition, mw).otherwise(F.lit(0.0))).alias(name)
 
-    wide = long.groupBy(*_clock()).agg(
+    wide = typed.groupBy("asset_id", "ts_utc").agg(
+        F.min("ts_local").alias("ts_local"),
         total_of(kind == "solar", "solar_mw"),
         total_of(has_prefix(kind, "hydro"), "hydro_mw"),
         total_of(kind == "nuclear", "nuclear_mw"),

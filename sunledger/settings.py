@@ -83,6 +83,99 @@ ACCEPTED_RANGES = {
     "mrt_zev_kpis_battery_monthly": {"self_consumption_ratio": (0, 1), "autarky_ratio": (0, 1)},
 }
 
+# Columns that must not be null, by table, and the tables with one row per key.
+NOT_NULL = {
+    "stg_pvgis_hourly": ("asset_id", "ts_utc", "ts_local", "pv_power_kw"),
+    "stg_load_hourly": ("asset_id", "ts_utc", "ts_local", "load_kw"),
+    "stg_entsoe_prices": ("asset_id", "ts_utc", "ts_local", "price_eur_mwh"),
+    "stg_openmeteo_hourly": ("asset_id", "ts_utc", "ts_local", "ghi_w_m2", "temp_c", "cloud_pct", "wind_ms"),
+    "stg_entsoe_load_forecast": ("asset_id", "ts_utc", "ts_local", "load_forecast_mw"),
+    "stg_entsoe_genmix": (
+        "asset_id",
+        "ts_utc",
+        "ts_local",
+        "total_gen_mw",
+        "solar_share",
+        "hydro_share",
+        "nuclear_share",
+    ),
+    "stg_battery_simulations": (
+        "asset_id",
+        "ts_utc",
+        "battery_capacity_kwh",
+        "ts_local",
+        "charge_kw",
+        "discharge_kw",
+        "soc_kwh",
+        "grid_import_kw",
+        "grid_export_kw",
+    ),
+    "int_hourly_energy_balance": (
+        "asset_id",
+        "ts_utc",
+        "ts_local",
+        "pv_power_kw",
+        "load_kw",
+        "direct_self_consumption_kw",
+        "surplus_kw",
+        "deficit_kw",
+    ),
+    "int_price_features": ("asset_id", "ts_utc", "ts_local", "price_eur_mwh"),
+    "int_pv_features": ("asset_id", "ts_utc", "ts_local", "pv_power_kw"),
+    "fct_asset_performance": (
+        "asset_id",
+        "ts_utc",
+        "ts_local",
+        "pv_power_kw",
+        "load_kw",
+        "direct_self_consumption_kw",
+    ),
+    "fct_hourly_market": ("asset_id", "ts_utc", "ts_local", "price_eur_mwh"),
+    "fct_pv_features": ("asset_id", "ts_utc", "ts_local", "pv_power_kw"),
+    "fct_asset_performance_battery": (
+        "asset_id",
+        "ts_utc",
+        "battery_capacity_kwh",
+        "on_site_pv_kw",
+        "own_covered_load_kw",
+    ),
+    "mrt_zev_kpis_daily": ("asset_id", "date", "self_consumption_ratio", "autarky_ratio"),
+    "mrt_zev_kpis_monthly": ("asset_id", "month", "self_consumption_ratio", "autarky_ratio"),
+    "mrt_zev_kpis_battery_daily": (
+        "asset_id",
+        "date",
+        "battery_capacity_kwh",
+        "self_consumption_ratio",
+        "autarky_ratio",
+    ),
+    "mrt_zev_kpis_battery_monthly": (
+        "asset_id",
+        "month",
+        "battery_capacity_kwh",
+        "self_consumption_ratio",
+        "autarky_ratio",
+    ),
+}
+UNIQUE_KEYS = {
+    **{
+        name: ("asset_id", "ts_utc")
+        for name in (
+            "stg_pvgis_hourly",
+            "stg_load_hourly",
+            "stg_entsoe_prices",
+            "stg_openmeteo_hourly",
+            "stg_entsoe_load_forecast",
+            "stg_entsoe_genmix",
+            "int_hourly_energy_balance",
+            "int_price_features",
+            "int_pv_features",
+            "fct_asset_performance",
+            "fct_hourly_market",
+            "fct_pv_features",
+        )
+    },
+}
+
 # Unit-error bounds on the raw series, before staging.
 RAW_BOUNDS = {
     "pvgis_hourly": {"pv_power_kw": (0, 120)},
