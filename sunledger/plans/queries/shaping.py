@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sunledger.functions import scalars, timeops
 from sunledger.operators import balance, economics, evaluation, features, staging
 from sunledger.operators.rollups import filter_years as years_of
+from sunledger.operators.rollups import kpi_daily, kpi_monthly
 from sunledger.plans.bindings import Bindings
 from sunledger.plans.oracle_text import GENMIX_SUMS, local
 from sunledger.plans.registry import query, rounded, rounds
@@ -122,19 +123,19 @@ def is_holiday(b: Bindings) -> DataFrame:
     return flagged.groupBy("is_holiday").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    """
-SELECT CAST(ts_local AS DATE) AS day, CAST(date_trunc('month', ts_local) AS DATE) AS month, count(*) AS n
-FROM price_hourly GROUP BY 1, 2
-"""
-)
-def cast_date_trunc_month(b: Bindings) -> DataFrame:
-    day = timeops.local_date("ts_local")
-    return b.price_hourly.groupBy(day.alias("day"), timeops.month_start(day).alias("month")).agg(
+@query("SELECT asset_id, CAST(ts_local AS DATE) AS day, count(*) AS n FROM price_hourly GROUP BY 1, 2")
+def cast_date(b: Bindings) -> DataFrame:
+    return b.price_hourly.groupBy("asset_id", timeops.local_date("ts_local").alias("day")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
 
+@query("SELECT asset_id, CAST(date_trunc('month', ts_local) AS DATE) AS month, count(*) AS n FROM price_hourly GROUP BY 1, 2")
+def trunc_month(b: Bindings) -> DataFrame:
+    month = timeops.month_start(timeops.local_date("ts_local")).alias("month")
+    return b.price_hourly.groupBy("asset_id", month).agg(F.count(F.lit(1)).alias("n"))
+
+
 FLOW_COLUMNS = "direct_self_consumption_kw surplus_kw deficit_kw"
 
 
@@ -271,8 +272,6 @@ FROM fleet_monthly WHERE year(month) IN (1996, 1999)
 """
 )
 def filter_years(b: Bindings) -> DataFrame:
-    from sunledger.operators.rollups import kpi_daily, kpi_monthly
-
     monthly = kpi_monthly(kpi_daily(b.supplier_facts))
     columns = ["asset_id", "month", "total_pv_kwh", "total_load_kwh", "self_consumption_ratio", "autarky_ratio"]
     ratios = ("self_consumption_ratio", "autarky_ratio")
