@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from sunledger.functions.timeops import day_of_week, day_of_year, hour_of_day, is_weekend, local_date
 from sunledger.operators.series import lag_rows
-from sunledger.settings import LAGS, ROWS_PER_TASK
+from sunledger.operators.sizing import group_sizes
+from sunledger.settings import LAGS, ROWS_PER_TASK, ROWS_TO_PARTITION
 
 SERIES_KEY = ["asset_id", "ts_utc"]
 WEATHER = ("ghi_w_m2", "temp_c", "cloud_pct", "wind_ms")
@@ -68,6 +69,21 @@ def price_enrich_join(
     )
 
 
+def partitioned_by_series(
+    frames: Sequence[DataFrame], largest: int, total: int, rows_per_task: int, rows_to_partition: int
+) -> list[DataFrame]:
+    """The frames of a join that a lag window follows, each partitioned by asset_id when that pays.
+
+    Joined on (asset_id, ts_utc) as they are, the wide result must be shuffled again for the window. Partitioned by
+    asset_id, the narrow inputs are shuffled once, and join and window both reuse that partitioning and its sort. It
+    is done for large tables (small sides are better broadcast) whose every series is measured to fit a task (a
+    longer one must be spread over its hours).
+    """
+    if largest > rows_per_task or total < rows_to_partition:
+        return list(frames)
+    return [df.repartition("asset_id") for df in frames]
+
+
 def lag_after_join(
     enriched: DataFrame,
     lag: int = 24,
@@ -81,12 +97,20 @@ def lag_after_join(
 
 
 def pv_features(
-    pv: DataFrame, weather: DataFrame, rows_per_task: int = ROWS_PER_TASK, sized_by: DataFrame | None = None
+    pv: DataFrame,
+    weather: DataFrame,
+    rows_per_task: int = ROWS_PER_TASK,
+    rows_to_partition: int = ROWS_TO_PARTITION,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """PV target with lags, calendar and weather."""
     base = pv.select(*SERIES_KEY, "ts_local", "pv_power_kw")
+    sized_by = base if sized_by is None else sized_by
+    largest, total = group_sizes(sized_by, ["asset_id"])
+    sides = [base, weather.select(*SERIES_KEY, *WEATHER)]
+    joined = pv_weather_join(*partitioned_by_series(sides, largest, total, rows_per_task, rows_to_partition))
     lags = {name: ("pv_power_kw", n) for name, n in zip(PV_LAGS, LAGS)}
-    lagged = lag_rows(pv_weather_join(base, weather), lags, rows_per_task=rows_per_task, sized_by=sized_by or base)
+    lagged = lag_rows(joined, lags, rows_per_task=rows_per_task, sized_by=sized_by, largest=largest)
     return lagged.withColumns(
         {
             "hour_of_day": hour_of_day("ts_local"),
@@ -104,19 +128,28 @@ def price_features(
     genmix: DataFrame,
     day_ahead_safe: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    rows_to_partition: int = ROWS_TO_PARTITION,
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Price target with lags, calendar, holiday flag, weather, load forecast and the mix of 24 rows earlier.
 
     The staged inputs are unique per (asset, hour), so the joins keep the price rows one to one and the price
-    lags can share the window of the mix lags: two shuffles of the price side in all, one per key.
+    lags can share the window of the mix lags.
     `day_ahead_safe` leaves out the one-hour price lag, which is not known a day ahead.
     """
     base = prices.select(*SERIES_KEY, "ts_local", "price_eur_mwh", "price_eur_kwh")
+    sized_by = base if sized_by is None else sized_by
+    largest, total = group_sizes(sized_by, ["asset_id"])
+    sides = [
+        base,
+        weather.select(*SERIES_KEY, *WEATHER),
+        load_forecast.select(*SERIES_KEY, "load_forecast_mw"),
+        genmix.select(*SERIES_KEY, *MIX),
+    ]
+    enriched = price_enrich_join(*partitioned_by_series(sides, largest, total, rows_per_task, rows_to_partition))
     lags = {name: ("price_eur_mwh", n) for name, n in zip(PRICE_LAGS, LAGS)}
     lags |= {name: (c, 24) for name, c in zip(MIX_LAGS, MIX)}
-    enriched = price_enrich_join(base, weather, load_forecast, genmix)
-    lagged = lag_rows(enriched, lags, rows_per_task=rows_per_task, sized_by=sized_by or base)
+    lagged = lag_rows(enriched, lags, rows_per_task=rows_per_task, sized_by=sized_by, largest=largest)
     dated = lagged.withColumns({"hour_of_day": hour_of_day("ts_local"), "day_of_week": day_of_week("ts_local")})
     flagged = holiday_join(dated.withColumn("is_weekend", is_weekend("day_of_week")), holidays)
     columns = [c for c in PRICE_FEATURE_COLUMNS if not (day_ahead_safe and c == "price_lag_1h")]

@@ -13,15 +13,9 @@ from sunledger.settings import LAGS, ROWS_PER_TASK
 KEYS = ("asset_id",)
 
 
-def chunk_span(df: DataFrame, keys: Sequence[str], ts: str, rows_per_task: int) -> int | None:
-    """None when no series holds more than `rows_per_task` rows; else the chunk length in microseconds that
-    brings the densest long series down to about that many rows per chunk.
-
-    The usual case costs one pre-aggregated count over the key column; times are read only if a series is long.
-    One number comes back to the driver.
-    """
-    if largest_group(df, keys) <= rows_per_task:
-        return None
+def chunk_span(df: DataFrame, keys: Sequence[str], ts: str, rows_per_task: int) -> int:
+    """Chunk length in microseconds that brings the densest series of more than `rows_per_task` rows down to about
+    that many rows per chunk. One number comes back to the driver."""
     stamp = F.unix_micros(F.col(ts).cast("timestamp"))
     extents = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.max(stamp) - F.min(stamp) + 1).alias("micros"))
     span = extents.where(F.col("n") > rows_per_task).agg(F.min(F.col("micros") / F.col("n") * rows_per_task))
@@ -35,16 +29,20 @@ def lag_rows(
     ts: str = "ts_utc",
     rows_per_task: int = ROWS_PER_TASK,
     sized_by: DataFrame | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add `name = column n rows earlier in the series` for each `name: (column, n)`.
 
     All lags share one window: one shuffle on the series key and one sort. That is the best plan as long as every
-    series fits a task, which is measured first: on `sized_by` if given, a frame that is cheaper to count and has at
-    least as many rows per key. A longer series is cut into time chunks, see `lag_rows_chunked`.
+    series fits a task. This is measured first, unless the caller knows the `largest` series: on `sized_by` if given,
+    a frame that is cheaper to count and has at least as many rows per key. A longer series is cut into time chunks,
+    see `lag_rows_chunked`.
     """
-    span = chunk_span(df if sized_by is None else sized_by, keys, ts, rows_per_task)
-    if span is not None:
-        return lag_rows_chunked(df, lags, span, keys, ts)
+    sized_by = df if sized_by is None else sized_by
+    if largest is None:
+        largest = largest_group(sized_by, keys)
+    if largest > rows_per_task:
+        return lag_rows_chunked(df, lags, chunk_span(sized_by, keys, ts, rows_per_task), keys, ts)
     window = Window.partitionBy(*keys).orderBy(ts)
     return df.withColumns({name: F.lag(c, n).over(window) for name, (c, n) in lags.items()})
 

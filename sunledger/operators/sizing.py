@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 
+def group_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest group and of all groups: a pre-aggregated count over the key columns, of which one row
+    comes back."""
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    return largest or 0, total or 0
+
+
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows of the largest group: a pre-aggregated count over the key columns; one number comes back."""
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return group_sizes(df, by)[0]
 
 
 def join_dimension(

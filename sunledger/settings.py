@@ -188,3 +188,6 @@ RAW_BOUNDS = {
 
 # Rows one task may order in a single window group before a series is split into time chunks.
 ROWS_PER_TASK = 5_000_000
+
+# Rows of a series table from which its joins are worth partitioning by series (below, sides may be broadcast).
+ROWS_TO_PARTITION = 5_000_000

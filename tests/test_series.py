@@ -53,7 +53,6 @@ def test_chunked_lag_equals_window_lag(spark, span_hours):
 
 def test_long_series_is_cut_into_chunks(spark):
     df = hours(spark, range(2000))
-    assert series.chunk_span(df, ["asset_id"], "ts_utc", 5000) is None
     span = series.chunk_span(df, ["asset_id"], "ts_utc", 500)
     assert span == pytest.approx(500 * HOUR * 1e6, rel=0.01)
     lags = {"l24": ("v", 24)}
