@@ -44,5 +44,20 @@ def has_prefix(label: Column | str, prefix: str) -> Column:
 
 
 def fixed_decimals(value: Column | str, digits: int) -> Column:
-    """Text with a fixed number of decimals; NULL stays NULL."""
-    return F.when(col(value).isNotNull(), F.format_string(f"%.{digits}f", col(value)))
+    """Text with a fixed number of decimals, rounded like C's `%.nf`: to the nearest of the binary value, an exact
+    tie to even. Spark's own formatting rounds the shortest decimal text half up, which differs for 0.35 or 1.25.
+
+    The product with the scale is rounded itself; its error, from splitting the value into two short halves, tells
+    on which side of a seeming tie the value lies. Missing values and NaN are NULL.
+    """
+    x, scale = col(value).cast("double"), F.lit(10.0**digits)
+    product = x * scale
+    high = x * F.lit(134217729.0) - (x * F.lit(134217729.0) - x)
+    error = (high * scale - product) + (x - high) * scale
+    seems_tie = F.abs(product - F.rint(product)) == F.lit(0.5)
+    whole = (
+        F.when(seems_tie & (error > 0), F.ceil(product).cast("double"))
+        .when(seems_tie & (error < 0), F.floor(product).cast("double"))
+        .otherwise(F.rint(product))
+    )
+    return F.when(x.isNotNull() & ~F.isnan(x), F.format_string(f"%.{digits}f", whole / scale))

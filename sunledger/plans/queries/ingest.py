@@ -175,6 +175,18 @@ def write_csv_rounded(b: Bindings) -> DataFrame:
     return b.spark.read.option("header", True).csv(path)
 
 
+@query(
+    "SELECT CAST(event_id AS VARCHAR) AS event_id, printf('%.1f', value) AS one, "
+    "printf('%.3f', value / 8.0::DOUBLE) AS three FROM event_rows"
+)
+def write_csv_rounded_ties(b: Bindings) -> DataFrame:
+    """Many values end in 5, so that the side of the tie matters."""
+    path = scratch_path(b.spark, "ties-csv")
+    rows = b.event_rows.select("event_id", F.col("value").alias("one"), (F.col("value") / 8.0).alias("three"))
+    sinks.write_csv_rounded(rows, path, {"one": 1, "three": 3})
+    return b.spark.read.option("header", True).csv(path)
+
+
 @query("SELECT asset_id, ts_utc, ts_local, ghi_w_m2, temp_c, cloud_pct, wind_ms FROM weather_hourly")
 def write_csv(b: Bindings) -> DataFrame:
     path = scratch_path(b.spark, "weather-csv")
