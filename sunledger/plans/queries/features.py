@@ -84,12 +84,18 @@ def price_features(b: Bindings) -> DataFrame:
     )
 
 
-@query("SELECT asset_id, ts_utc, price_eur_mwh, lag(price_eur_mwh, 24) OVER (PARTITION BY asset_id ORDER BY ts_utc) AS y_pred FROM price_hourly")
+NAIVE_SQL = """
+SELECT asset_id, ts_utc, price_eur_mwh,
+  lag(price_eur_mwh, {0}) OVER (PARTITION BY asset_id ORDER BY ts_utc) AS y_pred FROM price_hourly
+"""
+
+
+@query(NAIVE_SQL.format(24))
 def persistence(b: Bindings) -> DataFrame:
     return series.persistence(b.price_hourly.select("asset_id", "ts_utc", "price_eur_mwh"), "price_eur_mwh")
 
 
-@query("SELECT asset_id, ts_utc, price_eur_mwh, lag(price_eur_mwh, 168) OVER (PARTITION BY asset_id ORDER BY ts_utc) AS y_pred FROM price_hourly")
+@query(NAIVE_SQL.format(168))
 def seasonal_naive(b: Bindings) -> DataFrame:
     return series.seasonal_naive(b.price_hourly.select("asset_id", "ts_utc", "price_eur_mwh"), "price_eur_mwh")
 

@@ -9,7 +9,10 @@ from datetime import date, datetime
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+)
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
@@ -59,7 +62,11 @@ if __name__ == "__main__":
 
     folder = sys.argv[1]
     only = sys.argv[2:]
-    spark = build_session("check", "local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
+    spark = build_session(
+        "check",
+        "local[8]",
+        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"},
+    )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     sqls = contract.oracle_sql()
@@ -77,5 +84,6 @@ if __name__ == "__main__":
             problem, n = f"{type(e).__name__}: {str(e)[:600]}", -1
         spark.catalog.clearCache()
         failed += bool(problem)
-        print(f"{'FAIL' if problem else 'ok  '} {name} rows={n} {time.time() - start:.2f}s {'' if name in sqls else '(no sql)'} {problem}", flush=True)
+        verdict, note = "FAIL" if problem else "ok  ", "" if name in sqls else "(no sql)"
+        print(f"{verdict} {name} rows={n} {time.time() - start:.2f}s {note} {problem}", flush=True)
     print("failed:", failed)

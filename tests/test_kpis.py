@@ -144,11 +144,24 @@ def test_battery_savings_and_payback(spark):
     assert payback[100.0].payback_years is None
 
 
-def test_local_date_filter_is_pushed_as_a_range(spark):
-    df = spark.createDataFrame(
+def test_local_date_filter_is_pushed_as_a_range(spark, tmp_path):
+    spark.createDataFrame(
         [("2019-07-01 00:00:00",), ("2019-07-14 23:00:00",), ("2019-07-15 00:00:00",)], "t STRING"
-    ).select(F.to_timestamp_ntz("t").alias("ts_local"))
-    assert evaluation.filter_local_date_range(df, "2019-07-01", "2019-07-14").count() == 2
+    ).select(F.to_timestamp_ntz("t").alias("ts_local")).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    chosen = evaluation.filter_local_date_range(stored, "2019-07-01", "2019-07-14")
+    assert chosen.count() == 2
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts_local" in plan and "LessThan(ts_local" in plan
+
+
+def test_stored_forecasts_are_filtered_in_the_scan(spark, tmp_path):
+    rows = [("a", "price_eur_mwh", 1.0, 2.0), ("a", "pv_power_kw", 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "asset_id STRING, target STRING, y_pred DOUBLE, y_true DOUBLE")
+    df.write.partitionBy("target").parquet(str(tmp_path / "f"))
+    chosen = evaluation.filter_target(spark.read.parquet(str(tmp_path / "f")), "pv_power_kw")
+    assert chosen.count() == 1
+    assert "PartitionFilters: [isnotnull(target" in chosen._jdf.queryExecution().executedPlan().toString()
 
 
 def test_scale_to_annual_total(spark):

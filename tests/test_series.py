@@ -103,6 +103,13 @@ def test_bracketed_median_is_exact(spark, seed):
     assert medians(agg_with_median(df, ["g"], "v", "m")) == pytest.approx(want)
 
 
+def test_median_next_to_other_aggregates(spark):
+    df = spark.createDataFrame([("a", float(i)) for i in range(10)] + [("b", 7.0)], "g STRING, v DOUBLE")
+    for limit in (1, 1000):
+        got = agg_with_median(df, ["g"], "v", "m", [F.count("v").alias("n")], rows_per_group=limit)
+        assert {(r.g, r.n, r.m) for r in got.collect()} == {("a", 10, 4.5), ("b", 1, 7.0)}
+
+
 def test_bracketed_median_without_a_group(spark):
     df = spark.range(101).select(F.col("id").cast("double").alias("v"))
     assert bracketed_median(df, [], "v", "m").first().m == 50.0
