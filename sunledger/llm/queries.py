@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import chat, exact_dedup, mixing, url_filter
+from sunledger.llm import chat, exact_dedup, mixing, substring_dedup, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,3 +136,68 @@ FROM judged
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """The verdict on every page's URL."""
     return url_filter.judge_urls(table(spark, folder, "pages"))
+
+
+# Strings as hexadecimal digits: two for a byte. Windows that start in more than one place cover what goes.
+OP2_SQL = """
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT doc_id, p, md5(substring(h, 2 * p + 1, 400)) AS w
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS p FROM bytes WHERE length(h) >= 400)
+), repeated AS (
+  SELECT doc_id, p FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)
+), marked AS (
+  SELECT doc_id, p, coalesce(p > lag(p) OVER along + 200, true) AS opens FROM repeated WINDOW along AS (PARTITION BY doc_id ORDER BY p)
+), runs AS (
+  SELECT doc_id, min(p) AS a, max(p) + 200 AS b
+  FROM (SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked) GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed,
+         list_concat([0], list(b ORDER BY a)) AS starts, list(a ORDER BY a) AS ends
+  FROM runs GROUP BY doc_id
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE array_to_string(list_transform(range(1, n_spans + 2),
+         lambda i: substring(h, 2 * starts[i] + 1, 2 * (coalesce(ends[i], length(h) // 2) - starts[i]))), '') END)) AS kept_sha256
+FROM bytes LEFT JOIN gaps USING (doc_id)
+"""
+
+
+@query(OP2_SQL)
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the bytes of repeated 200-byte strings."""
+    found = suffix_dedup.dedup_suffixes(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+OP10_SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, p, md5(array_to_string(words[p + 1:p + 20], ' ')) AS w
+  FROM (SELECT doc_id, words, unnest(range(0, len(words) - 19)) AS p FROM split WHERE len(words) >= 20)
+), late AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS nth FROM windows) WHERE nth > 1
+), gone AS (
+  SELECT doc_id, list(DISTINCT k) AS ks FROM (SELECT doc_id, unnest(range(p, p + 20)) AS k FROM late) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(len(ks), 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN ks IS NULL THEN words ELSE
+         list_transform(list_filter(range(0, len(words)), lambda i: NOT list_contains(ks, i)), lambda i: words[i + 1]) END, ' ')) AS kept_sha256
+FROM split LEFT JOIN gone USING (doc_id)
+"""
+
+
+@query(OP10_SQL)
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without words of 20-word windows that occur earlier."""
+    found = substring_dedup.dedup_substrings(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
