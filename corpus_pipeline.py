@@ -1,15 +1,59 @@
-"""A corpus pipeline over `documents`: each stage is one of the operators in sunledger/llm."""
+"""A corpus pipeline over `documents`: each stage is one of the operators in sunledger/llm.
+
+All stages but the last return documents with the columns that came in; the last one says how many words the mix takes
+of each. A stage reads what the stage before has kept and nothing else of it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sunledger.llm import decontamination, exact_dedup, mixing, simhash, toxicity
+from sunledger.llm.common import stored
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below its threshold."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    model = toxicity.train(docs, labels, ~toxicity.held_out(F.col("doc_id")))
+    return toxicity.drop_toxic(docs, model)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the largest doc_id."""
+    return exact_dedup.dedup_exact(docs, exact_dedup.open_index(spark))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the one with the smallest doc_id."""
+    return simhash.dedup_near(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark windows cover less than a twentieth."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontamination.drop_contaminated(docs, benchmark)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken: the words that the mix of sources takes of each document."""
+    return mixing.words_taken(mixing.mix_sources(docs)).select("doc_id", "size", "source_size", "target", "taken")
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", without_toxic),
+    ("exact_dedup", without_copies),
+    ("simhash_near_dedup", without_near_copies),
+    ("benchmark_decontamination", without_benchmark),
+    ("mixing", mixed),
+]
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another, each result stored and read again."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

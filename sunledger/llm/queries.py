@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import chat, exact_dedup, mixing, substring_dedup, suffix_dedup, url_filter
+from sunledger.llm import (
+    chat,
+    decontamination,
+    exact_dedup,
+    mixing,
+    pii,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -142,9 +153,12 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 OP2_SQL = """
 WITH bytes AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), blocks AS (
+  SELECT doc_id, b, substring(h, 2 * b + 1, 2 * (128 + 199)) AS part
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199, 128)) AS b FROM bytes WHERE length(h) >= 400)
 ), windows AS (
-  SELECT doc_id, p, md5(substring(h, 2 * p + 1, 400)) AS w
-  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS p FROM bytes WHERE length(h) >= 400)
+  SELECT doc_id, b + i AS p, md5(substring(part, 2 * i + 1, 400)) AS w
+  FROM (SELECT *, unnest(range(0, length(part) // 2 - 199)) AS i FROM blocks)
 ), repeated AS (
   SELECT doc_id, p FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)
 ), marked AS (
@@ -201,3 +215,77 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without words of 20-word windows that occur earlier."""
     found = substring_dedup.dedup_substrings(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints and near-duplicate components of all documents."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+OP6_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), wanted AS (
+  SELECT DISTINCT item_id, least(len(words), 13) AS size, array_to_string(words[p + 1:p + 13], ' ') AS w
+  FROM (SELECT item_id, words, unnest(range(0, greatest(len(words) - 12, 1))) AS p FROM items WHERE len(words) > 0)
+), places AS (
+  SELECT doc_id, size, p, array_to_string(words[p + 1:p + size], ' ') AS w
+  FROM (SELECT doc_id, words, size, unnest(range(0, len(words) - size + 1)) AS p
+        FROM docs, (SELECT DISTINCT size FROM wanted) WHERE len(words) >= size)
+), found AS (
+  SELECT doc_id, item_id, p, size FROM places JOIN wanted USING (size, w)
+), hit AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS k FROM found) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(words), false) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query(OP6_SQL)
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents against all benchmark items."""
+    found = decontamination.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@query()
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents."""
+    found = pii.find_personal_data(table(spark, folder, "documents"))
+    base = [k.name for k in pii.BASE_KINDS]
+    count = lambda name: F.size(F.filter("spans", lambda s: s["kind"] == name)).cast("long").alias(f"n_{name}")
+    of_base = F.filter("spans", lambda s: s["kind"].isin(*base))
+    return found.select(
+        "doc_id",
+        *[count(name) for name in base],
+        F.sha2(pii.written(of_base), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
+@query()
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity scores of all documents; labels of held-out rows are never seen."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"), ~toxicity.held_out(F.col("doc_id")))
+    scored = toxicity.score_texts(docs, model)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))

@@ -208,7 +208,7 @@ def sorted_runs(heads: DataFrame, ranges: int, window: int) -> DataFrame:
     return heads.mapInArrow(run, "range int, run binary")
 
 
-def merged_decisions(runs: DataFrame, gram: int, window: int) -> DataFrame:
+def merged_decisions(runs: DataFrame, ranges: int, gram: int, window: int) -> DataFrame:
     """Merge the runs of each range and decide the windows of every group of suffixes with a common gram."""
 
     def decide(packed: list[bytes]):
@@ -238,7 +238,7 @@ def merged_decisions(runs: DataFrame, gram: int, window: int) -> DataFrame:
         if packed:
             yield batch_of(packed)
 
-    return runs.repartition("range").sortWithinPartitions("range").mapInArrow(run, DECISION_SCHEMA)
+    return runs.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(run, DECISION_SCHEMA)
 
 
 def counted_decisions(docs: DataFrame, unions: DataFrame, window: int) -> DataFrame:
@@ -267,7 +267,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM
     ranges = max(1, math.ceil(unions.count() / SUFFIXES_PER_RANGE))
     runs = stored(sorted_runs(with_heads(docs, unions.where(F.col("kinds") <= MOST_KINDS)), ranges, window), "suffix-runs")
     hot = unions.where(F.col("kinds") > MOST_KINDS)
-    decisions = merged_decisions(runs, gram, window).unionByName(counted_decisions(docs, hot, window))
+    decisions = merged_decisions(runs, ranges, gram, window).unionByName(counted_decisions(docs, hot, window))
     judged = anchors.join(stored(decisions, "suffix-decisions").hint("merge"), ["gram", "union"])
     late = judged.select("doc_id", "_twin", "first", F.explode("late").alias("late"))
     return late.select(
