@@ -33,7 +33,7 @@ IDENTITY_TERMS = (
 SAMPLE_ROWS = 20_000
 MOST_FEATURES = 4_000
 LEAST_ROWS = 3
-PREFIX = 5
+PREFIXES = (4, 5)
 THRESHOLD = 0.3
 RIDGE = 1e-4
 FAIRNESS = 1.0
@@ -45,9 +45,9 @@ WORD = re.compile(r"[^\W\d_]+")
 
 
 def features(text: str | None) -> set[str]:
-    """The distinct words, and the first five letters (with a mark) of longer ones."""
+    """The distinct words, and the first four and five letters (with a mark) of longer ones."""
     words = set(WORD.findall((text or "").lower()))
-    return words | {w[:PREFIX] + "*" for w in words if len(w) > PREFIX}
+    return words.union(*({w[:n] + "*" for w in words if len(w) > n} for n in PREFIXES))
 
 
 def counterfactuals(text: str | None, terms: Sequence[Sequence[str]] = IDENTITY_TERMS) -> list[str]:
