@@ -117,7 +117,7 @@ def slot_schedule(targets: DataFrame, pool: float, block_words: int = BLOCK_WORD
     inside = Window.partitionBy("no", "range").orderBy("slot")
     ranked = (
         owned.withColumn("within", F.row_number().over(inside))
-        .join(counts, ["no", "range"])
+        .join(counts.hint("merge"), ["no", "range"])
         .withColumn("rank", F.col("before") + F.col("within") - 1)
         .where("rank < blocks")
         .select("no", "rank", "slot")
@@ -187,7 +187,8 @@ def mix_sources(
             F.least(F.col("to"), (F.col("rank") + 1) * block) - F.greatest(F.col("from"), F.col("rank") * block)
         ),
     )
-    return pieces.join(schedule, ["no", "rank"], "left").select(
+    # The schedule grows with the corpus though the targets it unfolds from are few: never broadcast it.
+    return pieces.join(schedule.hint("merge"), ["no", "rank"], "left").select(
         "doc_id",
         "source",
         "size",
