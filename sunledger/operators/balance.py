@@ -42,8 +42,8 @@ def energy_balance(pv: DataFrame, load: DataFrame) -> DataFrame:
     return split_flows(joined).select(*FACT_COLUMNS)
 
 
-def asset_facts(balance: DataFrame, assets: DataFrame) -> DataFrame:
+def asset_facts(balance: DataFrame, assets: DataFrame, n_assets: int | None = None) -> DataFrame:
     """Balance rows with tariff and carbon constants of their asset."""
-    return join_dimension(balance, assets.select("asset_id", *TARIFF_COLUMNS), "asset_id").select(
+    return join_dimension(balance, assets.select("asset_id", *TARIFF_COLUMNS), "asset_id", n_rows=n_assets).select(
         *FACT_COLUMNS, *TARIFF_COLUMNS
     )

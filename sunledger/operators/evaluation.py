@@ -30,22 +30,36 @@ def filter_local_date_range(rows: DataFrame, first: date | str, last: date | str
     that it is pushed to the scan."""
     start = F.lit(str(first)).cast("date").cast("timestamp_ntz")
     stop = F.date_add(F.lit(str(last)).cast("date"), 1).cast("timestamp_ntz")
-    return rows.where((F.col("ts_local") >= start) & (F.col("ts_local") < stop))
+    years = (int(str(first)[:4]) - 1, int(str(last)[:4]) + 1)  # a local day may lie in the next or last UTC year
+    return _of_years(rows.where((F.col("ts_local") >= start) & (F.col("ts_local") < stop)), *years)
 
 
 def filter_ts_range(rows: DataFrame, first: datetime | str, last: datetime | str) -> DataFrame:
     """Rows whose instant lies in the inclusive range."""
-    return rows.where(F.col("ts_utc").between(F.lit(str(first)).cast("timestamp"), F.lit(str(last)).cast("timestamp")))
+    inside = F.col("ts_utc").between(F.lit(str(first)).cast("timestamp"), F.lit(str(last)).cast("timestamp"))
+    return _of_years(rows.where(inside), int(str(first)[:4]), int(str(last)[:4]))
+
+
+def _of_years(rows: DataFrame, first: int | Column, last: int | Column) -> DataFrame:
+    """Stored hourly tables are partitioned by the UTC `year`: a bound on it prunes their files."""
+    return rows.where(F.col("year").between(first, last)) if "year" in rows.columns else rows
+
+
+def _around(features: DataFrame, forecasts: DataFrame) -> DataFrame:
+    """The feature rows within the forecasts' first and last hour, as a scalar subquery."""
+    hours = forecasts.select(F.struct(F.min("ts_utc").alias("first"), F.max("ts_utc").alias("last"))).scalar()
+    first, last = hours.getField("first"), hours.getField("last")
+    return _of_years(features.where(F.col("ts_utc").between(first, last)), F.year(first), F.year(last))
 
 
 def forecast_vs(
     forecasts: DataFrame, features: DataFrame, target: str, baseline: str, name: str, ordered: bool = True
 ) -> DataFrame:
     """Forecast, actual value and one naive baseline per hour. The target filter is applied before the join."""
-    base = features.select(*SERIES_KEY, F.col(baseline).alias(name))
+    forecasts = filter_target(forecasts, target)
+    base = _around(features, forecasts).select(*SERIES_KEY, F.col(baseline).alias(name))
     view = (
-        filter_target(forecasts, target)
-        .select(*SERIES_KEY, "ts_local", F.col("y_pred").alias("forecast"), F.col("y_true").alias("actual"))
+        forecasts.select(*SERIES_KEY, "ts_local", F.col("y_pred").alias("forecast"), F.col("y_true").alias("actual"))
         .join(base, SERIES_KEY, "left")
     )
     return view.orderBy("ts_utc", "asset_id") if ordered else view
@@ -61,7 +75,7 @@ def forecast_vs_persistence(forecasts: DataFrame, pv_features: DataFrame, ordere
 
 def attach_baselines(forecasts: DataFrame, features: DataFrame, prefix: str) -> DataFrame:
     """Forecast rows with both naive predictions and the local hour of the feature row."""
-    base = features.select(
+    base = _around(features, forecasts).select(
         *SERIES_KEY,
         F.col(f"{prefix}_lag_24h").alias("lag_24h"),
         F.col(f"{prefix}_lag_168h").alias("lag_168h"),

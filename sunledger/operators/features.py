@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sunledger.functions.timeops import day_of_week, day_of_year, hour_of_day, is_weekend, local_date
 from sunledger.operators.series import lag_rows
-from sunledger.operators.sizing import group_sizes
 from sunledger.settings import LAGS, ROWS_PER_TASK, ROWS_TO_PARTITION
 
 SERIES_KEY = ["asset_id", "ts_utc"]
@@ -70,16 +69,16 @@ def price_enrich_join(
 
 
 def partitioned_by_series(
-    frames: Sequence[DataFrame], largest: int, total: int, rows_per_task: int, rows_to_partition: int
+    frames: Sequence[DataFrame], sizes: tuple[int, int] | None, rows_per_task: int, rows_to_partition: int
 ) -> list[DataFrame]:
     """The frames of a join that a lag window follows, each partitioned by asset_id when that pays.
 
     Joined on (asset_id, ts_utc) as they are, the wide result must be shuffled again for the window. Partitioned by
     asset_id, the narrow inputs are shuffled once, and join and window both reuse that partitioning and its sort. It
-    is done for large tables (small sides are better broadcast) whose every series is measured to fit a task (a
-    longer one must be spread over its hours).
+    is done for large tables (small sides are better broadcast) whose every series is known to fit a task (a longer one
+    must be spread over its hours). `sizes`: rows of the largest series of any of the frames, and of the first frame.
     """
-    if largest > rows_per_task or total < rows_to_partition:
+    if sizes is None or sizes[0] > rows_per_task or sizes[1] < rows_to_partition:
         return list(frames)
     return [df.repartition("asset_id") for df in frames]
 
@@ -89,11 +88,11 @@ def lag_after_join(
     lag: int = 24,
     columns: Sequence[str] = MIX,
     rows_per_task: int = ROWS_PER_TASK,
-    sized_by: DataFrame | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Lag joined columns over the price rows (not over the mix table's own rows)."""
     lags = {f"{c}_lag{lag}h": (c, lag) for c in columns}
-    return lag_rows(enriched, lags, rows_per_task=rows_per_task, sized_by=sized_by)
+    return lag_rows(enriched, lags, rows_per_task=rows_per_task, largest=largest)
 
 
 def pv_features(
@@ -101,16 +100,14 @@ def pv_features(
     weather: DataFrame,
     rows_per_task: int = ROWS_PER_TASK,
     rows_to_partition: int = ROWS_TO_PARTITION,
-    sized_by: DataFrame | None = None,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """PV target with lags, calendar and weather."""
     base = pv.select(*SERIES_KEY, "ts_local", "pv_power_kw")
-    sized_by = base if sized_by is None else sized_by
-    largest, total = group_sizes(sized_by, ["asset_id"])
     sides = [base, weather.select(*SERIES_KEY, *WEATHER)]
-    joined = pv_weather_join(*partitioned_by_series(sides, largest, total, rows_per_task, rows_to_partition))
+    joined = pv_weather_join(*partitioned_by_series(sides, sizes, rows_per_task, rows_to_partition))
     lags = {name: ("pv_power_kw", n) for name, n in zip(PV_LAGS, LAGS)}
-    lagged = lag_rows(joined, lags, rows_per_task=rows_per_task, sized_by=sized_by, largest=largest)
+    lagged = lag_rows(joined, lags, rows_per_task=rows_per_task, largest=sizes[0] if sizes else None)
     return lagged.withColumns(
         {
             "hour_of_day": hour_of_day("ts_local"),
@@ -129,7 +126,7 @@ def price_features(
     day_ahead_safe: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
     rows_to_partition: int = ROWS_TO_PARTITION,
-    sized_by: DataFrame | None = None,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Price target with lags, calendar, holiday flag, weather, load forecast and the mix of 24 rows earlier.
 
@@ -138,18 +135,16 @@ def price_features(
     `day_ahead_safe` leaves out the one-hour price lag, which is not known a day ahead.
     """
     base = prices.select(*SERIES_KEY, "ts_local", "price_eur_mwh", "price_eur_kwh")
-    sized_by = base if sized_by is None else sized_by
-    largest, total = group_sizes(sized_by, ["asset_id"])
     sides = [
         base,
         weather.select(*SERIES_KEY, *WEATHER),
         load_forecast.select(*SERIES_KEY, "load_forecast_mw"),
         genmix.select(*SERIES_KEY, *MIX),
     ]
-    enriched = price_enrich_join(*partitioned_by_series(sides, largest, total, rows_per_task, rows_to_partition))
+    enriched = price_enrich_join(*partitioned_by_series(sides, sizes, rows_per_task, rows_to_partition))
     lags = {name: ("price_eur_mwh", n) for name, n in zip(PRICE_LAGS, LAGS)}
     lags |= {name: (c, 24) for name, c in zip(MIX_LAGS, MIX)}
-    lagged = lag_rows(enriched, lags, rows_per_task=rows_per_task, sized_by=sized_by, largest=largest)
+    lagged = lag_rows(enriched, lags, rows_per_task=rows_per_task, largest=sizes[0] if sizes else None)
     dated = lagged.withColumns({"hour_of_day": hour_of_day("ts_local"), "day_of_week": day_of_week("ts_local")})
     flagged = holiday_join(dated.withColumn("is_weekend", is_weekend("day_of_week")), holidays)
     columns = [c for c in PRICE_FEATURE_COLUMNS if not (day_ahead_safe and c == "price_lag_1h")]

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from sunledger.functions.scalars import at_least_zero
-from sunledger.functions.timeops import month_index
 from sunledger.operators.features import feature_columns
 from sunledger.settings import (
     BOOST_ROUNDS,
@@ -44,11 +43,11 @@ def chronological_split(
 
     The first month is a scalar subquery over all series, so the labelled frame is one lazy plan without a join.
     """
-    first = rows.select(F.min(month_index(ts))).scalar()
-    month = month_index(ts) - first
+    first = rows.select(F.date_trunc("month", F.min(ts))).scalar()
     ends = (train_months, train_months + validation_months, train_months + validation_months + test_months)
-    label = F.when(month < ends[0], "train").when(month < ends[1], "validation").when(month < ends[2], "test")
-    return rows.withColumn("split", label).where(F.col("split").isNotNull())
+    before = lambda months: F.col(ts) < F.add_months(first, months).cast("timestamp")
+    label = F.when(before(ends[0]), "train").when(before(ends[1]), "validation").otherwise("test")
+    return rows.where(before(ends[2])).withColumn("split", label)
 
 
 @dataclass
@@ -109,11 +108,13 @@ def train_forecaster(
 ) -> Forecaster:
     """Boosted trees on the 'train' rows of a labelled frame, stopped early on the 'validation' rows.
 
-    Missing features are filled with training means. Trees grow one after another, each by distributed histogram
+    Missing features are filled with training means; a feature that no training row has is left out of the model. Trees grow one after another, each by distributed histogram
     passes over the training frame, which is therefore kept in memory with spill to disk.
     """
-    features = feature_columns(split, target)
     usable = split.where(F.col("split").isin("train", "validation")).dropna(subset=[target])
+    columns = feature_columns(split, target)
+    seen = usable.where(F.col("split") == "train").agg(*[F.count(c).alias(c) for c in columns]).first()
+    features = [c for c in columns if seen[c]]
     rows = _inputs(usable, features, "split", target)
     prepare = Pipeline(
         stages=[

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunledger.operators.sizing import BROADCAST_ROWS, largest_group
-
 # Rows of one group that the built-in median may hold in memory.
 ROWS_PER_GROUP = 1_000_000
 
@@ -23,19 +21,25 @@ def agg_with_median(
     value: str,
     name: str,
     others: Sequence[Column] = (),
+    largest: int | None = None,
     rows_per_group: int = ROWS_PER_GROUP,
-    sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Interpolated median of `value` per group, next to other aggregates.
+    """Interpolated median of `value` per group as a double, next to other aggregates. Runs no job.
 
-    The built-in median keeps the distinct values of a group in memory: one pass and the best plan while every
-    group is small. That is measured first, on `sized_by` if given: a frame that is cheaper to count and has at
-    least as many rows per group. Otherwise the median comes from `bracketed_median`.
+    The built-in median keeps the distinct values of a group in memory: one pass and the best plan while every group is
+    small. A caller that knows the `largest` group to be beyond `rows_per_group` gets `bracketed_median`, with the same
+    rows and values: groups with a NULL key, groups of NULLs only, and one row for an empty input without keys.
     """
-    if largest_group(df if sized_by is None else sized_by, by) <= rows_per_group:
-        return df.groupBy(*by).agg(*others, F.median(value).alias(name))
+    if largest is None or largest <= rows_per_group:
+        return df.groupBy(*by).agg(*others, F.median(F.col(value).cast("double")).alias(name))
     median = bracketed_median(df, by, value, name)
-    return df.groupBy(*by).agg(*others).join(median, list(by), "left") if others else median
+    if not others:
+        return median
+    if not by:
+        one = F.lit(1).alias("_one")
+        return df.agg(*others, one).join(median.select("*", one), "_one").drop("_one")
+    key = F.struct(*by).alias("_k")
+    return df.groupBy(key).agg(*others).join(median.select(key, name), "_k").select("_k.*", "*").drop("_k")
 
 
 def bracketed_median(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
@@ -47,23 +51,21 @@ def bracketed_median(df: DataFrame, by: Sequence[str], value: str, name: str) ->
        and inside proves that the bracket holds the middle ranks. A group without that proof keeps all its rows.
     3. Only distinct values inside the bracket are ranked.
 
-    The per-group tables are broadcast when the groups are few; with many groups no join key is hot enough to need it,
-    and adaptive execution splits what remains skewed.
+    Groups are compared as structs, in which a NULL equals a NULL. The per-group tables have a row per group: adaptive
+    execution broadcasts them when the groups are few; with many groups no key is hot enough to need it.
     """
-    by = list(by)
-    if not by:
-        return bracketed_median(df.withColumn("_all", F.lit(1)), ["_all"], value, name).drop("_all")
-    known = df.where(F.col(value).isNotNull())
-    counted = known.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    bracket = known.groupBy(*by).agg(
-        F.percentile_approx(value, [0.5 - BRACKET, 0.5 + BRACKET], SKETCH_ACCURACY).alias("_b")
+    key = F.struct(*by) if by else F.struct(F.lit(1))
+    keyed = df.select(key.alias("_k"), F.col(value).cast("double").alias("_v"))
+    known = keyed.where(F.col("_v").isNotNull())
+    counted = known.groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    bracket = known.groupBy("_k").agg(
+        F.percentile_approx("_v", [0.5 - BRACKET, 0.5 + BRACKET], SKETCH_ACCURACY).alias("_b")
     )
-    few = F.broadcast if known.select(*by).distinct().count() <= BROADCAST_ROWS else (lambda table: table)
-    placed = counted.join(few(bracket), by)
     below = F.col("_v") < F.col("_b")[0]
     inside = F.col("_v").between(F.col("_b")[0], F.col("_b")[1])
     ranks = (
-        placed.groupBy(*by)
+        counted.join(bracket, "_k")
+        .groupBy("_k")
         .agg(
             F.first("_b").alias("_b"),
             F.sum("_n").alias("_total"),
@@ -77,16 +79,12 @@ def bracketed_median(df: DataFrame, by: Sequence[str], value: str, name: str) ->
             (F.col("_below") <= F.col("_low_rank")) & (F.col("_below") + F.col("_inside") > F.col("_high_rank")),
         )
     )
-    near = counted.join(few(ranks), by).where(~F.col("_proven") | inside)
-    running = Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = counted.join(ranks, "_k").where(~F.col("_proven") | inside)
+    running = Window.partitionBy("_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     start = F.when(F.col("_proven"), F.col("_below")).otherwise(0)
     ranked = near.withColumn("_end", start + F.sum("_n").over(running)).withColumn("_start", F.col("_end") - F.col("_n"))
-    holds = lambda rank: (F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
-    return ranked.groupBy(*by).agg(
-        (
-            (
-                F.max(F.when(holds("_low_rank"), F.col("_v"))) + F.max(F.when(holds("_high_rank"), F.col("_v")))
-            )
-            / F.lit(2.0)
-        ).alias(name)
-    )
+    at = lambda rank: F.max(F.when((F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end")), F.col("_v")))
+    medians = ranked.groupBy("_k").agg(((at("_low_rank") + at("_high_rank")) / F.lit(2.0)).alias(name))
+    if not by:
+        return medians.agg(F.max(name).alias(name))
+    return keyed.select("_k").distinct().join(medians, "_k", "left").select("_k.*", name)

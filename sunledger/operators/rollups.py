@@ -130,20 +130,21 @@ def scale_to_annual_total(
     """Scale each (series, year) so that it sums to the target.
 
     The totals are aggregated and joined back rather than taken over a window: a window would bring a whole
-    (series, year) into one task, the join lets adaptive execution broadcast the totals or split a hot key.
+    (series, year) into one task; the totals have a row per series and year, which adaptive execution broadcasts when
+    they are few. Keys are compared as structs, in which a NULL equals a NULL, so rows without asset or time stay.
     """
-    dated = series.withColumn("year", F.year(ts))
-    totals = dated.groupBy(*by, "year").agg(F.sum(value).alias("_total"))
+    dated = series.withColumn("_k", F.struct(*by, F.year(ts).alias("_year")))
+    totals = dated.groupBy("_k").agg(F.sum(value).alias("_total"))
     scaled = F.col(value) * F.lit(float(target_kwh)) / F.col("_total")
-    return dated.join(totals, [*by, "year"]).withColumn(value, scaled).drop("_total", "year")
+    return dated.join(totals, "_k").withColumn(value, scaled).select(*series.columns)
 
 
-def hourly_shape_median(series: DataFrame, value: str, ts: str = "ts_local") -> DataFrame:
-    """Median by local hour, winter against summer."""
+def hourly_shape_median(series: DataFrame, value: str, ts: str = "ts_local", largest: int | None = None) -> DataFrame:
+    """Median by local hour, winter against summer; `largest`: rows of the largest group, if known."""
     rows = series.select(season(ts).alias("season"), hour_of_day(ts).alias("hour"), value).where(
         F.col("season").isNotNull()
     )
-    return agg_with_median(rows, ["season", "hour"], value, f"median_{value}")
+    return agg_with_median(rows, ["season", "hour"], value, f"median_{value}", largest=largest)
 
 
 def series_summary(
@@ -151,7 +152,7 @@ def series_summary(
     value: str,
     ts: str = "ts_utc",
     by: Sequence[str] = ("asset_id",),
-    sized_by: DataFrame | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
     """Period, min, max, mean and exact median of a series."""
     others = [
@@ -162,7 +163,7 @@ def series_summary(
         F.max(value).alias("max_value"),
         F.avg(value).alias("mean_value"),
     ]
-    return agg_with_median(series, by, value, "median_value", others, sized_by=sized_by)
+    return agg_with_median(series, by, value, "median_value", others, largest)
 
 
 def summary_by_type(long: DataFrame, value: str = "generation_mw", label: str = "gen_type") -> DataFrame:

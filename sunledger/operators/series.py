@@ -7,46 +7,46 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunledger.operators.sizing import largest_group
 from sunledger.settings import LAGS, ROWS_PER_TASK
 
 KEYS = ("asset_id",)
 
 
-def chunk_span(df: DataFrame, keys: Sequence[str], ts: str, rows_per_task: int) -> int:
-    """Chunk length in microseconds that brings the densest series of more than `rows_per_task` rows down to about
-    that many rows per chunk. One number comes back to the driver."""
-    stamp = F.unix_micros(F.col(ts).cast("timestamp"))
-    extents = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.max(stamp) - F.min(stamp) + 1).alias("micros"))
-    span = extents.where(F.col("n") > rows_per_task).agg(F.min(F.col("micros") / F.col("n") * rows_per_task))
-    return max(1, int(span.first()[0]))
-
-
 def lag_rows(
     df: DataFrame,
     lags: Mapping[str, tuple[str, int]],
     keys: Sequence[str] = KEYS,
     ts: str = "ts_utc",
     rows_per_task: int = ROWS_PER_TASK,
-    sized_by: DataFrame | None = None,
     largest: int | None = None,
 ) -> DataFrame:
-    """Add `name = column n rows earlier in the series` for each `name: (column, n)`.
+    """Add `name = column n rows earlier in the series` for each `name: (column, n)`. Runs no job.
 
     All lags share one window: one shuffle on the series key and one sort. That is the best plan as long as every
-    series fits a task. This is measured first, unless the caller knows the `largest` series: on `sized_by` if given,
-    a frame that is cheaper to count and has at least as many rows per key. A longer series is cut into time chunks,
-    see `lag_rows_chunked`.
+    series fits a task. A caller that knows the `largest` series to be longer than `rows_per_task` gets every series cut
+    into time chunks of about that many of its own rows, see `in_chunks`.
     """
-    sized_by = df if sized_by is None else sized_by
-    if largest is None:
-        largest = largest_group(sized_by, keys)
-    if largest > rows_per_task:
-        return lag_rows_chunked(df, lags, chunk_span(sized_by, keys, ts, rows_per_task), keys, ts)
+    if largest is not None and largest > rows_per_task:
+        return in_chunks(chunked_by_rows(df, largest, rows_per_task, keys, ts), lags, keys, ts)
     window = Window.partitionBy(*keys).orderBy(ts)
     return df.withColumns({name: F.lag(c, n).over(window) for name, (c, n) in lags.items()})
 
 
+def chunked_by_rows(df: DataFrame, largest: int, rows_per_task: int, keys: Sequence[str], ts: str) -> DataFrame:
+    """Add `_chunk`: every series is cut at quantiles of its own instants into as many chunks as its own row count needs,
+    whatever its density and its bursts. Keys are compared as structs, in which a NULL equals a NULL."""
+    parts = -(-largest // rows_per_task)
+    stamp = F.unix_micros(F.col(ts).cast("timestamp"))
+    key = F.struct(*keys)
+    shape = df.groupBy(key.alias("_k")).agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).alias("_parts"),
+        F.percentile_approx(stamp, [i / parts for i in range(1, parts)], 20 * parts).alias("_cuts"),
+    )
+    nth = F.size(F.filter("_cuts", lambda cut: cut < stamp))
+    chunk = F.floor(nth * F.col("_parts") / F.lit(parts))
+    return df.withColumn("_k", key).join(shape, "_k").withColumn("_chunk", chunk).drop("_k", "_cuts", "_parts")
+
+
 def lag_rows_chunked(
     df: DataFrame,
     lags: Mapping[str, tuple[str, int]],
@@ -54,17 +54,22 @@ def lag_rows_chunked(
     keys: Sequence[str] = KEYS,
     ts: str = "ts_utc",
 ) -> DataFrame:
-    """`lag_rows` for series of any length, with the same answer whatever the gaps.
+    """`lag_rows` over chunks of a fixed span in microseconds, for series of one density."""
+    chunk = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(span))
+    return in_chunks(df.withColumn("_chunk", chunk), lags, keys, ts)
+
 
-    The window runs per (series, time chunk). Inside a chunk it settles every row that has at least `depth` rows
+def in_chunks(chunked: DataFrame, lags: Mapping[str, tuple[str, int]], keys: Sequence[str], ts: str) -> DataFrame:
+    """Row lags of series of any length, cut by `_chunk` in the order of time; the same answer whatever the gaps.
+
+    The window runs per (series, chunk). Inside a chunk it settles every row that has at least `depth` rows
     before it. The remaining rows are the first `depth` of each chunk; all rows that can precede them are within
     the first or last `depth` rows of some chunk, so a second window over just those edge rows settles them.
     Both branches read the same shuffle.
     """
     depth = max(n for _, n in lags.values())
-    chunk = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(span))
     in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(ts)
-    numbered = df.withColumn("_chunk", chunk).withColumns(
+    numbered = chunked.withColumns(
         {
             "_row": F.row_number().over(in_chunk),
             "_is_tail": F.lead(F.lit(1), depth).over(in_chunk).isNull(),
@@ -86,9 +91,11 @@ def lag_features(
     prefix: str,
     lags: Sequence[int] = LAGS,
     rows_per_task: int = ROWS_PER_TASK,
+    largest: int | None = None,
 ) -> DataFrame:
     """Row lags of one value: `<prefix>_lag_<n>h`."""
-    return lag_rows(series, {f"{prefix}_lag_{n}h": (value, n) for n in lags}, rows_per_task=rows_per_task)
+    named = {f"{prefix}_lag_{n}h": (value, n) for n in lags}
+    return lag_rows(series, named, rows_per_task=rows_per_task, largest=largest)
 
 
 def lag_by_time(

@@ -19,18 +19,18 @@ def group_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
     return largest or 0, total or 0
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    return group_sizes(df, by)[0]
-
-
 def join_dimension(
-    rows: DataFrame, dimension: DataFrame, on: str | Sequence[str], how: str = "inner", limit: int = BROADCAST_ROWS
+    rows: DataFrame,
+    dimension: DataFrame,
+    on: str | Sequence[str],
+    how: str = "inner",
+    n_rows: int | None = None,
+    limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join a dimension: broadcast if counting shows at most `limit` rows, else a shuffled join.
+    """Join a dimension: broadcast if the caller knows it to have at most `limit` rows. Runs no job.
 
-    The estimate of a derived dimension is the product of its inputs and too high to be broadcast by itself, and a
-    shuffle of the rows on a dimension key would gather a hot key. Beyond the limit adaptive execution splits such a
-    partition.
+    Otherwise the planner decides: adaptive execution broadcasts a side that turns out small, and splits a partition in
+    which a hot key gathers.
     """
-    small = dimension.count() <= limit
+    small = n_rows is not None and n_rows <= limit
     return rows.join(F.broadcast(dimension) if small else dimension, on, how)

@@ -249,14 +249,13 @@ class Bindings:
             self.price_weather,
             self.price_load_forecast,
             self.price_genmix,
-            sized_by=self.order_series,
         )
 
     @cached_property
     def pv_features(self) -> DataFrame:
-        return pv_features(self.supplier_hourly, self.supplier_weather, sized_by=self.supplier_rows)
+        return pv_features(self.supplier_hourly, self.supplier_weather)
 
-    # The feature tables as stored marts: splits, forecasts and metrics read them several times.
+    # The feature tables as stored marts, for the metrics, which read them several times. All else is lazy.
     def _stored(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
         df.write.parquet(path)
@@ -272,11 +271,11 @@ class Bindings:
 
     @cached_property
     def price_split(self) -> DataFrame:
-        return chronological_split(scan_ordered(self.price_mart, PRICE_LAGS))
+        return chronological_split(scan_ordered(self.price_features, PRICE_LAGS))
 
     @cached_property
     def pv_split(self) -> DataFrame:
-        return chronological_split(scan_ordered(self.pv_mart, PV_LAGS))
+        return chronological_split(scan_ordered(self.pv_features, PV_LAGS))
 
     def blend(self, split: DataFrame, target: str, prefix: str) -> DataFrame:
         """A fixed blend of both naive forecasts over the test window, standing in for a trained model."""

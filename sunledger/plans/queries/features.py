@@ -56,7 +56,7 @@ FROM price_features
 def lag_after_join(b: Bindings) -> DataFrame:
     prices = b.price_hourly.select("asset_id", "ts_utc", "price_eur_mwh")
     enriched = features.price_enrich_join(prices, b.price_weather, b.price_load_forecast, b.price_genmix)
-    lagged = features.lag_after_join(enriched, sized_by=prices)
+    lagged = features.lag_after_join(enriched)
     return lagged.select(
         "asset_id",
         "ts_utc",

@@ -90,7 +90,7 @@ FROM price_blend GROUP BY 1
 """
 )
 def mae_by_hour(b: Bindings) -> DataFrame:
-    return rounded(evaluation.mae_by_hour(b.forecasts, "price_eur_mwh"), 6)
+    return rounded(evaluation.mae_by_hour(b.price_blend, "price_eur_mwh"), 6)
 
 
 GATE_SQL = """
@@ -169,7 +169,14 @@ def score_test_window(b: Bindings) -> DataFrame:
     )
 
 
-@query()
+@query(
+    """
+SELECT 'price_eur_mwh' AS target, 'gbt_v1' AS model_version, false AS nonnegative, [
+  'price_lag_1h', 'price_lag_24h', 'price_lag_168h', 'hour_of_day', 'day_of_week', 'is_weekend', 'is_holiday', 'ghi_w_m2',
+  'temp_c', 'cloud_pct', 'wind_ms', 'load_forecast_mw', 'solar_share_lag24h', 'hydro_share_lag24h',
+  'nuclear_share_lag24h', 'total_gen_mw_lag24h'] AS features
+"""
+)
 def model_bundle(b: Bindings) -> DataFrame:
     """What is stored with a saved model."""
     return b.spark.read.schema(forecasting.BUNDLE_SCHEMA).json(f"{bundle(b, 'price_eur_mwh')}/about")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sunledger.operators.evaluation import attach_baselines, error_metrics_by_split
 from sunledger.operators.features import PRICE_LAGS, PV_LAGS
+from sunledger.operators.forecasting import chronological_split
 from sunledger.plans.bindings import GEN_TYPES, Bindings
 from sunledger.plans.registry import query, rounded, rounds
 from sunledger.session import scratch_path
@@ -225,8 +226,10 @@ def scan_ordered_pv(b: Bindings) -> DataFrame:
 
 
 def price_and_pv_metrics(b: Bindings) -> DataFrame:
-    price = attach_baselines(b.price_blend, b.price_mart, "price")
-    pv = attach_baselines(b.pv_blend, b.pv_mart, "pv")
+    price_split = chronological_split(scan(b.price_mart, PRICE_LAGS))
+    pv_split = chronological_split(scan(b.pv_mart, PV_LAGS))
+    price = attach_baselines(b.blend(price_split, "price_eur_mwh", "price"), b.price_mart, "price")
+    pv = attach_baselines(b.blend(pv_split, "pv_power_kw", "pv"), b.pv_mart, "pv")
     return error_metrics_by_split(price, "price_eur_mwh").unionByName(error_metrics_by_split(pv, "pv_power_kw"))
 
 

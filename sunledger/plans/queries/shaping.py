@@ -10,7 +10,7 @@ from sunledger.operators import balance, economics, evaluation, features, stagin
 from sunledger.operators.rollups import filter_years as years_of
 from sunledger.operators.rollups import kpi_daily, kpi_monthly
 from sunledger.plans.bindings import Bindings
-from sunledger.plans.oracle_text import GENMIX_SUMS, local
+from sunledger.plans.oracle_text import GENMIX_SUMS, local, share_of
 from sunledger.plans.registry import query, rounded, rounds
 
 
@@ -240,8 +240,8 @@ FORECAST_SQL = (
 
 @query(FORECAST_SQL)
 def filter_target(b: Bindings) -> DataFrame:
-    """One target out of a stored forecast table: the predicate reaches the Parquet scan."""
-    return rounded(evaluation.filter_target(b.forecasts, "price_eur_mwh"), 3)
+    """One target out of a forecast table."""
+    return rounded(evaluation.filter_target(b.price_blend, "price_eur_mwh"), 3)
 
 
 @query(
@@ -396,7 +396,7 @@ FROM price_blend b LEFT JOIN price_features p ON b.asset_id = p.asset_id AND b.t
 """
 )
 def forecast_vs_seasonal(b: Bindings) -> DataFrame:
-    return rounded(evaluation.forecast_vs_seasonal(b.forecasts, b.price_mart), 3)
+    return rounded(evaluation.forecast_vs_seasonal(b.price_blend, b.price_features), 3)
 
 
 @query(
@@ -406,7 +406,7 @@ FROM pv_blend b LEFT JOIN pv_features p ON b.asset_id = p.asset_id AND b.ts_utc
 """
 )
 def forecast_vs_persistence(b: Bindings) -> DataFrame:
-    return rounded(evaluation.forecast_vs_persistence(b.forecasts, b.pv_mart), 3)
+    return rounded(evaluation.forecast_vs_persistence(b.pv_blend, b.pv_features), 3)
 
 
 @query(
@@ -416,16 +416,14 @@ SELECT asset_id, ts_utc, ts_local, target, round(y_pred, 3) AS y_pred, y_true, m
 """
 )
 def attach_baselines(b: Bindings) -> DataFrame:
-    return rounded(evaluation.attach_baselines(b.price_blend, b.price_mart, "price"), 3)
+    return rounded(evaluation.attach_baselines(b.price_blend, b.price_features, "price"), 3)
 
 
 # ---- pivot of the long generation table
 @query(
     f"""
 SELECT asset_id, ts_utc, ts_local, {rounds('solar_mw hydro_mw nuclear_mw gas_mw wind_mw total_gen_mw', 2)},
-  round(CASE WHEN total_gen_mw > 0 THEN solar_mw / total_gen_mw ELSE 0 END, 8) AS solar_share,
-  round(CASE WHEN total_gen_mw > 0 THEN hydro_mw / total_gen_mw ELSE 0 END, 8) AS hydro_share,
-  round(CASE WHEN total_gen_mw > 0 THEN nuclear_mw / total_gen_mw ELSE 0 END, 8) AS nuclear_share
+  {", ".join(f"round({share_of(c)}, 8) AS {c}_share" for c in ("solar", "hydro", "nuclear"))}
 FROM (SELECT asset_id, ts_utc, ts_local, {GENMIX_SUMS} FROM genmix_long GROUP BY 1, 2, 3) AS summed
 """
 )

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger.operators import balance, economics, evaluation, features, forecasting, quality, rollups, staging
+from sunledger.operators.sizing import group_sizes
 from sunledger.session import pin_session
 from sunledger.settings import ACCEPTED_RANGES, NOT_NULL, RAW_BOUNDS, UNIQUE_KEYS, ZONE
 from sunledger.sources.schemas import RAW_TABLES
@@ -70,7 +71,7 @@ class Warehouse:
         failed = report.where((F.col("severity") == "error") & (F.col("bad_rows") > 0))
         rows = failed.limit(20).collect()
         if rows:
-            raise ValueError("checks failed: " + "; ".join(f"{r.table_name}.{r.column_name}: {r.check_name} {r.bad_rows}" for r in rows))
+            raise ValueError(f"{failed.count()} checks failed, the first: " + "; ".join(f"{r.table_name}.{r.column_name}: {r.check_name} {r.bad_rows}" for r in rows))
 
     # ---- staging (lazy)
     def staged(self) -> dict[str, DataFrame]:
@@ -94,7 +95,7 @@ class Warehouse:
             balance.energy_balance(stg["stg_pvgis_hourly"], stg["stg_load_hourly"]),
         )
         rows["fct_asset_performance"] = self._store(
-            "fct_asset_performance", balance.asset_facts(self.table("int_hourly_energy_balance"), assets)
+            "fct_asset_performance", balance.asset_facts(self.table("int_hourly_energy_balance"), assets, assets.count())
         )
         rows["mrt_zev_kpis_daily"] = self._store(
             "mrt_zev_kpis_daily", rollups.kpi_daily(self.table("fct_asset_performance"))
@@ -110,13 +111,23 @@ class Warehouse:
                 stg["stg_openmeteo_hourly"],
                 stg["stg_entsoe_load_forecast"],
                 stg["stg_entsoe_genmix"],
+                sizes=self._sizes("entsoe_prices", "openmeteo_hourly", "entsoe_load_forecast", "entsoe_genmix"),
             ),
         )
         rows["fct_pv_features"] = self._store(
-            "fct_pv_features", features.pv_features(stg["stg_pvgis_hourly"], stg["stg_openmeteo_hourly"])
+            "fct_pv_features",
+            features.pv_features(
+                stg["stg_pvgis_hourly"], stg["stg_openmeteo_hourly"], sizes=self._sizes("pvgis_hourly", "openmeteo_hourly")
+            ),
         )
         return rows
 
+    def _sizes(self, *names: str) -> tuple[int, int]:
+        """Rows of the largest series of any of the raw tables, and of the first table: stored tables are measured once,
+        by a pre-aggregated count, before the plans over them are made."""
+        sizes = [group_sizes(self.table(f"raw/{name}"), ["asset_id"]) for name in names]
+        return max(largest for largest, _ in sizes), sizes[0][1]
+
     def build_battery(self, dispatch: DataFrame) -> dict[str, int]:
         """Battery marts from a dispatch table."""
         staged = staging.stg_battery(dispatch, self.zone)

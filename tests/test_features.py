@@ -64,8 +64,8 @@ def test_three_plans_one_answer(spark, tables):
     natural = build()
     want = rows(natural)
     assert len(want) == 4200
-    assert rows(build(rows_to_partition=0)) == want
-    assert rows(build(rows_per_task=100)) == want
+    assert rows(build(sizes=(4200, 4200), rows_to_partition=0)) == want
+    assert rows(build(sizes=(4200, 4200), rows_per_task=100)) == want
     assert natural.where("is_holiday").select(F.to_date("ts_local").alias("d")).distinct().count() == 4
 
 
@@ -75,7 +75,7 @@ def test_partitioned_by_series_shuffles_each_input_once(spark, tables):
     try:
         holidays = holiday_dim(spark, 2019, 2020)
         natural = features.price_features(holidays=holidays, **tables)
-        together = features.price_features(holidays=holidays, **tables, rows_to_partition=0)
+        together = features.price_features(holidays=holidays, **tables, sizes=(4200, 4200), rows_to_partition=0)
         assert (shuffles(natural), shuffles(together)) == (5, 4)
         assert rows(natural) == rows(together)
     finally:

@@ -53,14 +53,51 @@ def test_chunked_lag_equals_window_lag(spark, span_hours):
 
 def test_long_series_is_cut_into_chunks(spark):
     df = hours(spark, range(2000))
-    span = series.chunk_span(df, ["asset_id"], "ts_utc", 500)
-    assert span == pytest.approx(500 * HOUR * 1e6, rel=0.01)
     lags = {"l24": ("v", 24)}
-    split = series.lag_rows(df, lags, rows_per_task=500)
+    split = series.lag_rows(df, lags, rows_per_task=500, largest=2000)
     assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
     assert by_key(split, "v", "l24") == by_key(series.lag_rows(df, lags), "v", "l24")
 
 
+def test_a_mixed_fleet_is_cut_by_rows(spark):
+    """A dense, a long and a bursty series, and one without a name: no chunk is larger than twice the limit."""
+    micros = {
+        "dense": [i * 1000 for i in range(4000)],
+        "long": [i * HOUR * 1_000_000 for i in range(2000)],
+        "bursty": [i * HOUR * 1_000_000 for i in range(300)] + [100 * HOUR * 1_000_000 + 7 * i + 1 for i in range(3000)],
+        None: [i * 1_000_000 for i in range(50)],
+    }
+    rows = [(a, m, float(m)) for a, stamps in micros.items() for m in stamps]
+    df = spark.createDataFrame(rows, "asset_id STRING, m LONG, v DOUBLE").withColumn("ts_utc", F.timestamp_micros("m")).drop("m")
+    lags = {"l1": ("v", 1), "l24": ("v", 24)}
+    chunks = series.chunked_by_rows(df, 4000, 500, ["asset_id"], "ts_utc").groupBy("asset_id", "_chunk").count().collect()
+    assert max(r["count"] for r in chunks) <= 1000
+    assert sum(r.asset_id == "long" for r in chunks) == 4 and sum(r.asset_id is None for r in chunks) == 1
+    cut = series.lag_rows(df, lags, rows_per_task=500, largest=4000)
+    assert by_key(cut, "v", *lags) == by_key(series.lag_rows(df, lags), "v", *lags)
+
+
+def test_operators_run_no_job_while_a_frame_is_built(spark):
+    from sunledger.plans.bindings import Bindings
+    from sunledger.plans.queries import features, rollups, shaping  # noqa: F401
+    from sunledger.plans.registry import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    Bindings(spark, folder).table("lineitem").schema  # warm
+    names = (
+        "lag_features price_features pv_features baseline_frame hourly_shape_median series_summary_fleet kpi_monthly_fleet "
+        "battery_monthly filter_target mae_by_hour"
+    ).split()
+    spark.sparkContext.setJobGroup("built", "frames")
+    try:
+        frames = [QUERIES[n](spark, folder) for n in names]
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("built")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Reading the footers of its tables is the only job a lazy frame may start; five tables at most.
+    assert len(frames) == len(names) and len(jobs) <= 3 * len(names)
+
+
 def test_baseline_frame_drops_warm_up(spark):
     df = hours(spark, range(336))
     frame = series.baseline_frame(df, "v")
@@ -99,14 +136,14 @@ def test_bracketed_median_is_exact(spark, seed):
     df = spark.createDataFrame(rows, "g STRING, v DOUBLE").repartition(7)
     want = medians(df.groupBy("g").agg(F.expr("percentile(v, 0.5)").alias("m")))
     assert medians(bracketed_median(df, ["g"], "v", "m")) == pytest.approx(want)
-    assert medians(agg_with_median(df, ["g"], "v", "m", rows_per_group=100)) == pytest.approx(want)
+    assert medians(agg_with_median(df, ["g"], "v", "m", largest=20_000, rows_per_group=100)) == pytest.approx(want)
     assert medians(agg_with_median(df, ["g"], "v", "m")) == pytest.approx(want)
 
 
 def test_median_next_to_other_aggregates(spark):
     df = spark.createDataFrame([("a", float(i)) for i in range(10)] + [("b", 7.0)], "g STRING, v DOUBLE")
     for limit in (1, 1000):
-        got = agg_with_median(df, ["g"], "v", "m", [F.count("v").alias("n")], rows_per_group=limit)
+        got = agg_with_median(df, ["g"], "v", "m", [F.count("v").alias("n")], largest=10, rows_per_group=limit)
         assert {(r.g, r.n, r.m) for r in got.collect()} == {("a", 10, 4.5), ("b", 1, 7.0)}
 
 
@@ -115,10 +152,27 @@ def test_bracketed_median_without_a_group(spark):
     assert bracketed_median(df, [], "v", "m").first().m == 50.0
 
 
+@pytest.mark.parametrize("kind", ["INT", "FLOAT", "DOUBLE", "DECIMAL(10,2)"])
+def test_both_medians_give_one_answer(spark, kind):
+    """NULL keys, groups of NULLs only, values near the type's limit, an empty input."""
+    rows = [("a", 1), ("a", 3), ("b", None), (None, 2), (None, 7), (None, None), ("c", 2147483646), ("c", 2147483647)]
+    if kind != "INT":
+        rows[-2:] = [("c", 16777214), ("c", 16777215)]
+    df = spark.createDataFrame(rows, "g STRING, i INT").select("g", F.col("i").cast(kind).alias("v"))
+    shown = lambda frame: sorted(map(repr, map(tuple, frame.collect())))
+    for source in (df, df.where("1 = 0")):
+        for by in (["g"], []):
+            for others in ([], [F.count("v").alias("n"), F.count(F.lit(1)).alias("rows")]):
+                small = agg_with_median(source, by, "v", "m", others)
+                large = agg_with_median(source, by, "v", "m", others, largest=2, rows_per_group=1)
+                assert shown(small) == shown(large) and small.columns == large.columns
+
+
 def test_dimension_join_broadcasts_only_below_the_limit(spark):
     rows = spark.range(100).withColumn("k", F.col("id") % 10)
     dim = spark.range(10).withColumnRenamed("id", "k")
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in plan(join_dimension(rows, dim, "k"))
-    assert "strategy=broadcast" not in plan(join_dimension(rows, dim, "k", limit=5))
-    assert join_dimension(rows, dim, "k", limit=5).count() == 100
+    assert "strategy=broadcast" in plan(join_dimension(rows, dim, "k", n_rows=10))
+    assert "strategy=broadcast" not in plan(join_dimension(rows, dim, "k", n_rows=10, limit=5))
+    assert "strategy=broadcast" not in plan(join_dimension(rows, dim, "k"))
+    assert join_dimension(rows, dim, "k", n_rows=10, limit=5).count() == 100
