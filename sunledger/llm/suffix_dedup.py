@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sunledger.llm.common import stored
 from sunledger.llm.repeats import (
+    MULTIPLIERS,
     anchor_rows,
     covered,
     distinct_unions,
@@ -68,6 +69,12 @@ def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
     return low
 
 
+def spread(gram: int) -> bytes:
+    """The gram's hash as the first bytes of a key. Anchors have the smallest hashes around, so all of them are small; an
+    odd factor deals them evenly over the ranges and keeps different hashes apart."""
+    return (gram * MULTIPLIERS[0] & (2**64 - 1)).to_bytes(8, "big")
+
+
 def pack_run(suffixes: list[Suffix]) -> bytes:
     """A sorted run, front-coded: each key without the prefix it shares with the key before."""
     shared, tails, before = [], [], b""
@@ -193,7 +200,7 @@ def sorted_runs(heads: DataFrame, ranges: int, window: int) -> DataFrame:
             for text, h in zip(batch.column(1).to_pylist(), lists_of(batch.column(2))):
                 for first, n, lead, gram, union, count in zip(*(h[k].tolist() for k in ("first", "n", "lead", "gram", "union", "c"))):
                     at = first + lead
-                    key = (gram & (2**64 - 1)).to_bytes(8, "big") + text[at : first + n - 1 + window]
+                    key = spread(gram) + text[at : first + n - 1 + window]
                     held.append(Suffix(key, text[first:at], gram, union, count))
                     size += n + window + 100
                 if size > RUN_BYTES:
