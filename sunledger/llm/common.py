@@ -32,7 +32,7 @@ def delete_on_exit(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
 
 
-def identified(docs: DataFrame, *columns: str) -> DataFrame:
+def identified(docs: DataFrame, *columns: str | Column) -> DataFrame:
     """`doc_id`, the named columns and `_twin`, a hash of the text. (doc_id, _twin) names a row wherever results must
     find their text again: rows that share both hold the same text, so they share every result as well."""
     return docs.select("doc_id", *columns, F.xxhash64(F.coalesce("text", F.lit(""))).alias("_twin"))

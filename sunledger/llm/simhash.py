@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import fresh_name, same_rows, stored
+from sunledger.llm.common import fresh_name, identified, stored
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -47,15 +47,15 @@ def fingerprint(text: bytes | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (as a long) of every row."""
+    """doc_id, _twin (a hash of the text), fingerprint (as a long) of every row."""
 
     def run(batches):
         for batch in batches:
-            prints = pa.array([fingerprint(t) for t in batch.column(1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["doc_id", "fingerprint"])
+            prints = pa.array([fingerprint(t) for t in batch.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], ["doc_id", "_twin", "fingerprint"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fingerprint long")
+    rows = identified(docs, F.col("text").cast("binary").alias("text")).select(F.col("doc_id").cast("long").alias("doc_id"), "_twin", "text")
+    return rows.mapInArrow(run, "doc_id long, _twin long, fingerprint long")
 
 
 @dataclass(frozen=True)
@@ -238,40 +238,44 @@ def components(edges: DataFrame) -> DataFrame:
         edges = stored(small.unionByName(low.select(F.col("m").alias("a"), "b")).distinct(), "edges")
 
 
-def near_duplicates(docs: DataFrame, most: int = MOST_BITS) -> DataFrame:
-    """Per row of docs: doc_id, fingerprint (long), component_id.
-
-    Rows are linked if their fingerprints differ in at most `most` bits; component_id is the smallest doc_id that links
-    reach. Copies share a fingerprint, so links are sought between distinct fingerprints only. Null and blank texts have
-    fingerprint zero and are linked like any other; a null doc_id is never the smallest unless all are null. Repeated
-    rows come back as often as they are there. No documents, no rows.
-    """
-    rows = stored(fingerprints(docs), "fingerprints")
-    classes = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")), "fingerprint-classes")
+def component_firsts(rows: DataFrame, first: Column, most: int = MOST_BITS) -> DataFrame:
+    """(fingerprint, first): per distinct fingerprint of the rows the smallest `first` in its component. Copies share a
+    fingerprint, so links are sought between distinct fingerprints only."""
+    classes = stored(rows.groupBy("fingerprint").agg(F.min(first).alias("least")), "fingerprint-classes")
     roots = components(links(classes.select("fingerprint"), most))
     rooted = stored(
         classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-            "fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root")
+            "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
         ),
         "roots",
     )
-    least = stored(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "component-ids")
-    named = stored(rooted.join(least.hint("merge"), "root").select("fingerprint", "component_id"), "named-fingerprints")
-    return rows.join(named.hint("merge"), "fingerprint").select("doc_id", "fingerprint", "component_id")
+    firsts = stored(rooted.groupBy("root").agg(F.min("least").alias("first")), "component-firsts")
+    return stored(rooted.join(firsts.hint("merge"), "root").select("fingerprint", "first"), "named-fingerprints")
+
+
+def near_duplicates(docs: DataFrame, most: int = MOST_BITS) -> DataFrame:
+    """Per row of docs: doc_id, fingerprint (long), component_id.
+
+    Rows are linked if their fingerprints differ in at most `most` bits; component_id is the smallest doc_id that links
+    reach. Null and blank texts have fingerprint zero and are linked like any other; a null doc_id is never the smallest
+    unless all are null. Repeated rows come back as often as they are there. No documents, no rows.
+    """
+    rows = stored(fingerprints(docs).select("doc_id", "fingerprint"), "fingerprints")
+    named = component_firsts(rows, F.col("doc_id"), most)
+    return rows.join(named.hint("merge"), "fingerprint").select("doc_id", "fingerprint", F.col("first").alias("component_id"))
 
 
 def dedup_near(docs: DataFrame, most: int = MOST_BITS) -> DataFrame:
-    """The documents that stay, with all their columns: of each component the one with the smallest doc_id. Documents
-    that repeat it stay one; a component without any doc_id keeps one of its documents."""
-    judged = near_duplicates(docs, most)
-    stays = judged.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fingerprint").distinct()
-    nameless = stays.where("doc_id IS NULL").groupBy("doc_id").agg(F.min("fingerprint").alias("fingerprint"))
-    ids = stays.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    kept = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    if nameless.isEmpty():
-        return kept.select(*docs.columns)
-    blank = docs.where("doc_id IS NULL").dropDuplicates(["text"])
-    return kept.unionByName(blank).select(*docs.columns)
+    """The documents that stay, with all their columns: of each component the one with the smallest doc_id, or one
+    without a doc_id if none has any. A doc_id that repeats with texts of several components may stay once in each; rows
+    that repeat both doc_id and text stay one. The smaller hash of the text settles what is left."""
+    name, number, twin = (fresh_name(docs, c) for c in ("_nameless", "_number", "_twin"))
+    row = [F.col("doc_id").isNull().alias(name), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias(number)]
+    firsts = component_firsts(stored(fingerprints(docs), "fingerprints"), F.struct(*row, F.col("_twin").alias(twin)), most)
+    # Keys that are never null: the join's partitioning serves the removal of repeated rows as well.
+    keyed_docs = docs.select("*", *row, F.xxhash64(F.coalesce("text", F.lit(""))).alias(twin))
+    kept = keyed_docs.join(firsts.select("first.*").distinct(), [name, number, twin], "left_semi")
+    return kept.dropDuplicates([name, number, twin]).select(*docs.columns)
 
 
 def as_hex(prints: Column) -> Column:

@@ -161,6 +161,14 @@ def test_simhash_components(spark, docs, rows, nothing):
     assert kept.columns == docs.columns and kept.where("doc_id = 31 OR doc_id = 2").count() == 0
 
 
+def test_near_dedup_keeps_one_of_each_component(spark):
+    """Ids that repeat with other texts, rows that repeat, and rows without an id."""
+    one, two, three = ("a b c d e", "quite another text", "no id at all here")
+    rows = [(5, one), (5, two), (5, two), (8, two), (9, three), (None, three), (None, None), (None, ""), (None, "left alone")]
+    kept = [(r.doc_id, r.text or "") for r in simhash.dedup_near(frame(spark, rows)).collect()]
+    assert shown(kept) == shown([(5, one), (5, two), (9, three), (None, ""), (None, "left alone")])
+
+
 @pytest.mark.parametrize("bucket", [0, 3, 64])
 def test_links_connect_all_close_fingerprints(spark, bucket):
     rng = random.Random(9)
