@@ -102,15 +102,28 @@ def check_row_count(
     return _report(counted.select(bad.alias("bad")), "row_count", table, {distinct or "*": "bad"}, "error")
 
 
-def check_hour_coverage(df: DataFrame, table: str, ts: str = "ts_utc", share: float = MIN_HOUR_SHARE) -> DataFrame:
-    """`check_row_count` against the hours between the first and last timestamp, over distinct hours."""
-    hours = df.select(F.date_trunc("hour", ts).alias("h")).distinct()
-    seen = hours.agg(
-        F.count("h").alias("n"),
-        ((F.unix_seconds(F.max("h")) - F.unix_seconds(F.min("h"))) / 3600 + 1).alias("expected"),
-    )
-    bad = F.greatest(F.ceil(F.col("expected") * F.lit(float(share))) - F.col("n"), F.lit(0))
-    return _report(seen.select(bad.alias("bad")), "row_count", table, {ts: "bad"}, "error")
+def check_hour_coverage(
+    df: DataFrame,
+    table: str,
+    ts: str = "ts_utc",
+    share: float = MIN_HOUR_SHARE,
+    by: Sequence[str] = ("asset_id",),
+    window: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Distinct hours that each series lacks of `share` x the hours of `window` (its end excluded), summed over the
+    series; without a window, of the hours between the first and last of all series. An empty table lacks them all."""
+    hour = F.date_trunc("hour", ts)
+    if window is None:
+        first, last = (df.select(F.unix_seconds(F.date_trunc("hour", f(ts)))).scalar() for f in (F.min, F.max))
+        expected, inside = (last - first) / 3600 + 1, F.col("_hour").isNotNull()
+    else:
+        start, end = (F.lit(bound).cast("timestamp") for bound in window)
+        expected, inside = (F.unix_seconds(end) - F.unix_seconds(start)) / 3600, (F.col("_hour") >= start) & (F.col("_hour") < end)
+    wanted = F.ceil(expected * F.lit(float(share)))
+    seen = df.select(*by, hour.alias("_hour")).distinct().groupBy(*by).agg(F.count_if(inside).alias("n"))
+    short = seen.agg(F.count(F.lit(1)).alias("series"), F.sum(F.greatest(wanted - F.col("n"), F.lit(0))).alias("short"))
+    bad = F.when(F.col("series") == 0, wanted).otherwise(F.col("short"))
+    return _report(short.select(bad.alias("bad")), "row_count", table, {ts: "bad"}, "error")
 
 
 def check_annual_total(
@@ -161,6 +174,12 @@ def split_overlap(split: DataFrame, key: Sequence[str] = ("asset_id", "ts_utc"))
     return labels.where(F.col("lo") != F.col("hi")).select(*key)
 
 
+def check_split_overlap(split: DataFrame, table: str, key: Sequence[str] = ("asset_id", "ts_utc")) -> DataFrame:
+    """Number of keys that occur in more than one split."""
+    shared = split_overlap(split, key).agg(F.count(F.lit(1)).alias("bad"))
+    return _report(shared, "split_overlap", table, {", ".join(key): "bad"}, "error")
+
+
 def all_checks(reports: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), reports)
 

@@ -167,13 +167,17 @@ def ordering_check(
     )
 
 
-def expected_hours(series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_utc") -> DataFrame:
-    """Every hour between the first and last of each series. Months are exploded first and spread out, then the
+def expected_hours(
+    series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_utc", window: tuple[str, str] | None = None
+) -> DataFrame:
+    """Every hour of `window` (its end excluded), or between the first and last of each series. Months are exploded first and spread out, then the
     hours of each month, so no long array is built and a long series is filled by many tasks."""
     hour = F.expr("INTERVAL 1 HOUR")
-    spans = series.groupBy(*keys).agg(
-        F.min(F.date_trunc("hour", ts)).alias("_from"), F.max(F.date_trunc("hour", ts)).alias("_to")
-    )
+    if window is None:
+        ends = F.min(F.date_trunc("hour", ts)), F.max(F.date_trunc("hour", ts))
+    else:
+        ends = F.lit(window[0]).cast("timestamp"), F.lit(window[1]).cast("timestamp") - hour
+    spans = series.groupBy(*keys).agg(ends[0].alias("_from"), ends[1].alias("_to"))
     months = spans.select(
         *keys,
         "_from",
@@ -186,7 +190,9 @@ def expected_hours(series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_
     return months.repartition(*keys, "_month").select(*keys, F.explode(F.sequence(F.greatest("_from", "_month"), last, hour)).alias(ts))
 
 
-def missing_hours(series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_utc") -> DataFrame:
-    """Hours absent between the first and last hour of each series."""
+def missing_hours(
+    series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_utc", window: tuple[str, str] | None = None
+) -> DataFrame:
+    """Hours of `window` that a series lacks; without one, hours absent between its first and last."""
     present = series.select(*keys, F.date_trunc("hour", ts).alias(ts))
-    return expected_hours(series, keys, ts).join(present, [*keys, ts], "left_anti")
+    return expected_hours(series, keys, ts, window).join(present, [*keys, ts], "left_anti")

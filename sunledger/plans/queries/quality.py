@@ -74,8 +74,17 @@ def check_range(b: Bindings) -> DataFrame:
         "row_count",
         "load_hourly",
         "ts_utc",
-        "greatest(ceil((date_diff('hour', min(ts_utc), max(ts_utc)) + 1) * 0.98::DOUBLE) - count(DISTINCT ts_utc), 0)",
-        "load_hourly",
+        "sum(greatest(ceil(expected * 0.98::DOUBLE) - n, 0))",
+        "(SELECT count(DISTINCT ts_utc) AS n FROM load_hourly GROUP BY asset_id) AS seen, "
+        "(SELECT date_diff('hour', min(ts_utc), max(ts_utc)) + 1 AS expected FROM load_hourly) AS hours",
+    )
+    + " UNION ALL "
+    + row(
+        "row_count",
+        "load_1994",
+        "ts_utc",
+        "sum(greatest(ceil(365 * 24 * 0.98::DOUBLE) - n, 0))",
+        "(SELECT count(DISTINCT ts_utc) FILTER (year(ts_utc) = 1994) AS n FROM load_hourly GROUP BY asset_id) AS seen",
     )
     + " UNION ALL "
     + row("row_count", "price_hourly", "*", "greatest(ceil(100000 * 0.98::DOUBLE) - count(*), 0)", "price_hourly")
@@ -86,6 +95,7 @@ def check_row_count(b: Bindings) -> DataFrame:
     return quality.all_checks(
         [
             quality.check_hour_coverage(b.load_hourly, "load_hourly"),
+            quality.check_hour_coverage(b.load_hourly, "load_1994", window=("1994-01-01", "1995-01-01")),
             quality.check_row_count(b.price_hourly, "price_hourly", 100_000),
             quality.check_row_count(b.supplier_hourly, "supplier_hourly", 60_000, exact=True),
         ]

@@ -6,6 +6,7 @@ and sorted by (asset, hour) inside each file, so date and asset filters skip fil
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,17 +45,29 @@ class Warehouse:
         return replace_table(dated, self.path(name), partition_by=["year"], sort_by=["asset_id", "ts_utc"])
 
     # ---- raw
-    def load_raw(self, csv_folder: str, tables: Sequence[str] = tuple(RAW_TABLES)) -> dict[str, int]:
-        """Replace the raw tables by their CSV files and return the row counts. A null in a required column or an
-        unexpected repeated key fails the load."""
+    def load_raw(
+        self,
+        csv_folder: str,
+        tables: Sequence[str] = tuple(RAW_TABLES),
+        window: tuple[str, str] | None = None,
+        annual_kwh: float | None = None,
+    ) -> dict[str, int]:
+        """Replace the raw tables by their CSV files and return the row counts. A null in a required column, an
+        unexpected repeated key, a series that lacks hours of `window` (start, end), or a year's load off `annual_kwh`
+        fails the load. Without a window, series are held against the hours between the first and last of the table."""
         rows = {}
         for name in tables:
             frame = read_raw_table(self.spark, csv_folder, name)
             rows[name] = replace_table(frame, self.path(f"raw/{name}"))
-        self._must_pass(self.raw_report(tables))
+        self._must_pass(self.raw_report(tables, window, annual_kwh))
         return rows
 
-    def raw_report(self, tables: Sequence[str] = tuple(RAW_TABLES)) -> DataFrame:
+    def raw_report(
+        self,
+        tables: Sequence[str] = tuple(RAW_TABLES),
+        window: tuple[str, str] | None = None,
+        annual_kwh: float | None = None,
+    ) -> DataFrame:
         reports = []
         for name in tables:
             entry, frame = RAW_TABLES[name], self.table(f"raw/{name}")
@@ -63,7 +76,10 @@ class Warehouse:
                 quality.check_not_null(frame, name, entry.required),
                 quality.check_bounds_raw(frame, name, RAW_BOUNDS[name]),
                 quality.check_known_duplicates(frame, name, entry.key, known),
+                quality.check_hour_coverage(frame, name, entry.key[-1], window=window),
             ]
+            if annual_kwh is not None and name == "load_hourly":
+                reports.append(quality.check_annual_total(frame, name, "load_kw", annual_kwh))
         return quality.all_checks(reports)
 
     @staticmethod
@@ -162,9 +178,21 @@ class Warehouse:
             "pv_power_kw": forecasting.chronological_split(pv),
         }
 
+    def split_report(self, splits: dict[str, DataFrame]) -> DataFrame:
+        """Splits keep to their months, share no hour and have no more rows than their mart."""
+        reports = []
+        for (target, split), mart in zip(splits.items(), ("fct_hourly_market", "fct_pv_features")):
+            reports += [
+                quality.check_split_bounds(split, target),
+                quality.check_split_overlap(split, target),
+                quality.check_split_total(split, self.table(mart), target),
+            ]
+        return quality.all_checks(reports)
+
     def train(self, **options) -> dict[str, bool]:
         """Train both models; each is saved only if it passes its gate."""
         splits = self.splits()
+        self._must_pass(self.split_report(splits))
         saved = {}
         for target, fit, gate in (
             ("price_eur_mwh", forecasting.train_price, forecasting.price_gate),
@@ -194,6 +222,9 @@ class Warehouse:
         ):
             one = evaluation.filter_target(forecasts, target)
             attached = evaluation.attach_baselines(one, self.table(mart), prefix)
+            unmatched = evaluation.check_lag_alignment(attached).first()
+            if any(unmatched):
+                warnings.warn(f"{target}: forecast rows without a baseline: {unmatched.asDict()}", stacklevel=2)
             parts.append(evaluation.error_metrics_by_split(attached, target))
         write_metrics(parts[0].unionByName(parts[1]), self.path("metrics"))
         return read_metrics(self.spark, self.path("metrics"))

@@ -47,6 +47,23 @@ def test_row_counts(bad_rows):
     assert quality.check_hour_coverage(bad_rows, "t").first().bad_rows == 0
 
 
+def test_hour_coverage_of_each_series(spark):
+    """One full asset beside one with 2 of 100 hours, a window that reaches beyond the data, no rows."""
+    rows = [("full", h) for h in range(100)] + [("poor", 0), ("poor", 1), ("poor", 1)]
+    df = spark.createDataFrame(rows, "asset_id STRING, h LONG").select("asset_id", F.timestamp_seconds(F.col("h") * 3600).alias("ts_utc"))
+    window = ("1970-01-01", "1970-01-11")
+    lacks = lambda frame, **options: quality.check_hour_coverage(frame, "t", **options).first().bad_rows
+    assert lacks(df) == 96
+    assert lacks(df.where("asset_id = 'full'")) == 0
+    assert lacks(df, window=window, share=1.0) == 140 + 238
+    assert lacks(df.limit(0)) == 0 and lacks(df.limit(0), window=window, share=1.0) == 240
+
+
+def test_split_overlap(spark):
+    df = spark.createDataFrame([("a", 1, "train"), ("a", 1, "test"), ("a", 2, "test")], "asset_id STRING, ts_utc LONG, split STRING")
+    assert quality.check_split_overlap(df, "t").first().bad_rows == 1
+
+
 def test_annual_total(bad_rows):
     assert quality.check_annual_total(bad_rows, "t", "load_kw", 506.0).first().bad_rows == 0
     assert quality.check_annual_total(bad_rows, "t", "load_kw", 600.0).first().bad_rows == 1

@@ -120,6 +120,8 @@ def test_missing_hours_across_months(spark):
     got = sorted(r[0] for r in series.missing_hours(df).select(F.unix_seconds("ts_utc") / HOUR).collect())
     assert got == [5, 800, 801]
     assert series.expected_hours(df).count() == 24 * 70
+    edges = series.missing_hours(df.where(F.unix_seconds("ts_utc") >= 3 * HOUR), window=("1970-01-01", "1970-01-02"))
+    assert sorted(r[0] for r in edges.select(F.unix_seconds("ts_utc") / HOUR).collect()) == [0, 1, 2, 5]
 
 
 def medians(df, name="m"):

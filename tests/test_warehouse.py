@@ -125,6 +125,20 @@ def test_load_fails_on_a_broken_file(spark, tmp_path):
         Warehouse(spark, str(tmp_path / "out")).load_raw(str(tmp_path / "csv"), ["load_hourly"])
 
 
+def test_load_fails_on_a_truncated_file(spark, tmp_path):
+    hours = spark.range(20).select(
+        F.lit("site").alias("asset_id"),
+        F.timestamp_seconds(F.col("id") * 3600).alias("ts_utc"),
+        F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz").alias("ts_local"),
+        F.lit(1.0).alias("load_kw"),
+    )
+    write_csv(hours, str(tmp_path / "csv" / RAW_TABLES["load_hourly"].file))
+    house = Warehouse(spark, str(tmp_path / "out"))
+    assert house.load_raw(str(tmp_path / "csv"), ["load_hourly"]) == {"load_hourly": 20}
+    with pytest.raises(ValueError, match="load_hourly.ts_utc: row_count 4"):
+        house.load_raw(str(tmp_path / "csv"), ["load_hourly"], window=("1970-01-01", "1970-01-02"))
+
+
 def test_malformed_csv_fails(spark, tmp_path):
     path = tmp_path / RAW_TABLES["load_hourly"].file
     path.write_text("asset_id,ts_utc,ts_local,load_kw\nsite,2019-01-01 00:00:00,2019-01-01 01:00:00,much\n")
