@@ -30,6 +30,14 @@ def write_csv_rounded(df: DataFrame, path: str, digits: int | Mapping[str, int])
     write_csv(df.withColumns({c: fixed_decimals(c, n) for c, n in digits.items()}), path)
 
 
+def write_raw_csv(df: DataFrame, table: str, path: str) -> None:
+    """A raw table as header CSV with the decimals kept for it; tables without such a figure as they are."""
+    if table in CSV_DECIMALS:
+        write_csv_rounded(df, path, CSV_DECIMALS[table])
+    else:
+        write_csv(df, path)
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """Metrics rows (target, split, model, mae, mape, rmse) as JSON lines. One file: the table has a row per
     (target, split, model), whatever the size of the data behind it."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sunledger.sources.schemas import RAW_TABLES, RawTable
+from sunledger.sources.schemas import BATTERY_SCHEMA, RAW_TABLES, RawTable
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -28,6 +28,11 @@ def read_raw_table(spark: SparkSession, folder: str, table: str | RawTable) -> D
     return read_raw_csv(spark, f"{folder.rstrip('/')}/{entry.file}", entry.schema)
 
 
+def read_battery(spark: SparkSession, path: str) -> DataFrame:
+    """Battery dispatch results from CSV, as `staging.stg_battery` takes them."""
+    return read_raw_csv(spark, path, BATTERY_SCHEMA)
+
+
 def raw_catalog(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per (table, required column): rows and nulls, in one pass per table."""
     reports = []

@@ -78,3 +78,16 @@ def test_replace_table_replaces(spark, tmp_path):
     assert replace_table(first, path, partition_by=["year"], sort_by=["id"]) == 10
     assert replace_table(first.where("id < 3"), path, partition_by=["year"]) == 3
     assert spark.read.parquet(path).count() == 3
+
+
+def test_raw_csv_keeps_the_decimals_of_its_table(spark, tmp_path):
+    from sunledger.sources import sinks, tables
+
+    df = spark.createDataFrame([("a", 1.23456, 2.0)], "asset_id STRING, load_kw DOUBLE, other DOUBLE")
+    for table, want in (("load_hourly", ("a", "1.235", "2.000")), ("pvgis_hourly", ("a", "1.23456", "2.0"))):
+        sinks.write_raw_csv(df, table, str(tmp_path / table))
+        assert tuple(spark.read.option("header", True).csv(str(tmp_path / table)).first()) == want
+    names = "asset_id,ts_utc,battery_capacity_kwh,charge_kw,discharge_kw,soc_kwh,grid_import_kw,grid_export_kw"
+    (tmp_path / "battery.csv").write_text(f"{names}\na,2019-01-01 00:00:00,50,1,0,2,3,4\n")
+    row = tables.read_battery(spark, str(tmp_path / "battery.csv")).first()
+    assert (row.battery_capacity_kwh, row.grid_export_kw) == (50.0, 4.0)
