@@ -45,6 +45,29 @@ def mod97(account: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), step) == 1
 
 
+# Letters and digits of an IBAN by country: the registry, and countries that write them without being in it.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST",
+    26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+IBAN = "|".join(rf"(?:{'|'.join(codes.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items())
+
 PART_255 = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 
 
@@ -54,7 +77,10 @@ class Kind:
     `context` words stands within 40 characters. It is reported from 0.5 on.
 
     Patterns loop over single characters or possessively, so no text overflows the matcher's stack; a run of one
-    character class is entered at its start or where the last match ended, so none is rescanned from each position."""
+    character class is entered at its start or where the last match ended, so none is rescanned from each position.
+
+    A kind that `overlaps` is proposed wherever its pattern fits, also inside another proposal, so one that is not
+    confirmed hides none behind it; its pattern must end within a bounded number of characters."""
 
     name: str
     pattern: str
@@ -62,6 +88,16 @@ class Kind:
     score: float
     context: str
     bonus: float = 0.1
+    overlaps: bool = False
+
+    @property
+    def proposal(self) -> str:
+        """What is searched for; the match of a kind that overlaps is one character, followed by the rest of it."""
+        return rf"(?=({self.pattern}))(?s:.)" if self.overlaps else self.pattern
+
+    def taken(self, hit: Column) -> Column:
+        """The part of the hit after which the search goes on."""
+        return F.substring(hit, 1, 1) if self.overlaps else hit
 
 
 BASE_KINDS = (
@@ -95,7 +131,7 @@ BASE_KINDS = (
     ),
 )
 ADDED_KINDS = (
-    Kind("iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}", mod97, 0.8, "iban|bank|konto|account|compte|cuenta"),
+    Kind("iban", rf"(?=[A-Z]{{2}}[0-9]{{2}})(?:{IBAN})", mod97, 0.8, "iban|bank|konto|account|compte|cuenta", overlaps=True),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", lambda m: F.lit(True), 0.3, "ssn|social security", 0.4),
 )
 KINDS = BASE_KINDS + ADDED_KINDS
@@ -104,7 +140,7 @@ KINDS = BASE_KINDS + ADDED_KINDS
 def located(pairs: Column, kind: Kind, rank: int) -> Column:
     """Spans of the confirmed matches, with offsets in code points: the lengths of gaps and matches are summed within
     blocks, and block lengths over the blocks."""
-    width = lambda p: F.length(p["before"]) + F.length(p["hit"])
+    width = lambda p: F.length(p["before"]) + F.length(kind.taken(p["hit"]))
     numbers = F.sequence(F.lit(0), F.expr("0") + F.floor((F.size(pairs) - 1) / BLOCK).cast("int"))
     blocks = F.transform(numbers, lambda b: F.slice(pairs, b * BLOCK + 1, F.lit(BLOCK)))
     widths = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda n, p: n + width(p)))
@@ -119,7 +155,7 @@ def located(pairs: Column, kind: Kind, rank: int) -> Column:
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind.name).alias("kind"), score.alias("score"))
         kept = kind.confirmed(p["hit"]) & (score >= REPORTED)
         found = F.when(kept, F.concat(state["found"], F.array(span))).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
+        return F.struct((start + F.length(kind.taken(p["hit"]))).alias("at"), found.alias("found"))
 
     def of_block(block, begin):
         state = F.struct(begin.alias("at"), nothing.alias("found"))
@@ -131,14 +167,14 @@ def located(pairs: Column, kind: Kind, rank: int) -> Column:
 def find_personal_data(docs: DataFrame, kinds: Sequence[Kind] = KINDS, text: str = "text") -> DataFrame:
     """Per row of docs: doc_id and `spans`, by start, then kind as listed: start, rank, end, kind, score. Offsets count
     code points, the end is exclusive. Each kind is matched on its own, leftmost and without overlap; a match that is
-    not confirmed is dropped and not tried again. Null and empty texts have no spans; repeated rows are judged one by one.
+    not confirmed is dropped and not tried again. Of a kind that overlaps every confirmed match is reported. Null and empty texts have no spans; repeated rows are judged one by one.
     """
     whole = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    hits = whole.select("doc_id", "_text", *[F.regexp_extract_all("_text", F.lit(k.pattern), F.lit(0)).alias(f"_hits{i}") for i, k in enumerate(kinds)])
+    hits = whole.select("doc_id", "_text", *[F.regexp_extract_all("_text", F.lit(k.proposal), F.lit(int(k.overlaps))).alias(f"_hits{i}") for i, k in enumerate(kinds)])
     gaps = hits.select(
         "doc_id",
         *[f"_hits{i}" for i in range(len(kinds))],
-        *[F.when(F.size(f"_hits{i}") > 0, F.split("_text", k.pattern, -1)).alias(f"_gaps{i}") for i, k in enumerate(kinds)],
+        *[F.when(F.size(f"_hits{i}") > 0, F.split("_text", k.proposal, -1)).alias(f"_gaps{i}") for i, k in enumerate(kinds)],
     )
 
     def pairs(i):

@@ -264,6 +264,26 @@ def test_personal_data(spark, docs, nothing):
     assert pii.find_personal_data(nothing).count() == 0
 
 
+DE, GB = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+IBANS = [
+    (f"{DE} Please pay", [DE]), (f"{GB} BIC ABCDEF", [GB]), (f"{DE} 12 EUR", [DE]), (f"AB12 {DE}", [DE]), (f"MD12 {DE} {GB}.", [DE, GB]),
+    (f"\U0001f600 é{DE}{GB}", [DE, GB]), (f"IBAN{DE.replace(' ', '')}EUR 7", [DE.replace(" ", "")]), ("NO93 8601 1117 947 X1", ["NO93 8601 1117 947"]),
+    ("MT84 MALT 0110 0001 2345 MTLC AST0 01S A", ["MT84 MALT 0110 0001 2345 MTLC AST0 01S"]), (f"{DE[:-1]}1 Please", []), (DE[:-1], []), (f"{DE} " * 300, [DE] * 300),
+    ("DE12" * 20_000, None),
+]
+
+
+def test_ibans_beside_capitals_digits_and_codes(spark):
+    kind = [k for k in pii.KINDS if k.name == "iban"]
+    docs = frame(spark, [(i, text) for i, (text, _) in enumerate(IBANS)])
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(docs, kind).collect()}
+    for i, (text, want) in enumerate(IBANS):
+        if want is not None:
+            assert [text[s.start : s.end] for s in got[i]] == want, text[:60]
+    codes = [c for v in pii.IBAN_LENGTHS.values() for c in v.split()]
+    assert len(codes) == len(set(codes))
+
+
 # ---- 8
 def test_url_rules(spark):
     urls = [
