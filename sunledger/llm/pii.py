@@ -74,7 +74,7 @@ PART_255 = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 @dataclass(frozen=True)
 class Kind:
     """`pattern` proposes, `confirmed` judges the match; a confirmed match scores `score`, plus `bonus` where one of the
-    `context` words stands within 40 characters. It is reported from 0.5 on.
+    `context` words stands within 40 characters before or after it, in other matches too. It is reported from 0.5 on.
 
     Patterns loop over single characters or possessively, so no text overflows the matcher's stack; a run of one
     character class is entered at its start or where the last match ended, so none is rescanned from each position.
@@ -95,6 +95,17 @@ class Kind:
         """What is searched for; the match of a kind that overlaps is one character, followed by the rest of it."""
         return rf"(?=({self.pattern}))(?s:.)" if self.overlaps else self.pattern
 
+    @property
+    def group(self) -> int:
+        """The number of the match's group in the proposal; the next one is what `seen` captures."""
+        return int(self.overlaps)
+
+    @property
+    def seen(self) -> str:
+        """The proposal with the characters after the match captured."""
+        after = rf"((?s:.{{0,{CONTEXT_CHARS}}}))"
+        return rf"(?=({self.pattern}){after})(?s:.)" if self.overlaps else rf"(?:{self.pattern})(?={after})"
+
     def taken(self, hit: Column) -> Column:
         """The part of the hit after which the search goes on."""
         return F.substring(hit, 1, 1) if self.overlaps else hit
@@ -139,29 +150,37 @@ KINDS = BASE_KINDS + ADDED_KINDS
 
 def located(pairs: Column, kind: Kind, rank: int) -> Column:
     """Spans of the confirmed matches, with offsets in code points: the lengths of gaps and matches are summed within
-    blocks, and block lengths over the blocks."""
+    blocks, and block lengths over the blocks. The text before a match is carried along as its last characters; as every
+    match takes one at least, those before a block lie within as many matches."""
     width = lambda p: F.length(p["before"]) + F.length(kind.taken(p["hit"]))
     numbers = F.sequence(F.lit(0), F.expr("0") + F.floor((F.size(pairs) - 1) / BLOCK).cast("int"))
     blocks = F.transform(numbers, lambda b: F.slice(pairs, b * BLOCK + 1, F.lit(BLOCK)))
     widths = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda n, p: n + width(p)))
     begins = F.transform(numbers, lambda b: F.aggregate(F.slice(widths, F.lit(1), b), F.lit(0), lambda n, w: n + w))
+    last = lambda text: F.substring(text, -CONTEXT_CHARS, CONTEXT_CHARS)
+    through = lambda p: last(F.concat(p["before"], kind.taken(p["hit"])))
+    ahead = lambda b: F.slice(pairs, b * BLOCK + 1 - CONTEXT_CHARS, F.lit(CONTEXT_CHARS))
+    tails = F.transform(numbers, lambda b: F.when(b > 0, last(F.array_join(F.transform(ahead(b), through), ""))).otherwise(""))
+    states = F.zip_with(begins, tails, lambda begin, tail: F.struct(begin.alias("at"), tail.alias("tail")))
     nothing = F.array().cast(f"array<{SPAN}>")
 
     def add(state, p):
         start = state["at"] + F.length(p["before"])
         end = start + F.length(p["hit"])
-        near = F.lower(F.concat_ws(" ", F.substring(p["before"], -CONTEXT_CHARS, CONTEXT_CHARS), F.substring(p["after"], 1, CONTEXT_CHARS)))
+        before = last(F.concat(state["tail"], p["before"]))
+        near = F.lower(F.concat_ws(" ", before, p["after"]))
         score = F.lit(kind.score) + F.when(near.rlike(kind.context), F.lit(kind.bonus)).otherwise(F.lit(0.0))
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind.name).alias("kind"), score.alias("score"))
         kept = kind.confirmed(p["hit"]) & (score >= REPORTED)
         found = F.when(kept, F.concat(state["found"], F.array(span))).otherwise(state["found"])
-        return F.struct((start + F.length(kind.taken(p["hit"]))).alias("at"), found.alias("found"))
+        at = start + F.length(kind.taken(p["hit"]))
+        return F.struct(at.alias("at"), last(F.concat(before, kind.taken(p["hit"]))).alias("tail"), found.alias("found"))
 
     def of_block(block, begin):
-        state = F.struct(begin.alias("at"), nothing.alias("found"))
+        state = F.struct(begin["at"].alias("at"), begin["tail"].alias("tail"), nothing.alias("found"))
         return F.aggregate(block, state, add, lambda s: s["found"])
 
-    return F.flatten(F.zip_with(blocks, begins, of_block))
+    return F.flatten(F.zip_with(blocks, states, of_block))
 
 
 def find_personal_data(docs: DataFrame, kinds: Sequence[Kind] = KINDS, text: str = "text") -> DataFrame:
@@ -170,16 +189,20 @@ def find_personal_data(docs: DataFrame, kinds: Sequence[Kind] = KINDS, text: str
     not confirmed is dropped and not tried again. Of a kind that overlaps every confirmed match is reported. Null and empty texts have no spans; repeated rows are judged one by one.
     """
     whole = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    hits = whole.select("doc_id", "_text", *[F.regexp_extract_all("_text", F.lit(k.proposal), F.lit(int(k.overlaps))).alias(f"_hits{i}") for i, k in enumerate(kinds)])
+    hits = whole.select("doc_id", "_text", *[F.regexp_extract_all("_text", F.lit(k.proposal), F.lit(k.group)).alias(f"_hits{i}") for i, k in enumerate(kinds)])
     gaps = hits.select(
         "doc_id",
         *[f"_hits{i}" for i in range(len(kinds))],
         *[F.when(F.size(f"_hits{i}") > 0, F.split("_text", k.proposal, -1)).alias(f"_gaps{i}") for i, k in enumerate(kinds)],
+        *[
+            F.when(F.size(f"_hits{i}") > 0, F.regexp_extract_all("_text", F.lit(k.seen), F.lit(k.group + 1))).alias(f"_after{i}")
+            for i, k in enumerate(kinds)
+        ],
     )
 
     def pairs(i):
         n = F.size(f"_hits{i}")
-        sides = F.arrays_zip(F.col(f"_hits{i}").alias("hit"), F.slice(f"_gaps{i}", F.lit(1), n).alias("before"), F.slice(f"_gaps{i}", F.lit(2), n).alias("after"))
+        sides = F.arrays_zip(F.col(f"_hits{i}").alias("hit"), F.slice(f"_gaps{i}", F.lit(1), n).alias("before"), F.col(f"_after{i}").alias("after"))
         return F.when(n > 0, sides.cast(PAIRS)).alias(f"_pairs{i}")
 
     paired = gaps.select("doc_id", *[pairs(i) for i in range(len(kinds))])

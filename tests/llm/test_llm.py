@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import brute
 import numpy as np
@@ -284,6 +285,24 @@ def test_ibans_beside_capitals_digits_and_codes(spark):
     assert len(codes) == len(set(codes))
 
 
+def test_context_reaches_past_neighbouring_matches(spark, monkeypatch):
+    monkeypatch.setattr(pii, "BLOCK", 50)
+    many = ", ".join(["123-45-6789"] * 120)
+    texts = [
+        "SSNs: 123-45-6789, 987-65-4321", "123-45-6789, 987-65-4321 ssn", f"ssn {many}", f"{many} ssn", f"{many}, the ssn {many}", "\U0001f600 ssn é 123-45-6789 987-65-4321",
+        f"ssn{' ' * 37}123-45-6789", f"ssn{' ' * 38}123-45-6789", f"123-45-6789{' ' * 37}ssn", f"123-45-6789{' ' * 38}ssn", "social security 1 123-45-6789;987-65-4321;111-22-3333", many,
+        " ".join(["123-45-6789 a@b.c"] * 60) + " SSN",
+    ]
+    kind = {k.name: k for k in pii.KINDS}
+    docs = frame(spark, list(enumerate(texts)))
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(docs, [kind["ssn"], kind["email"]]).collect()}
+    for i, text in enumerate(texts):
+        hits = [m.span() for m in re.finditer(kind["ssn"].pattern, text)]
+        want = [(a, b) for a, b in hits if re.search(kind["ssn"].context, f"{text[max(0, a - 40) : a]} {text[b : b + 40]}".lower())]
+        assert [(s.start, s.end) for s in got[i] if s.kind == "ssn"] == want, text[:60]
+    assert [len(got[i]) for i in (0, 1, 6, 7, 8, 9, 10, 11)] == [2, 2, 1, 0, 1, 0, 2, 0]
+
+
 # ---- 8
 def test_url_rules(spark):
     urls = [
