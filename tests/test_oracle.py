@@ -24,6 +24,20 @@ def test_query_equals_sql(spark, con, name):
     assert not problem
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+@pytest.mark.parametrize("name", ["filter_target", "mae_by_hour", "forecast_vs_seasonal", "forecast_vs_persistence"])
+def test_queries_of_one_target_tell_an_operator_that_ignores_it(spark, name, monkeypatch):
+    """The smallest tables hold forecasts of one target only."""
+    from sunledger.operators import evaluation
+
+    folder = "/root/testdata/sf0.01"
+    case = spark, connect(folder), folder, contract.queries()[name], contract.oracle_sql()[name]
+    right, n = compare(*case)
+    assert not right and n
+    monkeypatch.setattr(evaluation, "filter_target", lambda forecasts, target: forecasts)
+    assert compare(*case)[0]
+
+
 def test_sql_belongs_to_queries():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
