@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import stored
+from sunledger.llm.common import identified, stored
 
 # Groups whose names may stand for one another in a sentence.
 IDENTITY_TERMS = (
@@ -29,7 +29,7 @@ IDENTITY_TERMS = (
     ("immigrants", "refugees", "foreigners", "locals"),
     ("old", "young", "disabled", "blind", "deaf"),
 )
-# Labelled rows the fit uses at most, the smallest by a hash of the doc_id, and features it keeps at most.
+# Labelled rows the fit uses at most, the smallest by the hashes of doc_id and text, and features it keeps at most.
 SAMPLE_ROWS = 20_000
 MOST_FEATURES = 4_000
 LEAST_ROWS = 3
@@ -75,11 +75,16 @@ class Model:
 
 def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = SAMPLE_ROWS) -> DataFrame:
     """(toxic, text) of at most `rows` labelled documents for which `usable` (of doc_id) holds. A doc_id that is labelled
-    twice counts as toxic if either label says so; labels without a value or a document teach nothing."""
+    twice counts as toxic if either label says so; labels without a value or a document teach nothing. A doc_id that
+    repeats teaches each of its texts once; only hashes of the texts are shuffled and sorted."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & usable)
     by_id = known.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic"))
-    chosen = stored(by_id.orderBy(F.xxhash64("_id"), "_id").limit(rows), "labelled")
-    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(F.col("_toxic").alias("toxic"), "text")
+    texts = identified(docs.where(F.col("doc_id").isNotNull())).distinct().join(by_id, F.col("doc_id") == F.col("_id"))
+    best = texts.orderBy(F.xxhash64("_id"), "_id", "_twin").limit(rows)
+    chosen = stored(best.select("_id", "_toxic", F.col("_twin").alias("_text_hash")), "labelled")
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_text_hash"))
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), same)
+    return found.groupBy("_id", "_text_hash").agg(F.first("_toxic").alias("toxic"), F.first("text").alias("text")).select("toxic", "text")
 
 
 def chosen_features(sample: DataFrame, most: int = MOST_FEATURES) -> list[str]:

@@ -348,6 +348,16 @@ def test_counterfactual_penalty_spares_neutral_mentions(spark):
     assert fair == toxicity.train(docs.repartition(7), labels, F.lit(True), fairness=5.0)
 
 
+def test_toxicity_sample_bounds_rows_of_repeated_ids(spark):
+    rows = [(1, "a")] * 400 + [(1, "b")] * 3 + [(1, None), (1, "")] + [(i, f"t{i}") for i in range(2, 30)] + [(2, f"u{i}") for i in range(50)] + [(None, "n")]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 25)] + [(77, 1)], "doc_id LONG, toxic INT")
+    taken = lambda n, d=docs: shown((r.toxic, r.text or "") for r in toxicity.training_rows(d, labels, F.lit(True), n).collect())
+    every = {(i, t or "") for i, t in rows if i and i < 25}
+    assert taken(1000) == shown((i % 2, t) for i, t in every)
+    assert len(taken(10)) == 10 and taken(10) == taken(10, docs.repartition(3)) and set(taken(10)) <= set(taken(1000))
+
+
 def test_toxicity_without_labels_or_documents(spark, docs, rows, nothing):
     labels = spark.createDataFrame([(1, None), (None, 1), (10**9, 1)], "doc_id LONG, toxic INT")
     model = toxicity.train(docs, labels, F.lit(True))
