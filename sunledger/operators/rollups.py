@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -172,6 +173,12 @@ def summary_by_type(long: DataFrame, value: str = "generation_mw", label: str =
     )
 
 
+def concat_years(frames: Mapping[int, DataFrame]) -> DataFrame:
+    """One frame of several, one for each year, matched by column name. `year` says which frame a row is from."""
+    dated = [rows.withColumn("year", F.lit(year).cast("long")) for year, rows in frames.items()]
+    return reduce(DataFrame.unionByName, dated)
+
+
 def distinct_series(long: DataFrame, ts: str = "ts_utc", label: str = "gen_type") -> DataFrame:
     """Distinct timestamps, labels and years of a long table.
 

@@ -222,10 +222,12 @@ SELECT year(ts_local) AS year, asset_id, ts_utc, price_eur_mwh FROM price_hourly
 """
 )
 def concat_years(b: Bindings) -> DataFrame:
-    """Years are a column of one frame, not one frame each."""
-    return b.price_hourly.select(
-        F.year("ts_local").cast("long").alias("year"), "asset_id", "ts_utc", "price_eur_mwh"
-    )
+    """The prices cut into a frame for each of their years, and united. The years are read first."""
+    own = F.year("ts_local")
+    years = sorted(r["year"] for r in b.price_hourly.select(own.alias("year")).distinct().collect())
+    columns = ["asset_id", "ts_utc", "price_eur_mwh"]
+    frames = {y: b.price_hourly.where(own == y).select(*columns) for y in years}
+    return rollups.concat_years(frames or {0: b.price_hourly.select(*columns)}).select("year", *columns)
 
 
 # ---- battery economics

@@ -6,6 +6,13 @@ from sunledger.operators import balance, economics, evaluation, rollups, staging
 from sunledger.functions import scalars
 
 
+def test_years_are_united_by_name(spark):
+    first = spark.createDataFrame([("a", 1.0), ("a", 1.0)], "asset_id STRING, price DOUBLE")
+    second = spark.createDataFrame([(2.0, "b")], "price DOUBLE, asset_id STRING")
+    rows = rollups.concat_years({1999: first, 2000: second}).select("year", "asset_id", "price").collect()
+    assert sorted(map(tuple, rows)) == [(1999, "a", 1.0), (1999, "a", 1.0), (2000, "b", 2.0)]
+
+
 def facts(spark, rows):
     """rows: (local timestamp, pv, load) of one asset with the default tariffs."""
     df = spark.createDataFrame([("a", *r) for r in rows], "asset_id STRING, t STRING, pv_power_kw DOUBLE, load_kw DOUBLE")
