@@ -237,6 +237,9 @@ def test_contamination(spark, docs, rows, nothing):
     got = [(r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in decontamination.find_contamination(docs, bench).collect()]
     want = [(i, *x) for (i, _), x in zip(rows, brute.contamination([t for _, t in rows], items))]
     assert shown(got) == shown(want) and sum(w[4] for w in want) > 5
+    # Beyond the bound of a broadcast the joins shuffle, and the words around a prefix travel along.
+    wide = decontamination.find_contamination(docs, bench, most_broadcast=0)
+    assert shown((r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated) for r in wide.collect()) == shown(want)
     clean = decontamination.drop_contaminated(docs, bench)
     assert clean.columns == docs.columns and clean.count() == sum(not w[4] for w in want)
     assert decontamination.drop_contaminated(docs, bench.where("1 = 0")).count() == len(rows)
