@@ -11,6 +11,7 @@ from sunledger.llm import (
     chat,
     decontamination,
     exact_dedup,
+    filter_audit,
     mixing,
     pii,
     simhash,
@@ -289,3 +290,48 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.score_texts(docs, model)
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), counted AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first_id FROM docs
+), judged AS (
+  SELECT d.part, coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic,
+         CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN d.doc_id > first_id THEN 'E' ELSE '' END AS failed
+  FROM counted d LEFT JOIN labels l ON l.doc_id = d.doc_id
+), profiles AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM judged GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT *, substring(filter_order, step, 1) AS own, contains(failed, substring(filter_order, step, 1)) AS fails,
+         translate(failed, substring(filter_order, 1, step - 1), '') <> failed AS earlier
+  FROM profiles, (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM orders)
+), counts AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT fails AND NOT earlier), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (fails AND NOT earlier), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (fails AND earlier), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (failed = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(n_good) FILTER (fails AND NOT earlier), 0)::BIGINT AS good_lost,
+         coalesce(sum(n_toxic) FILTER (fails AND NOT earlier), 0)::BIGINT AS toxic_lost
+  FROM steps GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counts
+"""
+
+
+@query(OP13_SQL)
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Five filters on all documents, in every order."""
+    return filter_audit.audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
