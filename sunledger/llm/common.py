@@ -19,12 +19,22 @@ BROADCAST_ROWS = 100_000
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the folder all executors share and read back: lineage ends here, and a lost executor costs
-    no recomputation. The files go when the session ends."""
+    no recomputation. The files go when the session ends, or earlier by `discard`: a long session holds the intermediate
+    tables of all its queries until then."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
     delete_on_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read.stored_at = path
+    return read
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes the files of a `stored` table that nothing will read any more."""
+    spark = table.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def delete_on_exit(spark: SparkSession, path: str) -> None:

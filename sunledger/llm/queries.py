@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sunledger.llm import (
     chat,
     decontamination,
+    embedding_dedup,
     exact_dedup,
     filter_audit,
     mixing,
@@ -19,6 +20,7 @@ from sunledger.llm import (
     suffix_dedup,
     toxicity,
     url_filter,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -292,6 +294,38 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
 
 
+@query()
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings on up to 32 whitened components."""
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+# One row at a time against its label: SQL links every pair, the passes find those at the threshold with a chance of 0.99.
+OP12_SQL = """
+WITH sound AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+        AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reached AS (
+  WITH RECURSIVE walk(a, b) AS (SELECT a, b FROM links UNION SELECT w.a, l.b FROM walk w JOIN links l ON l.a = w.b)
+  SELECT a, min(b) AS least FROM walk GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM embeddings LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) AS counts ON counts.a = vec_id
+LEFT JOIN reached ON reached.a = vec_id
+"""
+
+
+@query(OP12_SQL)
+def op12_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate embeddings of one label."""
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
 OP13_SQL = r"""
 WITH docs AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
