@@ -106,7 +106,8 @@ def failed_filters(docs: DataFrame, filters: Mapping[str, str] = FILTERS) -> Dat
     """
     rows = stored(measured(docs), "measures")
     copies = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    told = rows.join(copies.drop("_n").hint("merge"), "digest", "left")
+    # Stored, so that the join has a shuffle of its own on both sides, which adaptive execution may split at a hot text.
+    told = rows.join(stored(copies.drop("_n"), "first-copies").hint("merge"), "digest", "left")
     letters = [F.when(F.coalesce(F.expr(condition), F.lit(False)), F.lit(letter)).otherwise(F.lit("")) for letter, condition in filters.items()]
     return told.select("doc_id", "part", F.concat(*letters).alias("failed"))
 
