@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions.timeops import day_of_week, day_of_year, hour_of_day, is_weekend, local_date
-from sunledger.operators.series import lag_rows
-from sunledger.settings import LAGS, ROWS_PER_TASK, ROWS_TO_PARTITION
+from sunledger.operators.series import in_ranges, lag_in_ranges, lag_rows, range_cuts
+from sunledger.settings import LAGS, ROWS_PER_TASK
 
 SERIES_KEY = ["asset_id", "ts_utc"]
 WEATHER = ("ghi_w_m2", "temp_c", "cloud_pct", "wind_ms")
@@ -52,8 +52,14 @@ def holiday_join(series: DataFrame, holidays: DataFrame) -> DataFrame:
     return joined.withColumn("is_holiday", F.col("holiday_date").isNotNull()).drop("holiday_date")
 
 
+def _joined(series: DataFrame, side: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Left join on the hour; frames of `partitioned_by_range` join on their range as well, which the hour decides."""
+    key = [*SERIES_KEY, "_range"] if "_range" in series.columns else SERIES_KEY
+    return series.join(side.select(*key, *columns), key, "left")
+
+
 def pv_weather_join(pv: DataFrame, weather: DataFrame) -> DataFrame:
-    return pv.join(weather.select(*SERIES_KEY, *WEATHER), SERIES_KEY, "left")
+    return _joined(pv, weather, WEATHER)
 
 
 def price_enrich_join(
@@ -61,26 +67,21 @@ def price_enrich_join(
 ) -> DataFrame:
     """Price rows with weather, load forecast and generation mix of the same hour: three left joins on one key,
     so the price side is shuffled once."""
-    return (
-        prices.join(weather.select(*SERIES_KEY, *WEATHER), SERIES_KEY, "left")
-        .join(load_forecast.select(*SERIES_KEY, "load_forecast_mw"), SERIES_KEY, "left")
-        .join(genmix.select(*SERIES_KEY, *MIX), SERIES_KEY, "left")
-    )
-
-
-def partitioned_by_series(
-    frames: Sequence[DataFrame], sizes: tuple[int, int] | None, rows_per_task: int, rows_to_partition: int
-) -> list[DataFrame]:
-    """The frames of a join that a lag window follows, each partitioned by asset_id when that pays.
-
-    Joined on (asset_id, ts_utc) as they are, the wide result must be shuffled again for the window. Partitioned by
-    asset_id, the narrow inputs are shuffled once, and join and window both reuse that partitioning and its sort. It
-    is done for large tables (small sides are better broadcast) whose every series is known to fit a task (a longer one
-    must be spread over its hours). `sizes`: rows of the largest series of any of the frames, and of the first frame.
+    return _joined(_joined(_joined(prices, weather, WEATHER), load_forecast, ["load_forecast_mw"]), genmix, MIX)
+
+
+def partitioned_by_range(frames: Sequence[DataFrame], rows_per_task: int = ROWS_PER_TASK) -> list[DataFrame]:
+    """The frames of a join that a lag window follows, each partitioned by series and time range, with the first frame's
+    cuts; the others' `_cuts` go.
+
+    Joined on (asset_id, ts_utc) as they are, the wide result must be shuffled again for the window. Partitioned by series
+    and range, the narrow inputs are shuffled once, and joins and window reuse that partitioning; a range is as much as a
+    task should hold, so it works for series of any length. It pays for large stored tables; small sides are better left
+    to a broadcast.
     """
-    if sizes is None or sizes[0] > rows_per_task or sizes[1] < rows_to_partition:
-        return list(frames)
-    return [df.repartition("asset_id") for df in frames]
+    cuts = range_cuts(frames[0], ["asset_id"], "ts_utc", rows_per_task)
+    placed = [in_ranges(df, cuts, ["asset_id"], "ts_utc").repartition("asset_id", "_range") for df in frames]
+    return [placed[0], *[df.drop("_cuts") for df in placed[1:]]]
 
 
 def lag_after_join(
@@ -88,26 +89,31 @@ def lag_after_join(
     lag: int = 24,
     columns: Sequence[str] = MIX,
     rows_per_task: int = ROWS_PER_TASK,
-    largest: int | None = None,
 ) -> DataFrame:
     """Lag joined columns over the price rows (not over the mix table's own rows)."""
     lags = {f"{c}_lag{lag}h": (c, lag) for c in columns}
-    return lag_rows(enriched, lags, rows_per_task=rows_per_task, largest=largest)
+    return lag_rows(enriched, lags, rows_per_task=rows_per_task)
+
+
+def _lag_features(sides: Sequence[DataFrame], join, lags, rows_per_task: int, together: bool) -> DataFrame:
+    """Lags over the joined sides. The cuts come from the first side alone, whose rows a left join keeps one to one."""
+    if together:
+        return lag_in_ranges(join(*partitioned_by_range(sides, rows_per_task)), lags)
+    cuts = range_cuts(sides[0], ["asset_id"], "ts_utc", rows_per_task)
+    return lag_in_ranges(in_ranges(join(*sides), cuts), lags)
 
 
 def pv_features(
     pv: DataFrame,
     weather: DataFrame,
     rows_per_task: int = ROWS_PER_TASK,
-    rows_to_partition: int = ROWS_TO_PARTITION,
-    sizes: tuple[int, int] | None = None,
+    together: bool = False,
 ) -> DataFrame:
-    """PV target with lags, calendar and weather."""
+    """PV target with lags, calendar and weather; `together`: see `partitioned_by_range`."""
     base = pv.select(*SERIES_KEY, "ts_local", "pv_power_kw")
     sides = [base, weather.select(*SERIES_KEY, *WEATHER)]
-    joined = pv_weather_join(*partitioned_by_series(sides, sizes, rows_per_task, rows_to_partition))
     lags = {name: ("pv_power_kw", n) for name, n in zip(PV_LAGS, LAGS)}
-    lagged = lag_rows(joined, lags, rows_per_task=rows_per_task, largest=sizes[0] if sizes else None)
+    lagged = _lag_features(sides, pv_weather_join, lags, rows_per_task, together)
     return lagged.withColumns(
         {
             "hour_of_day": hour_of_day("ts_local"),
@@ -125,14 +131,13 @@ def price_features(
     genmix: DataFrame,
     day_ahead_safe: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
-    rows_to_partition: int = ROWS_TO_PARTITION,
-    sizes: tuple[int, int] | None = None,
+    together: bool = False,
 ) -> DataFrame:
     """Price target with lags, calendar, holiday flag, weather, load forecast and the mix of 24 rows earlier.
 
     The staged inputs are unique per (asset, hour), so the joins keep the price rows one to one and the price
     lags can share the window of the mix lags.
-    `day_ahead_safe` leaves out the one-hour price lag, which is not known a day ahead.
+    `day_ahead_safe` leaves out the one-hour price lag, which is not known a day ahead; `together`: see `partitioned_by_range`.
     """
     base = prices.select(*SERIES_KEY, "ts_local", "price_eur_mwh", "price_eur_kwh")
     sides = [
@@ -141,10 +146,9 @@ def price_features(
         load_forecast.select(*SERIES_KEY, "load_forecast_mw"),
         genmix.select(*SERIES_KEY, *MIX),
     ]
-    enriched = price_enrich_join(*partitioned_by_series(sides, sizes, rows_per_task, rows_to_partition))
     lags = {name: ("price_eur_mwh", n) for name, n in zip(PRICE_LAGS, LAGS)}
     lags |= {name: (c, 24) for name, c in zip(MIX_LAGS, MIX)}
-    lagged = lag_rows(enriched, lags, rows_per_task=rows_per_task, largest=sizes[0] if sizes else None)
+    lagged = _lag_features(sides, price_enrich_join, lags, rows_per_task, together)
     dated = lagged.withColumns({"hour_of_day": hour_of_day("ts_local"), "day_of_week": day_of_week("ts_local")})
     flagged = holiday_join(dated.withColumn("is_weekend", is_weekend("day_of_week")), holidays)
     columns = [c for c in PRICE_FEATURE_COLUMNS if not (day_ahead_safe and c == "price_lag_1h")]

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.settings import LAGS, ROWS_PER_TASK
 
 KEYS = ("asset_id",)
+# Sampled rows between two cuts of a long series: ranges vary by a sixth of their size.
+SAMPLES_PER_RANGE = 32
 
 
 def lag_rows(
@@ -18,71 +20,69 @@ def lag_rows(
     keys: Sequence[str] = KEYS,
     ts: str = "ts_utc",
     rows_per_task: int = ROWS_PER_TASK,
-    largest: int | None = None,
 ) -> DataFrame:
     """Add `name = column n rows earlier in the series` for each `name: (column, n)`. Runs no job.
 
-    All lags share one window: one shuffle on the series key and one sort. That is the best plan as long as every
-    series fits a task. A caller that knows the `largest` series to be longer than `rows_per_task` gets every series cut
-    into time chunks of about that many of its own rows, see `in_chunks`.
+    Rows are partitioned by series and time range, so no series is one task; see `in_ranges` and `lag_in_ranges`. Rows of
+    one instant are ordered by their values, so the answer is one whatever the partitions.
     """
-    if largest is not None and largest > rows_per_task:
-        return in_chunks(chunked_by_rows(df, largest, rows_per_task, keys, ts), lags, keys, ts)
-    window = Window.partitionBy(*keys).orderBy(ts)
-    return df.withColumns({name: F.lag(c, n).over(window) for name, (c, n) in lags.items()})
-
-
-def chunked_by_rows(df: DataFrame, largest: int, rows_per_task: int, keys: Sequence[str], ts: str) -> DataFrame:
-    """Add `_chunk`: every series is cut at quantiles of its own instants into as many chunks as its own row count needs,
-    whatever its density and its bursts. Keys are compared as structs, in which a NULL equals a NULL."""
-    parts = -(-largest // rows_per_task)
-    stamp = F.unix_micros(F.col(ts).cast("timestamp"))
-    key = F.struct(*keys)
-    shape = df.groupBy(key.alias("_k")).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).alias("_parts"),
-        F.percentile_approx(stamp, [i / parts for i in range(1, parts)], 20 * parts).alias("_cuts"),
-    )
-    nth = F.size(F.filter("_cuts", lambda cut: cut < stamp))
-    chunk = F.floor(nth * F.col("_parts") / F.lit(parts))
-    return df.withColumn("_k", key).join(shape, "_k").withColumn("_chunk", chunk).drop("_k", "_cuts", "_parts")
+    return lag_in_ranges(in_ranges(df, range_cuts(df, keys, ts, rows_per_task), keys, ts), lags, keys, ts)
 
 
-def lag_rows_chunked(
-    df: DataFrame,
-    lags: Mapping[str, tuple[str, int]],
-    span: int,
-    keys: Sequence[str] = KEYS,
-    ts: str = "ts_utc",
-) -> DataFrame:
-    """`lag_rows` over chunks of a fixed span in microseconds, for series of one density."""
-    chunk = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(span))
-    return in_chunks(df.withColumn("_chunk", chunk), lags, keys, ts)
+def range_cuts(df: DataFrame, keys: Sequence[str], ts: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(_k, _at) of every series long enough to be cut: the key as a struct, in which a NULL equals a NULL, and the sorted
+    instants (microseconds) at which its ranges begin, about `rows_per_task` of its rows apart.
+
+    A sample chosen by a hash of key and instant, so every evaluation sees the same cuts; it reads only these two columns.
+    There is one cut for every `rows_per_task` rows at most, so the table is small at any size of `df`: ten billion rows
+    have 2,000.
+    """
+    chosen = F.pmod(F.xxhash64(*keys, ts), F.lit(rows_per_task)) < SAMPLES_PER_RANGE
+    stamps = df.where(chosen).groupBy(F.struct(*keys).alias("_k")).agg(F.sort_array(F.collect_list(_stamp(ts))).alias("_s"))
+    nth = F.sequence(F.lit(1), F.floor(F.size("_s") / SAMPLES_PER_RANGE).cast("int") - 1)
+    long = stamps.where(F.size("_s") >= 2 * SAMPLES_PER_RANGE)
+    return long.select("_k", F.array_distinct(F.transform(nth, lambda i: F.get("_s", i * SAMPLES_PER_RANGE))).alias("_at"))
 
 
-def in_chunks(chunked: DataFrame, lags: Mapping[str, tuple[str, int]], keys: Sequence[str], ts: str) -> DataFrame:
-    """Row lags of series of any length, cut by `_chunk` in the order of time; the same answer whatever the gaps.
+def _stamp(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
 
-    The window runs per (series, chunk). Inside a chunk it settles every row that has at least `depth` rows
-    before it. The remaining rows are the first `depth` of each chunk; all rows that can precede them are within
-    the first or last `depth` rows of some chunk, so a second window over just those edge rows settles them.
-    Both branches read the same shuffle.
+
+# The number of cuts not after the row's instant, by halving.
+_CUTS_PASSED = """aggregate(sequence(length(bin(size(_at))) - 1, 0, -1), 0, (n, b) ->
+  CASE WHEN n + shiftleft(1, b) <= size(_at) AND get(_at, n + shiftleft(1, b) - 1) <= _s THEN n + shiftleft(1, b) ELSE n END)"""
+
+
+def in_ranges(df: DataFrame, cuts: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_utc") -> DataFrame:
+    """Add `_range`, the row's time range in its series, and `_cuts`, how many ranges follow the series' first. Where no
+    series is long enough for a cut, adaptive execution drops the join and everything that only cut series need."""
+    told = df.withColumns({"_k": F.struct(*keys), "_s": _stamp(ts)}).join(F.broadcast(cuts), "_k", "left")
+    passed = F.when(F.col("_at").isNotNull(), F.expr(_CUTS_PASSED)).otherwise(F.lit(0))
+    return told.select(*df.columns, passed.alias("_range"), F.coalesce(F.size("_at"), F.lit(0)).alias("_cuts"))
+
+
+def lag_in_ranges(placed: DataFrame, lags: Mapping[str, tuple[str, int]], keys: Sequence[str] = KEYS, ts: str = "ts_utc") -> DataFrame:
+    """Row lags of a frame of `in_ranges`: one shuffle and one sort for all lags, by series and time range.
+
+    Inside a range the window settles every row that has `depth` rows before it there, and all rows of a first range.
+    The first `depth` rows of each later range need rows from before its border: only the first and the last `depth` rows
+    of the ranges of cut series travel on, to a second window per series.
     """
+    columns = [c for c in placed.columns if c not in ("_range", "_cuts")]
     depth = max(n for _, n in lags.values())
-    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(ts)
-    numbered = chunked.withColumns(
-        {
-            "_row": F.row_number().over(in_chunk),
-            "_is_tail": F.lead(F.lit(1), depth).over(in_chunk).isNull(),
-            **{name: F.lag(c, n).over(in_chunk) for name, (c, n) in lags.items()},
-        }
+    hashed = [c for c in columns if placed.schema[c].dataType.typeName() != "map"]
+    order = [F.col(ts), F.xxhash64(*hashed)]
+    # `_cuts` is the same for a whole series. As a key it lets the filter on it below reach the input of the second branch.
+    in_range = Window.partitionBy(*keys, "_range", "_cuts").orderBy(*order)
+    lag_over = lambda window: {name: F.lag(c, n).over(window) for name, (c, n) in lags.items()}
+    numbered = placed.withColumns(
+        {"_row": F.row_number().over(in_range), "_is_tail": F.lead(F.lit(1), depth).over(in_range).isNull(), **lag_over(in_range)}
     )
-    is_head = F.col("_row") <= depth
+    is_head = (F.col("_range") > 0) & (F.col("_row") <= depth)
     settled = numbered.where(~is_head)
-    along = Window.partitionBy(*keys).orderBy(ts)
-    edges = numbered.where(is_head | F.col("_is_tail")).withColumns(
-        {name: F.lag(c, n).over(along) for name, (c, n) in lags.items()}
-    )
-    return settled.unionByName(edges.where(is_head)).drop("_chunk", "_row", "_is_tail")
+    along = Window.partitionBy(*keys).orderBy(*order)
+    edges = numbered.where("_cuts > 0").where(is_head | F.col("_is_tail")).withColumns(lag_over(along))
+    return settled.unionByName(edges.where(is_head)).select(*columns, *lags)
 
 
 def lag_features(
@@ -91,11 +91,10 @@ def lag_features(
     prefix: str,
     lags: Sequence[int] = LAGS,
     rows_per_task: int = ROWS_PER_TASK,
-    largest: int | None = None,
 ) -> DataFrame:
     """Row lags of one value: `<prefix>_lag_<n>h`."""
     named = {f"{prefix}_lag_{n}h": (value, n) for n in lags}
-    return lag_rows(series, named, rows_per_task=rows_per_task, largest=largest)
+    return lag_rows(series, named, rows_per_task=rows_per_task)
 
 
 def lag_by_time(

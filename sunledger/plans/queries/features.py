@@ -26,9 +26,8 @@ def lag_features(b: Bindings) -> DataFrame:
 
 @query(LAG_SQL)
 def lag_features_long_series(b: Bindings) -> DataFrame:
-    """The path for series too long for one task: time chunks of about 90 days, settled at the seams."""
-    lags = {f"pv_lag_{n}h": ("pv_power_kw", n) for n in (1, 24, 168)}
-    return series.lag_rows_chunked(pv_series(b), lags, span=90 * 86_400_000_000)
+    """The path for series too long for one task: every series is cut into time ranges, settled at the seams."""
+    return series.lag_features(pv_series(b), "pv_power_kw", "pv", rows_per_task=200)
 
 
 @query(

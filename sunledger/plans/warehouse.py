@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger.operators import balance, economics, evaluation, features, forecasting, quality, rollups, staging
-from sunledger.operators.sizing import group_sizes
 from sunledger.session import pin_session
 from sunledger.settings import ACCEPTED_RANGES, NOT_NULL, RAW_BOUNDS, UNIQUE_KEYS, ZONE
 from sunledger.sources.schemas import RAW_TABLES
@@ -127,23 +126,15 @@ class Warehouse:
                 stg["stg_openmeteo_hourly"],
                 stg["stg_entsoe_load_forecast"],
                 stg["stg_entsoe_genmix"],
-                sizes=self._sizes("entsoe_prices", "openmeteo_hourly", "entsoe_load_forecast", "entsoe_genmix"),
+                together=True,
             ),
         )
         rows["fct_pv_features"] = self._store(
             "fct_pv_features",
-            features.pv_features(
-                stg["stg_pvgis_hourly"], stg["stg_openmeteo_hourly"], sizes=self._sizes("pvgis_hourly", "openmeteo_hourly")
-            ),
+            features.pv_features(stg["stg_pvgis_hourly"], stg["stg_openmeteo_hourly"], together=True),
         )
         return rows
 
-    def _sizes(self, *names: str) -> tuple[int, int]:
-        """Rows of the largest series of any of the raw tables, and of the first table: stored tables are measured once,
-        by a pre-aggregated count, before the plans over them are made."""
-        sizes = [group_sizes(self.table(f"raw/{name}"), ["asset_id"]) for name in names]
-        return max(largest for largest, _ in sizes), sizes[0][1]
-
     def build_battery(self, dispatch: DataFrame) -> dict[str, int]:
         """Battery marts from a dispatch table."""
         staged = staging.stg_battery(dispatch, self.zone)

@@ -20,7 +20,7 @@ def build_session(app: str = "sunledger", master: str | None = None, **conf: str
 
 def pin_session(spark: SparkSession) -> SparkSession:
     """UTC session zone (instants print as UTC), adaptive execution with skew handling, and joins on
-    (asset_id, ts_utc) that accept inputs partitioned by asset_id alone (see `features.partitioned_by_series`)."""
+    (asset_id, ts_utc) that accept inputs partitioned by series and range (see `features.partitioned_by_range`)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

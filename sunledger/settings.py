@@ -186,8 +186,5 @@ RAW_BOUNDS = {
     "entsoe_genmix": {"generation_mw": (-500, 20000)},
 }
 
-# Rows one task may order in a single window group before a series is split into time chunks.
+# Rows of one series that a task should order: longer series are cut into time ranges of about this many.
 ROWS_PER_TASK = 5_000_000
-
-# Rows of a series table from which its joins are worth partitioning by series (below, sides may be broadcast).
-ROWS_TO_PARTITION = 5_000_000

@@ -55,29 +55,32 @@ def rows(df):
 
 
 def shuffles(df):
-    return len(re.findall(r"Exchange hashpartitioning\(asset_id", df._jdf.queryExecution().executedPlan().toString()))
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return len(re.findall(r"Exchange hashpartitioning\(asset_id", final))
 
 
-def test_three_plans_one_answer(spark, tables):
+def test_four_plans_one_answer(spark, tables):
     holidays = holiday_dim(spark, 2019, 2020)
     build = lambda **how: features.price_features(holidays=holidays, **tables, **how)
     natural = build()
     want = rows(natural)
     assert len(want) == 4200
-    assert rows(build(sizes=(4200, 4200), rows_to_partition=0)) == want
-    assert rows(build(sizes=(4200, 4200), rows_per_task=100)) == want
+    assert rows(build(together=True)) == want
+    assert rows(build(rows_per_task=100)) == want
+    assert rows(build(rows_per_task=100, together=True)) == want
     assert natural.where("is_holiday").select(F.to_date("ts_local").alias("d")).distinct().count() == 4
 
 
-def test_partitioned_by_series_shuffles_each_input_once(spark, tables):
+def test_partitioned_by_range_shuffles_each_input_once(spark, tables):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         holidays = holiday_dim(spark, 2019, 2020)
         natural = features.price_features(holidays=holidays, **tables)
-        together = features.price_features(holidays=holidays, **tables, sizes=(4200, 4200), rows_to_partition=0)
-        assert (shuffles(natural), shuffles(together)) == (5, 4)
+        together = features.price_features(holidays=holidays, **tables, together=True)
         assert rows(natural) == rows(together)
+        # Counted in the plans that ran: prices, three sides, and only without `together` the joined rows.
+        assert (shuffles(natural), shuffles(together)) == (5, 4)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 

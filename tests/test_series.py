@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sunledger.operators import series
@@ -35,46 +37,61 @@ def test_row_lag_and_time_lag_differ_after_a_gap(spark):
     assert row_at[0.0] == (0.0, None, None)
 
 
-@pytest.mark.parametrize("span_hours", [1, 7, 50, 200, 5000])
-def test_chunked_lag_equals_window_lag(spark, span_hours):
-    """Dense and very sparse stretches, several assets, null values, chunks smaller than the lag."""
+def window_lags(df, lags):
+    """The plain window over whole series."""
+    window = Window.partitionBy("asset_id").orderBy("ts_utc")
+    return df.withColumns({name: F.lag(c, n).over(window) for name, (c, n) in lags.items()})
+
+
+@pytest.mark.parametrize("rows_per_task", [33, 40, 200, 5_000])
+def test_lags_across_ranges_equal_the_window(spark, rows_per_task):
+    """Dense and very sparse stretches, bursts, several assets and one without a name, null values, ranges shorter than the lag."""
     random.seed(3)
     parts = []
-    for asset in ("a", "b", "c"):
+    for asset in ("a", "b", None):
         stamps = sorted(random.sample(range(3000), 400) + list(range(5000, 5400)) + [9000, 20_000])
         parts.append(hours(spark, stamps, lambda h: None if h % 17 == 0 else float(h), asset))
-    df = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    bursts = spark.range(2000).select(
+        F.lit("d").alias("asset_id"), F.timestamp_micros(F.col("id") + F.when(F.col("id") > 900, 10**12).otherwise(0)).alias("ts_utc"), F.col("id").cast("double").alias("v")
+    )
+    df = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(bursts)
     lags = {"l1": ("v", 1), "l24": ("v", 24), "l168": ("v", 168)}
-    plain = by_key(series.lag_rows(df, lags), "v", *lags)
-    chunked = series.lag_rows_chunked(df, lags, span_hours * HOUR * 1_000_000)
-    assert by_key(chunked, "v", *lags) == plain
-    assert chunked.count() == len(plain)
+    ranged = series.lag_rows(df, lags, rows_per_task=rows_per_task)
+    assert ranged.columns == [*df.columns, *lags] and ranged.count() == df.count()
+    assert by_key(ranged, "v", *lags) == by_key(window_lags(df, lags), "v", *lags)
 
 
-def test_long_series_is_cut_into_chunks(spark):
-    df = hours(spark, range(2000))
+def test_a_hot_series_gives_even_tasks(spark):
+    """One series holds nine tenths of the rows: it is cut into even ranges, the small ones are not, and each range is a
+    partition of its own before the window."""
+    hot = hours(spark, range(45_000), asset="hot")
+    small = spark.range(5_000).select(
+        F.concat(F.lit("s"), (F.col("id") % 50).cast("string")).alias("asset_id"), F.timestamp_seconds(F.col("id") * 60).alias("ts_utc"), F.col("id").cast("double").alias("v")
+    )
+    df = hot.unionByName(small)
+    cuts = series.range_cuts(df, ["asset_id"], "ts_utc", rows_per_task=2_000)
+    assert [r._k.asset_id for r in cuts.collect()] == ["hot"]
+    sizes = series.in_ranges(df, cuts).groupBy("asset_id", "_range").count().collect()
+    ranges = [r["count"] for r in sizes if r.asset_id == "hot"]
+    assert len(ranges) >= 18 and max(ranges) <= 2 * 45_000 / len(ranges) and max(r["count"] for r in sizes) <= 4_500
     lags = {"l24": ("v", 24)}
-    split = series.lag_rows(df, lags, rows_per_task=500, largest=2000)
-    assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
-    assert by_key(split, "v", "l24") == by_key(series.lag_rows(df, lags), "v", "l24")
-
-
-def test_a_mixed_fleet_is_cut_by_rows(spark):
-    """A dense, a long and a bursty series, and one without a name: no chunk is larger than twice the limit."""
-    micros = {
-        "dense": [i * 1000 for i in range(4000)],
-        "long": [i * HOUR * 1_000_000 for i in range(2000)],
-        "bursty": [i * HOUR * 1_000_000 for i in range(300)] + [100 * HOUR * 1_000_000 + 7 * i + 1 for i in range(3000)],
-        None: [i * 1_000_000 for i in range(50)],
-    }
-    rows = [(a, m, float(m)) for a, stamps in micros.items() for m in stamps]
-    df = spark.createDataFrame(rows, "asset_id STRING, m LONG, v DOUBLE").withColumn("ts_utc", F.timestamp_micros("m")).drop("m")
-    lags = {"l1": ("v", 1), "l24": ("v", 24)}
-    chunks = series.chunked_by_rows(df, 4000, 500, ["asset_id"], "ts_utc").groupBy("asset_id", "_chunk").count().collect()
-    assert max(r["count"] for r in chunks) <= 1000
-    assert sum(r.asset_id == "long" for r in chunks) == 4 and sum(r.asset_id is None for r in chunks) == 1
-    cut = series.lag_rows(df, lags, rows_per_task=500, largest=4000)
-    assert by_key(cut, "v", *lags) == by_key(series.lag_rows(df, lags), "v", *lags)
+    assert by_key(series.lag_rows(df, lags, rows_per_task=2_000), "v", "l24") == by_key(window_lags(df, lags), "v", "l24")
+
+
+def test_uncut_series_run_one_window(spark, tmp_path):
+    """Where no series is long, adaptive execution leaves one window and no union."""
+    hours(spark, range(500)).write.parquet(str(tmp_path / "s"))
+    lagged = series.lag_features(spark.read.parquet(str(tmp_path / "s")), "v", "v")
+    lagged.collect()
+    final = lagged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"\bWindow \[", final)) == 1 and "Union" not in final
+
+
+def test_rows_of_one_instant_have_one_order(spark):
+    rows = [("a", h // 3 * HOUR, float(h * 7 % 11)) for h in range(300)]
+    df = spark.createDataFrame(rows, "asset_id STRING, s LONG, v DOUBLE").select("asset_id", F.timestamp_seconds("s").alias("ts_utc"), "v")
+    shown = lambda n, r: sorted(map(repr, series.lag_features(df.repartition(n), "v", "v", rows_per_task=r).collect()))
+    assert shown(1, 10_000) == shown(7, 10_000) == shown(3, 50)
 
 
 def test_operators_run_no_job_while_a_frame_is_built(spark):
