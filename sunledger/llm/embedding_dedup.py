@@ -3,12 +3,16 @@
 Each pass hashes every vector with random hyperplanes, sorts all vectors by the concatenated bits and compares each with
 its next neighbours; pairs that pass the cosine are links, and the links of all passes are united. Close vectors agree on
 most bits, so some pass sorts them next to each other.
+
+No pair leaves a task. A row remembers its places in earlier passes and how far it was compared there, which tells whether a
+pair was met before; so each pass counts its new links row by row, and passes on a spanning forest of them.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +31,10 @@ BLOCK = 4096
 # Passes go on until a pair at the threshold is missed with at most this chance, judged by the keys as they were sorted.
 MISS = 0.01
 MOST_PASSES = 96
+# What the tasks of a pass return: 'count' (a: class, b: rows newly linked to it), 'edge' (a, b: classes of one component),
+# 'open' (a: class, place), 'seen' (team, a: rows, chance).
 RESULT = "kind string, team string, a long, b long, place long, chance double"
+CARRIED = ["class", "team", "vector", "n", "places", "reaches"]
 
 
 def unit_rows(column: pa.Array) -> np.ndarray:
@@ -56,25 +63,26 @@ def distinct_vectors(vectors: DataFrame, column: str = "embedding") -> DataFrame
 
 
 def keyed(rows: DataFrame, number: int) -> DataFrame:
-    """class, team, vector and `key`, a long in the order of the pass's bits, first bit first. The hyperplanes depend on
-    the pass and the vector's length only."""
+    """The rows with `key`, a long in the order of the pass's bits, first bit first. The hyperplanes depend on the pass
+    and the vector's length only."""
 
     def run(batches):
         weights = np.uint64(1) << np.arange(KEY_BITS, dtype=np.uint64)[::-1]
         for batch in batches:
-            sizes = batch.column(2).value_lengths().to_numpy()
+            vectors = batch.column(CARRIED.index("vector"))
+            sizes = vectors.value_lengths().to_numpy()
             key = np.zeros(len(sizes), np.uint64)
             for size in np.unique(sizes).tolist():
                 here = np.flatnonzero(sizes == size)
                 planes = np.random.default_rng([SEED, number, size]).normal(size=(size, KEY_BITS))
-                bits = unit_rows(batch.column(2).take(pa.array(here))) @ planes > 0
+                bits = unit_rows(vectors.take(pa.array(here))) @ planes > 0
                 key[here] = np.where(bits, weights, np.uint64(0)).sum(axis=1, dtype=np.uint64)
             # With the highest bit flipped, signed order is the order of the bits.
             signed = pa.array((key ^ np.uint64(1 << 63)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, signed], ["class", "team", "vector", "key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, signed], [*CARRIED, "key"])
 
-    kind = rows.schema["vector"].dataType.simpleString()
-    return rows.select("class", "team", "vector").mapInArrow(run, f"class long, team string, vector {kind}, key long")
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in CARRIED)
+    return rows.select(*CARRIED).mapInArrow(run, f"{kinds}, key long")
 
 
 def sorted_pass(rows: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
@@ -90,7 +98,7 @@ def sorted_pass(rows: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
         before += n
     offsets = rows.sparkSession.createDataFrame(starts, "part long, before long")
     placed = ranged.join(F.broadcast(offsets), "part")
-    return ranged, placed.select("class", "team", "vector", "key", (F.col("before") + F.col("row")).alias("place"))
+    return ranged, placed.select(*CARRIED, "key", (F.col("before") + F.col("row")).alias("place"))
 
 
 def agreement(cosine: float) -> float:
@@ -111,14 +119,54 @@ class Group:
         self.team, self.parts = team, []
 
     def add(self, batch: pa.RecordBatch) -> None:
-        numbers = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("class", "key", "place", "asks")]
-        self.parts.append([*numbers, unit_rows(batch.column(batch.schema.get_field_index("vector")))])
-
-    def arrays(self) -> list[np.ndarray]:
-        return [np.concatenate(x) for x in zip(*self.parts)]
-
-
-def grouped(batches: Iterator[pa.RecordBatch], compare: Callable[[str, list[np.ndarray]], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        column = lambda c: batch.column(batch.schema.get_field_index(c))
+        numbers = [column(c).to_numpy(zero_copy_only=False) for c in ("class", "key", "place", "asks", "n")]
+        met = [column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(batch), -1) for c in ("places", "reaches")]
+        self.parts.append([*numbers, *met, unit_rows(column("vector"))])
+
+    def close(self) -> Group:
+        self.ids, self.keys, self.places, self.asks, self.n, self.before, self.reaches, self.units = (np.concatenate(x) for x in zip(*self.parts))
+        return self
+
+    def new(self, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+        """Which of the pairs no earlier pass has compared."""
+        step = self.before[col] - self.before[row]
+        reach = np.where(step > 0, self.reaches[row], self.reaches[col])
+        return ~(np.abs(step) <= reach).any(axis=1)
+
+    def result(self, row: np.ndarray, col: np.ndarray, still: np.ndarray, seen: int = 0, chance: float = 0.0) -> pa.RecordBatch:
+        """The result rows of the new links (row, col): two counts and at most one edge for each row of the group."""
+        counts = (np.bincount(row, self.n[col], len(self.ids)) + np.bincount(col, self.n[row], len(self.ids))).astype(np.int64)
+        roots = forest(len(self.ids), row, col)
+        counted, joined = np.flatnonzero(counts), np.flatnonzero(roots != np.arange(len(roots)))
+        sizes = [len(counted), len(joined), len(still), 1]
+        fill = lambda *x: pa.array(np.concatenate(x).astype(np.int64))
+        columns = [
+            pa.array(np.repeat(["count", "edge", "open", "seen"], sizes)),
+            pa.array([None] * sum(sizes[:3]) + [self.team], pa.string()),
+            fill(self.ids[counted], self.ids[joined], self.ids[still], [seen]),
+            fill(counts[counted], self.ids[roots[joined]], np.zeros(sizes[2] + 1)),
+            fill(np.zeros(sum(sizes[:2])), self.places[still], [0]),
+            pa.array(np.append(np.zeros(sum(sizes[:3])), chance)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["kind", "team", "a", "b", "place", "chance"])
+
+
+def forest(n: int, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest node of its component under the links."""
+    roots = np.arange(n)
+    while True:
+        low = np.minimum(roots[row], roots[col])
+        smaller = roots.copy()
+        np.minimum.at(smaller, row, low)
+        np.minimum.at(smaller, col, low)
+        smaller = smaller[smaller]
+        if np.array_equal(smaller, roots):
+            return roots
+        roots = smaller
+
+
+def grouped(batches: Iterator[pa.RecordBatch], compare: Callable[[Group], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """`compare` of every run of equal (block, team); columns 0 and 1 of the batches."""
     known, group = None, None
     for batch in batches:
@@ -128,31 +176,19 @@ def grouped(batches: Iterator[pa.RecordBatch], compare: Callable[[str, list[np.n
             if last > first:
                 if group is None or keys[first] != known:
                     if group is not None:
-                        yield compare(group.team, group.arrays())
+                        yield compare(group.close())
                     known, group = keys[first], Group(keys[first][1])
                 group.add(batch.slice(first, last - first))
     if group is not None:
-        yield compare(group.team, group.arrays())
+        yield compare(group.close())
 
 
-def result(team: str, links: np.ndarray, open_rows: np.ndarray, open_places: np.ndarray, seen: int = 0, chance: float = 0.0) -> pa.RecordBatch:
-    n, m = links.shape[1], len(open_rows)
-    fill = lambda *x: pa.array(np.concatenate(x).astype(np.int64))
-    columns = [
-        pa.array(["link"] * n + ["open"] * m + ["seen"]),
-        pa.array([None] * (n + m) + [team], pa.string()),
-        fill(links[0], open_rows, [seen]),
-        fill(links[1], np.zeros(m + 1)),
-        fill(np.zeros(n), open_places, [0]),
-        pa.array(np.append(np.zeros(n + m), chance)),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["kind", "team", "a", "b", "place", "chance"])
+DEALT = ["block", "team", "class", "key", "place", "asks", "n", "places", "reaches", "vector"]
 
 
 def window_links(placed: DataFrame, cosine: float, window: int, block: int) -> DataFrame:
-    """Each row against the next `window` of its team: 'link' rows (a, b: classes); 'open' rows (a: class, place) for
-    which the last quarter of the window still held a link; 'seen' rows (a: rows, chance: sum over rows of the chance that a
-    pair at the cosine is within the window).
+    """Each row against the next `window` of its team. 'open' are the rows for which the last quarter of the window still
+    held a link; the chance of a 'seen' row is summed over its rows: that a pair at the cosine is within the window.
 
     The order is cut into blocks of `block` places; the first `window` rows of a block also follow the block before. So a
     task holds one block and one window of rows, whatever a team's size.
@@ -163,24 +199,25 @@ def window_links(placed: DataFrame, cosine: float, window: int, block: int) -> D
     dealt = dealt.repartition("block").sortWithinPartitions("block", "place")
     agree = agreement(cosine)
 
-    def compare(team, arrays):
-        ids, keys, places, asks, units = arrays
-        n = int(asks.sum())
-        links, still = [np.zeros((2, 0), np.int64)], np.zeros(n, bool)
+    def compare(group):
+        n = int(group.asks.sum())
+        rows, cols, still = [], [], np.zeros(n, bool)
         for at in range(0, n, window):
-            row, col = np.nonzero(units[at : min(at + window, n)] @ units[at : at + 2 * window].T >= cosine)
+            row, col = np.nonzero(group.units[at : min(at + window, n)] @ group.units[at : at + 2 * window].T >= cosine)
             step = col - row
             row, col, step = (x[(step > 0) & (step <= window)] for x in (row, col, step))
-            links.append(np.stack([ids[at + row], ids[at + col]]))
             still[at + row[step > window - window // 4]] = True
+            new = group.new(at + row, at + col)
+            rows.append(at + row[new])
+            cols.append(at + col[new])
         # A pair is sure to be within the window if it agrees on one bit more than the window's two ends do.
         end = np.arange(n) + window
-        bits = np.where(end < len(keys), shared_bits(keys[:n], keys[np.minimum(end, len(keys) - 1)]) + 1, 0)
+        bits = np.where(end < len(group.keys), shared_bits(group.keys[:n], group.keys[np.minimum(end, len(group.keys) - 1)]) + 1, 0)
         chance = np.where(still, 1.0, agree ** np.minimum(bits, KEY_BITS))
-        return result(team, np.concatenate(links, axis=1), ids[:n][still], places[:n][still], n, float(chance.sum()))
+        empty = np.zeros(0, np.int64)
+        return group.result(np.concatenate([empty, *rows]), np.concatenate([empty, *cols]), np.flatnonzero(still), n, float(chance.sum()))
 
-    columns = ["block", "team", "class", "key", "place", "asks", "vector"]
-    return dealt.select(*columns).mapInArrow(lambda batches: grouped(batches, compare), RESULT)
+    return dealt.select(*DEALT).mapInArrow(lambda batches: grouped(batches, compare), RESULT)
 
 
 def further_links(placed: DataFrame, still: DataFrame, cosine: float, window: int, reach: int) -> DataFrame:
@@ -189,57 +226,70 @@ def further_links(placed: DataFrame, still: DataFrame, cosine: float, window: in
     cell = F.floor(F.col("place") / window)
     far = reach // window
     cells = stored(still.select(cell.alias("home")).distinct().select("home", F.explode(F.sequence(F.col("home") + far, F.col("home") + 2 * far)).alias("to")), "cells")
-    name = F.concat_ws("/", "home", "to").alias("block")
     rows = placed.withColumn("cell", cell)
-    asking = rows.join(still.select("class"), "class", "left_semi").join(cells.withColumn("cell", F.col("home")), "cell")
-    following = rows.join(cells.withColumn("cell", F.col("to")), "cell")
-    columns = ["team", "class", "key", "place"]
-    both = asking.select(name, *columns, F.lit(True).alias("asks"), "vector").unionByName(following.select(name, *columns, F.lit(False).alias("asks"), "vector"))
-
-    def compare(team, arrays):
-        ids, _, places, asks, units = arrays
-        mine, theirs = np.flatnonzero(asks), np.flatnonzero(~asks)
-        row, col = np.nonzero(units[mine] @ units[theirs].T >= cosine)
+    asking = rows.join(still.select("class"), "class", "left_semi").join(cells.withColumn("cell", F.col("home")), "cell").withColumn("asks", F.lit(True))
+    following = rows.join(cells.withColumn("cell", F.col("to")), "cell").withColumn("asks", F.lit(False))
+    both = asking.unionByName(following).withColumn("block", F.concat_ws("/", "home", "to"))
+
+    def compare(group):
+        mine, theirs = np.flatnonzero(group.asks), np.flatnonzero(~group.asks)
+        row, col = np.nonzero(group.units[mine] @ group.units[theirs].T >= cosine)
         row, col = mine[row], theirs[col]
-        step = places[col] - places[row]
+        step = group.places[col] - group.places[row]
         row, col, step = (x[(step > reach) & (step <= 2 * reach)] for x in (row, col, step))
         last = np.unique(row[step > 2 * reach - reach // 4])
-        return result(team, np.stack([ids[row], ids[col]]), ids[last], places[last])
+        new = group.new(row, col)
+        return group.result(row[new], col[new], last)
 
-    dealt = both.repartition("block").sortWithinPartitions("block", "team")
+    dealt = both.select(*DEALT).repartition("block").sortWithinPartitions("block", "team")
     return dealt.mapInArrow(lambda batches: grouped(batches, compare), RESULT)
 
 
-def pass_links(rows: DataFrame, number: int, cosine: float, window: int, block: int) -> tuple[list[DataFrame], float]:
-    """The stored links (a, b) of one pass, and the chance that it finds a pair at the cosine, in the team where that is
-    least. Rows in crowds, whose window ends among links, get windows that double until they don't."""
+def one_pass(rows: DataFrame, number: int, cosine: float, window: int, block: int) -> tuple[list[DataFrame], DataFrame, float]:
+    """The stored results of one pass; its (class, place, reach), how far each row was compared; and the chance that it
+    meets a pair at the cosine, in the team where that is least. Rows in crowds, whose window ends among links, get
+    windows that double until they don't."""
     ranged, placed = sorted_pass(rows, number)
-    found = stored(window_links(placed, cosine, window, block), "window-links")
-    teams = found.where("kind = 'seen'").groupBy("team").agg((F.sum("chance") / F.sum("a")).alias("chance"))
+    results, reach = [stored(window_links(placed, cosine, window, block), "window-links")], window
+    teams = results[0].where("kind = 'seen'").groupBy("team").agg((F.sum("chance") / F.sum("a")).alias("chance"))
     chance = teams.agg(F.min("chance")).first()[0]
-    parts, reach = [found.where("kind = 'link'").select("a", "b")], window
-    still = found.where("kind = 'open'").select(F.col("a").alias("class"), "place").distinct()
+    still = results[0].where("kind = 'open'").select(F.col("a").alias("class"), "place").distinct()
+    longer = []
     while not still.isEmpty():
-        found = stored(further_links(placed, still, cosine, window, reach), "further-links")
-        parts.append(found.where("kind = 'link'").select("a", "b"))
-        still = found.where("kind = 'open'").select(F.col("a").alias("class"), "place").distinct()
+        longer.append(still.select("class", F.lit(2 * reach).cast("long").alias("reach")))
+        results.append(stored(further_links(placed, still, cosine, window, reach), "further-links"))
+        still = results[-1].where("kind = 'open'").select(F.col("a").alias("class"), "place").distinct()
         reach *= 2
+    met = placed.select("class", "place")
+    if longer:
+        most = reduce(DataFrame.unionByName, longer).groupBy("class").agg(F.max("reach").alias("reach"))
+        met = met.join(most, "class", "left").fillna(window, ["reach"])
+    else:
+        met = met.withColumn("reach", F.lit(window).cast("long"))
+    met = stored(met, "met")
     discard(ranged)
-    return parts, 1.0 if chance is None else chance
+    return results, met, 1.0 if chance is None else chance
 
 
-def near_links(rows: DataFrame, cosine: float = COSINE, window: int = WINDOW, block: int = BLOCK, most_passes: int = MOST_PASSES) -> DataFrame:
-    """(a, b), a < b: the linked classes of `rows` (class, team, vector), each pair once."""
-    parts, missed, number = [], 1.0, 0
-    while missed > MISS and number < most_passes:
-        found, chance = pass_links(rows, number, cosine, window, max(block, window))
-        parts += found
+def near_links(rows: DataFrame, cosine: float = COSINE, window: int = WINDOW, block: int = BLOCK, most_passes: int = MOST_PASSES) -> tuple[DataFrame, DataFrame]:
+    """Of `rows` (class, team, vector, n): (class, others), the rows that each linked class is linked to in other classes;
+    and edges (a, b) that connect the linked classes. Each link counts once, in the first pass that meets it."""
+    nothing = F.array().cast("array<long>")
+    rows, results, missed, number = rows.withColumns({"places": nothing, "reaches": nothing}), [], 1.0, 0
+    while True:
+        found, met, chance = one_pass(rows, number, cosine, window, max(block, window))
+        results += found
         missed *= 1 - chance
         number += 1
-    pairs = parts[0]
-    for part in parts[1:]:
-        pairs = pairs.unionByName(part)
-    return stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-links")
+        if missed <= MISS or number >= most_passes:
+            break
+        added = rows.join(met.hint("merge"), "class").withColumns(
+            {"places": F.concat("places", F.array("place")), "reaches": F.concat("reaches", F.array("reach"))}
+        )
+        rows = stored(added.select(*CARRIED), "pass-rows")
+    every = reduce(DataFrame.unionByName, results)
+    counts = every.where("kind = 'count'").groupBy(F.col("a").alias("class")).agg(F.sum("b").alias("others"))
+    return counts, every.where("kind = 'edge'").select("a", "b")
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, window: int = WINDOW, block: int = BLOCK, column: str = "embedding") -> DataFrame:
@@ -256,16 +306,14 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, window: int = WINDO
     at most MISS in every team; small teams are within one window, so their only pass is exact.
     """
     rows = stored(distinct_vectors(vectors, column), "distinct-vectors")
-    pairs = near_links(rows.select("class", "team", "vector"), cosine, window, block)
+    counts, edges = near_links(rows.select("class", "team", "vector", "n"), cosine, window, block)
     sizes = rows.select("class", "n", "least")
-    either = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degrees = either.join(sizes.withColumnRenamed("class", "b"), "b").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("others"))
-    roots = components(pairs).withColumnRenamed("node", "class")
+    roots = components(edges).withColumnRenamed("node", "class")
     rooted = stored(sizes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "vector-roots")
-    firsts = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(firsts.hint("merge"), "root").join(degrees.hint("merge"), "class", "left")
+    firsts = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "vector-firsts")
+    named = rooted.join(firsts.hint("merge"), "root").join(counts.hint("merge"), "class", "left")
     named = named.select("class", "component_id", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"))
-    told = rows.select("class", "label", "vector").join(named.hint("merge"), "class").drop("class")
+    told = stored(rows.select("class", "label", "vector").join(named.hint("merge"), "class").drop("class"), "told-vectors")
     plain = vectors.select("vec_id", "label", plain_vector(vectors, column).alias("vector"))
     linked = plain.where(F.col("vector").isNotNull()).join(told.hint("merge"), ["label", "vector"])
     alone = plain.where(F.col("vector").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
