@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import re
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.feature import Imputer, ImputerModel, SQLTransformer, VectorAssembler
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -77,20 +78,114 @@ def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
-def _boost(trees: GBTRegressor, training: DataFrame, validation: DataFrame, rounds: int, patience: int):
-    """Boosted trees with early stopping on the validation MAE.
+def _boost(trees: GBTRegressor, training: DataFrame, validation: DataFrame, rounds: int, patience: int) -> GBTRegressionModel:
+    """Boosted trees with early stopping on the validation MAE; no round is fitted twice.
 
-    The number of rounds grows until the error has stalled for `patience` rounds, then the model is fitted with
-    the best number: under one seed a shorter fit is a prefix of a longer one. Only one error per round comes
-    back to the driver.
+    Boosting goes on in blocks: a block is fitted to what the blocks before it leave over, which is kept next to the
+    features, until the error has stalled for `patience` rounds. The trees of all blocks, cut after the best round, are the
+    model. Each block's first tree has full weight, as in any boosting run. One error per round comes back to the driver.
     """
-    limit = min(rounds, patience + patience // 2)
-    while True:
-        fitted = trees.copy({trees.maxIter: limit}).fit(training)
-        best, stalled = best_round(fitted.evaluateEachIteration(validation, "absolute"), patience)
-        if stalled or limit >= rounds:
-            return fitted if best == limit else trees.copy({trees.maxIter: best}).fit(training)
-        limit = min(rounds, 2 * limit)
+    block = min(rounds, patience + patience // 2)
+    grown, weights, errors, kept = [], [], [], []
+    left = [training.select("features", "label"), validation.select("features", "label")]
+    try:
+        while True:
+            size = min(block, rounds - len(grown))
+            fitted = trees.copy({trees.maxIter: size, trees.seed: trees.getSeed() + len(grown)}).fit(left[0])
+            errors += fitted.evaluateEachIteration(left[1], "absolute")
+            grown += fitted.trees
+            weights += fitted.treeWeights
+            best, stalled = best_round(errors, patience)
+            if stalled or len(grown) >= rounds:
+                return _ensemble(training.sparkSession, grown[:best], weights[:best])
+            rest = F.col("label") - F.col("prediction")
+            left = [fitted.transform(part).select("features", rest.alias("label")).persist(StorageLevel.MEMORY_AND_DISK) for part in left]
+            kept += left
+    finally:
+        for part in kept:
+            part.unpersist()
+
+
+def _ensemble(spark: SparkSession, trees: Sequence, weights: Sequence[float]) -> GBTRegressionModel:
+    """One model of the given fitted trees and weights, by Spark ML's constructor for them."""
+    gateway, ml = spark.sparkContext._gateway, spark.sparkContext._jvm.org.apache.spark.ml.regression
+    trees_, weights_ = gateway.new_array(ml.DecisionTreeRegressionModel, len(trees)), gateway.new_array(gateway.jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        trees_[i], weights_[i] = tree._java_obj, float(weight)
+    return GBTRegressionModel(ml.GBTRegressionModel(f"boosted_{len(trees)}", trees_, weights_))
+
+
+# A tree is the value of a leaf, or (feature, threshold, tree where the feature is at most the threshold, other tree).
+Tree = float | tuple[str, float, "Tree", "Tree"]
+
+
+def tree_sql(tree: Tree, fills: Mapping[str, float]) -> str:
+    """The tree as a SQL CASE expression that Spark and other engines read alike; `fills` replace missing features."""
+    if not isinstance(tree, tuple):
+        return f"CAST({float(tree)!r} AS DOUBLE)"
+    feature, threshold, low, high = tree
+    value = f"coalesce({feature}, CAST({float(fills.get(feature, 0.0))!r} AS DOUBLE))"
+    return f"CASE WHEN {value} <= CAST({float(threshold)!r} AS DOUBLE) THEN {tree_sql(low, fills)} ELSE {tree_sql(high, fills)} END"
+
+
+def ensemble_sql(trees: Sequence[tuple[float, Tree]], fills: Mapping[str, float] | None = None) -> str:
+    """The weighted sum of (weight, tree), in their order."""
+    return " + ".join(f"CAST({float(w)!r} AS DOUBLE) * {tree_sql(tree, fills or {})}" for w, tree in trees)
+
+
+def features_of(trees: Sequence[tuple[float, Tree]]) -> list[str]:
+    """The features that trees ask for, in order of appearance."""
+
+    def walk(tree):
+        if isinstance(tree, tuple):
+            yield tree[0]
+            yield from walk(tree[2])
+            yield from walk(tree[3])
+
+    return list(dict.fromkeys(name for _, tree in trees for name in walk(tree)))
+
+
+def declared_forecaster(
+    trees: Sequence[tuple[float, Tree]], target: str, version: str, nonnegative: bool = False, fills: Mapping[str, float] | None = None
+) -> Forecaster:
+    """A forecaster of declared trees. It is a Spark ML pipeline like a trained one, so it is scored and saved alike; its one
+    stage is SQL, which scoring compiles with the rest of the plan."""
+    statement = SQLTransformer(statement=f"SELECT *, {ensemble_sql(trees, fills)} AS prediction FROM __THIS__")
+    return Forecaster(PipelineModel(stages=[statement]), features_of(trees), target, version, nonnegative)
+
+
+def trees_of(forecaster: Forecaster) -> tuple[list[tuple[float, Tree]], dict[str, float]]:
+    """A trained forecaster's weighted trees, and the training means that fill its missing features."""
+    model = forecaster.model.stages[-1]
+    imputer = next(s for s in forecaster.model.stages if isinstance(s, ImputerModel))
+    means = imputer.surrogateDF.first().asDict()
+    parsed = [_parsed_tree(tree.toDebugString, forecaster.features) for tree in model.trees]
+    return list(zip(model.treeWeights, parsed)), {name: float(means[name]) for name in forecaster.features}
+
+
+def _parsed_tree(text: str, features: Sequence[str]) -> Tree:
+    """A tree from Spark ML's description of it: a line for each split's two sides and for each leaf, a side's subtree
+    below its line."""
+    lines = iter([line.strip() for line in text.splitlines()[1:] if line.strip()])
+
+    def read() -> Tree:
+        line = next(lines)
+        if line.startswith("Predict:"):
+            return float(line.split(":")[1])
+        feature, threshold = re.fullmatch(r"If \(feature (\d+) <= (\S+)\)", line).groups()
+        low = read()
+        next(lines)  # Else
+        return features[int(feature)], float(threshold), low, read()
+
+    return read()
+
+
+def compiled(forecaster: Forecaster) -> Forecaster:
+    """A trained forecaster as SQL: the same predictions but for the last bits of a sum. For small ensembles; every tree is a
+    part of one expression."""
+    trees, fills = trees_of(forecaster)
+    sql = declared_forecaster(trees, forecaster.target, forecaster.version, forecaster.nonnegative, fills)
+    return replace(sql, features=forecaster.features)
 
 
 def train_forecaster(
