@@ -3,13 +3,15 @@ passes when `bad_rows` is 0. `passed` turns a set of them into one verdict row p
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger.functions.timeops import month_index
+from sunledger.operators.series import ordering_check_blocks
 from sunledger.settings import (
     ANNUAL_TOLERANCE_PCT,
     MIN_HOUR_SHARE,
@@ -17,8 +19,9 @@ from sunledger.settings import (
     TRAIN_MONTHS,
     VALIDATION_MONTHS,
 )
+from sunledger.sources.tables import SOURCE
 
-REPORT = ["check_name", "table_name", "column_name", "bad_rows", "severity"]
+REPORT_SCHEMA = "check_name STRING, table_name STRING, column_name STRING, bad_rows LONG, severity STRING"
 
 
 def _report(one_row: DataFrame, check: str, table: str, counts: Mapping[str, str], severity: str) -> DataFrame:
@@ -43,6 +46,99 @@ def _count_bad(df: DataFrame, conditions: Mapping[str, Column]) -> tuple[DataFra
     return row, names
 
 
+def _outside(column: str, low: float | None, high: float | None) -> Column:
+    below = F.col(column) < F.lit(low) if low is not None else F.lit(False)
+    above = F.col(column) > F.lit(high) if high is not None else F.lit(False)
+    return below | above
+
+
+Ranges = Mapping[str, tuple[float | None, float | None]]
+
+
+def column_figures(required: Sequence[str], ranges: Ranges | None = None) -> list[Column]:
+    """Aggregates from which `report_figures` tells nulls in required columns and values out of range. They may be observed
+    while a table is written (`stage_table`), so the checks cost no scan."""
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in required]
+    return nulls + [F.count_if(_outside(c, *limits)).alias(f"outside {c}") for c, limits in (ranges or {}).items()]
+
+
+def report_figures(
+    spark: SparkSession, figures: Mapping[str, object], table: str, range_check: str = "accepted_range", expected: int | None = None, share: float = MIN_HOUR_SHARE
+) -> DataFrame:
+    """Report rows of the figures of `column_figures`; with `expected`, also whether `n_rows` falls short of its share."""
+    checks = {"null": "not_null", "outside": range_check}
+    rows = [(checks[kind], table, column, bad, "error") for kind, column, bad in ((*n.split(" ", 1), v) for n, v in figures.items() if " " in n)]
+    if expected is not None:
+        rows.append(("row_count", table, "*", max(0, math.ceil(expected * share) - figures["n_rows"]), "error"))
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
+def check_columns(df: DataFrame, table: str, required: Sequence[str], ranges: Ranges | None = None, range_check: str = "accepted_range") -> DataFrame:
+    """`check_not_null` and `check_range` of a table in one scan."""
+    row = df.agg(F.count(F.lit(1)).alias("n_rows"), *column_figures(required, ranges))
+    counted = [("not_null", c, f"null {c}") for c in required] + [(range_check, c, f"outside {c}") for c in ranges or {}]
+    entries = [
+        F.struct(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.col(f"`{n}`").alias("bad_rows"))
+        for check, c, n in counted
+    ]
+    return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*", F.lit("error").alias("severity"))
+
+
+def check_keys(
+    df: DataFrame,
+    table: str,
+    key: Sequence[str],
+    known: Sequence[str] = (),
+    window: tuple[str, str] | None = None,
+    share: float = MIN_HOUR_SHARE,
+) -> DataFrame:
+    """`check_known_duplicates` and `check_hour_coverage` of a key (series columns, then the timestamp) in one scan and one
+    shuffle, by series and hour: an hour's repeated keys are counted where its rows meet."""
+    *by, ts = key
+    hours = df.select(*key, F.date_trunc("hour", ts).alias("_hour")).repartition(*by, "_hour")
+    keys = hours.groupBy(*by, "_hour", ts).agg(F.count(F.lit(1)).alias("_n"))
+    seen = keys.groupBy(*by, "_hour").agg(F.count_if(F.col("_n") > 1).alias("_repeated"))
+    short, repeated = _short_series(seen, by, share, window, F.sum("_repeated").alias("_repeated"))
+    severity = "warn" if table in known else "error"
+    return _report(repeated, "unique", table, {", ".join(key): "bad"}, severity).unionByName(_report(short, "row_count", table, {ts: "bad"}, "error"))
+
+
+def _short_series(
+    hours: DataFrame, by: Sequence[str], share: float, window: tuple[str, str] | None, *others: Column
+) -> tuple[DataFrame, DataFrame]:
+    """From distinct (series, _hour): one row `bad`, the hours that series lack; and one row with the sum of the first of
+    `others`, if any. The expected hours come from the same per-series table, not from another scan."""
+    if window is None:
+        inside = F.col("_hour").isNotNull()
+    else:
+        start, end = (F.lit(bound).cast("timestamp") for bound in window)
+        inside = (F.col("_hour") >= start) & (F.col("_hour") < end)
+    series = hours.groupBy(*by).agg(F.count_if(inside).alias("n"), F.min("_hour").alias("lo"), F.max("_hour").alias("hi"), *others)
+    if window is None:
+        whole = series.select((F.unix_seconds(F.max("hi").cast("timestamp")) - F.unix_seconds(F.min("lo").cast("timestamp"))) / 3600 + 1).scalar()
+    else:
+        whole = (F.unix_seconds(end) - F.unix_seconds(start)) / 3600
+    wanted = F.ceil(whole * F.lit(float(share)))
+    short = series.agg(F.count(F.lit(1)).alias("series"), F.sum(F.greatest(wanted - F.col("n"), F.lit(0))).alias("short"))
+    bad = F.when(F.col("series") == 0, wanted).otherwise(F.col("short")).alias("bad")
+    return short.select(bad), series.agg(F.sum("_repeated").alias("bad")) if others else short
+
+
+def check_source_order(
+    rows: DataFrame, table: str, ts: str, keys: Sequence[str] = ("asset_id",), source: Sequence[str] = SOURCE, severity: str = "error"
+) -> DataFrame:
+    """Rows of a file with an earlier timestamp than the row of their series before them, by the source positions that
+    were read with them: a report row for each file that has any, or one with zero."""
+    steps = ordering_check_blocks(rows, ts, keys, source)
+    files = steps.groupBy(source[0]).agg(F.sum("n_backward").alias("bad_rows")).where("bad_rows > 0")
+    name = F.concat(F.lit(f"{ts} in "), F.element_at(F.split(source[0], "/"), -1)).alias("column_name")
+    unsorted = files.select(name, "bad_rows")
+    none = rows.sparkSession.createDataFrame([(ts, 0)], "column_name string, bad_rows long")
+    return unsorted.unionByName(none).select(
+        F.lit("source_order").alias("check_name"), F.lit(table).alias("table_name"), "column_name", "bad_rows", F.lit(severity).alias("severity")
+    )
+
+
 def check_not_null(df: DataFrame, table: str, columns: Sequence[str], severity: str = "error") -> DataFrame:
     row, names = _count_bad(df, {c: F.col(c).isNull() for c in columns})
     return _report(row, "not_null", table, names, severity)
@@ -57,12 +153,7 @@ def check_range(
 ) -> DataFrame:
     """Values outside inclusive limits; an open side is None, nulls are not judged."""
 
-    def outside(column: str, low: float | None, high: float | None) -> Column:
-        below = F.col(column) < F.lit(low) if low is not None else F.lit(False)
-        above = F.col(column) > F.lit(high) if high is not None else F.lit(False)
-        return below | above
-
-    row, names = _count_bad(df, {c: outside(c, *limits) for c, limits in ranges.items()})
+    row, names = _count_bad(df, {c: _outside(c, *limits) for c, limits in ranges.items()})
     return _report(row, check, table, names, severity)
 
 
@@ -112,18 +203,8 @@ def check_hour_coverage(
 ) -> DataFrame:
     """Distinct hours that each series lacks of `share` x the hours of `window` (its end excluded), summed over the
     series; without a window, of the hours between the first and last of all series. An empty table lacks them all."""
-    hour = F.date_trunc("hour", ts)
-    if window is None:
-        first, last = (df.select(F.unix_seconds(F.date_trunc("hour", f(ts)))).scalar() for f in (F.min, F.max))
-        expected, inside = (last - first) / 3600 + 1, F.col("_hour").isNotNull()
-    else:
-        start, end = (F.lit(bound).cast("timestamp") for bound in window)
-        expected, inside = (F.unix_seconds(end) - F.unix_seconds(start)) / 3600, (F.col("_hour") >= start) & (F.col("_hour") < end)
-    wanted = F.ceil(expected * F.lit(float(share)))
-    seen = df.select(*by, hour.alias("_hour")).distinct().groupBy(*by).agg(F.count_if(inside).alias("n"))
-    short = seen.agg(F.count(F.lit(1)).alias("series"), F.sum(F.greatest(wanted - F.col("n"), F.lit(0))).alias("short"))
-    bad = F.when(F.col("series") == 0, wanted).otherwise(F.col("short"))
-    return _report(short.select(bad.alias("bad")), "row_count", table, {ts: "bad"}, "error")
+    hours = df.select(*by, F.date_trunc("hour", ts).alias("_hour")).distinct()
+    return _report(_short_series(hours, by, share, window)[0], "row_count", table, {ts: "bad"}, "error")
 
 
 def check_annual_total(

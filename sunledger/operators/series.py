@@ -151,47 +151,51 @@ def ordering_check(
     checked per (series, chunk); steps between chunks need only each chunk's first and last timestamp.
     """
     placed = rows.withColumn("_chunk", F.floor(F.col(sequence) / chunk))
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(sequence)
-    steps = placed.withColumn("_back", (F.col(ts) < F.lag(ts).over(inside)).cast("int"))
-    chunks = steps.groupBy(*keys, "_chunk").agg(
+    return _backward_steps(placed, keys, ts, "_chunk", sequence)
+
+
+def ordering_check_blocks(
+    rows: DataFrame, ts: str = "ts_utc", keys: Sequence[str] = KEYS, source: Sequence[str] = ("source_file", "source_block", "source_row")
+) -> DataFrame:
+    """`ordering_check` per (file, series) of rows that carry their file, block and row: a file's blocks are its chunks."""
+    file, block, row = source
+    return _backward_steps(rows, [file, *keys], ts, block, row)
+
+
+def _backward_steps(rows: DataFrame, keys: Sequence[str], ts: str, chunk: str, sequence: str) -> DataFrame:
+    inside = Window.partitionBy(*keys, chunk).orderBy(sequence)
+    steps = rows.select(*keys, chunk, sequence, ts, (F.col(ts) < F.lag(ts).over(inside)).cast("int").alias("_back"))
+    chunks = steps.groupBy(*keys, chunk).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.sum("_back"), F.lit(0)).alias("_inside"),
         F.min_by(ts, sequence).alias("_first"),
         F.max_by(ts, sequence).alias("_last"),
     )
-    across = Window.partitionBy(*keys).orderBy("_chunk")
+    across = Window.partitionBy(*keys).orderBy(chunk)
     seams = chunks.withColumn("_seam", F.coalesce((F.col("_first") < F.lag("_last").over(across)).cast("int"), F.lit(0)))
     return seams.groupBy(*keys).agg(
         F.sum("n_rows").alias("n_rows"), F.sum(F.col("_inside") + F.col("_seam")).alias("n_backward")
     )
 
 
-def expected_hours(
-    series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_utc", window: tuple[str, str] | None = None
-) -> DataFrame:
-    """Every hour of `window` (its end excluded), or between the first and last of each series. Months are exploded first and spread out, then the
-    hours of each month, so no long array is built and a long series is filled by many tasks."""
-    hour = F.expr("INTERVAL 1 HOUR")
-    if window is None:
-        ends = F.min(F.date_trunc("hour", ts)), F.max(F.date_trunc("hour", ts))
-    else:
-        ends = F.lit(window[0]).cast("timestamp"), F.lit(window[1]).cast("timestamp") - hour
-    spans = series.groupBy(*keys).agg(ends[0].alias("_from"), ends[1].alias("_to"))
-    months = spans.select(
-        *keys,
-        "_from",
-        "_to",
-        F.explode(
-            F.sequence(F.date_trunc("month", "_from"), F.date_trunc("month", "_to"), F.expr("INTERVAL 1 MONTH"))
-        ).alias("_month"),
-    )
-    last = F.least(F.col("_to"), F.col("_month") + F.expr("INTERVAL 1 MONTH") - hour)
-    return months.repartition(*keys, "_month").select(*keys, F.explode(F.sequence(F.greatest("_from", "_month"), last, hour)).alias(ts))
-
-
 def missing_hours(
     series: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_utc", window: tuple[str, str] | None = None
 ) -> DataFrame:
-    """Hours of `window` that a series lacks; without one, hours absent between its first and last."""
-    present = series.select(*keys, F.date_trunc("hour", ts).alias(ts))
-    return expected_hours(series, keys, ts, window).join(present, [*keys, ts], "left_anti")
+    """Hours of `window` (its end excluded) that a series lacks; without one, hours absent between its first and last.
+
+    Gaps between islands: each present hour is put next to its successor, and only hours between the two are made. With a
+    window, each series gets its two ends as rows, so gaps at its borders are found alike; series without any row in
+    the window lack it all. Long series are cut as for lags; gaps longer than a month are made month by month.
+    """
+    hour = F.expr("INTERVAL 1 HOUR")
+    present = series.select(*keys, F.date_trunc("hour", ts).alias("_hour"), F.lit(False).alias("_end")).where(F.col("_hour").isNotNull())
+    if window is not None:
+        start, end = (F.lit(bound).cast("timestamp") for bound in window)
+        ends = series.select(*keys).distinct().select(*keys, F.explode(F.array(start - hour, end)).alias("_hour"), F.lit(True).alias("_end"))
+        present = present.where((F.col("_hour") >= start) & (F.col("_hour") < end)).unionByName(ends)
+    followed = lag_rows(present, {"_before": ("_hour", 1)}, keys, "_hour")
+    gaps = followed.where(F.col("_hour") > F.col("_before") + hour).select(*keys, (F.col("_before") + hour).alias("_from"), (F.col("_hour") - hour).alias("_to"))
+    month = F.expr("INTERVAL 1 MONTH")
+    parts = gaps.select(*keys, "_from", "_to", F.explode(F.sequence(F.date_trunc("month", "_from"), F.date_trunc("month", "_to"), month)).alias("_month"))
+    last = F.least(F.col("_to"), F.col("_month") + month - hour)
+    return parts.select(*keys, F.explode(F.sequence(F.greatest("_from", "_month"), last, hour)).alias(ts))

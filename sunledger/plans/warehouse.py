@@ -17,7 +17,7 @@ from sunledger.session import pin_session
 from sunledger.settings import ACCEPTED_RANGES, NOT_NULL, RAW_BOUNDS, UNIQUE_KEYS, ZONE
 from sunledger.sources.schemas import RAW_TABLES
 from sunledger.sources.sinks import read_metrics, write_metrics
-from sunledger.sources.tables import read_raw_table, replace_table, scan_ordered
+from sunledger.sources.tables import SOURCE, read_raw_table, replace_table, restore_table, scan_ordered, stage_table
 
 
 class Warehouse:
@@ -38,10 +38,13 @@ class Warehouse:
             self.table(name).createOrReplaceTempView(name)
 
     def _store(self, name: str, df: DataFrame) -> int:
+        """Write a table beside the old one, check nulls and ranges by figures observed in that pass, and publish it."""
+        figures = quality.column_figures(NOT_NULL.get(name, ()), ACCEPTED_RANGES.get(name))
+        audit = lambda staged: self._must_pass(quality.report_figures(self.spark, staged.figures, name))
         if "ts_utc" not in df.columns:
-            return replace_table(df, self.path(name))
+            return replace_table(df, self.path(name), figures=figures, audit=audit)
         dated = df.withColumn("year", F.year("ts_utc"))
-        return replace_table(dated, self.path(name), partition_by=["year"], sort_by=["asset_id", "ts_utc"])
+        return replace_table(dated, self.path(name), ["year"], ["asset_id", "ts_utc"], figures, audit)
 
     # ---- raw
     def load_raw(
@@ -52,14 +55,44 @@ class Warehouse:
         annual_kwh: float | None = None,
     ) -> dict[str, int]:
         """Replace the raw tables by their CSV files and return the row counts. A null in a required column, an
-        unexpected repeated key, a series that lacks hours of `window` (start, end), or a year's load off `annual_kwh`
-        fails the load. Without a window, series are held against the hours between the first and last of the table."""
-        rows = {}
-        for name in tables:
-            frame = read_raw_table(self.spark, csv_folder, name)
-            rows[name] = replace_table(frame, self.path(f"raw/{name}"))
-        self._must_pass(self.raw_report(tables, window, annual_kwh))
-        return rows
+        unexpected repeated key, a series that lacks hours of `window` (start, end), a file whose series are not in the order
+        of time, or a year's load off `annual_kwh` fails the load. Without a window, series are held against the hours
+        between the first and last of the table.
+
+        All files are written beside the stored tables and checked there; only then do they take their places. A load that
+        fails leaves every table as it was. Nulls, bounds and row counts come with the write.
+        """
+        staged = {}
+        try:
+            for name in tables:
+                entry, path = RAW_TABLES[name], self.path(f"raw/{name}")
+                restore_table(self.spark, path)
+                frame = read_raw_table(self.spark, csv_folder, name, with_source=True)
+                staged[name] = stage_table(frame, path, figures=quality.column_figures(entry.required, RAW_BOUNDS[name]))
+            frames = {name: s.read() for name, s in staged.items()}
+            reports = [quality.report_figures(self.spark, s.figures, name, "raw_bounds") for name, s in staged.items()]
+            for name, frame in frames.items():
+                reports += self._raw_checks(name, frame, window, annual_kwh)
+                severity = "error" if RAW_TABLES[name].ordered else "warn"
+                reports.append(quality.check_source_order(frame, name, RAW_TABLES[name].key[-1], severity=severity))
+            self._must_pass(quality.all_checks(reports))
+            for s in staged.values():
+                s.publish()
+        finally:
+            for s in staged.values():
+                s.discard()
+        return {name: s.figures["n_rows"] for name, s in staged.items()}
+
+    def raw(self, name: str) -> DataFrame:
+        """A raw table without the columns that say where its rows came from."""
+        return self.table(f"raw/{name}").drop(*SOURCE)
+
+    def _raw_checks(self, name: str, frame: DataFrame, window: tuple[str, str] | None, annual_kwh: float | None) -> list[DataFrame]:
+        known = [t.name for t in RAW_TABLES.values() if t.duplicates_known]
+        checks = [quality.check_keys(frame, name, RAW_TABLES[name].key, known, window)]
+        if annual_kwh is not None and name == "load_hourly":
+            checks.append(quality.check_annual_total(frame, name, "load_kw", annual_kwh))
+        return checks
 
     def raw_report(
         self,
@@ -67,18 +100,12 @@ class Warehouse:
         window: tuple[str, str] | None = None,
         annual_kwh: float | None = None,
     ) -> DataFrame:
+        """The checks of a load, of the stored tables: two scans of each, one for its columns and one for its keys."""
         reports = []
         for name in tables:
-            entry, frame = RAW_TABLES[name], self.table(f"raw/{name}")
-            known = [t.name for t in RAW_TABLES.values() if t.duplicates_known]
-            reports += [
-                quality.check_not_null(frame, name, entry.required),
-                quality.check_bounds_raw(frame, name, RAW_BOUNDS[name]),
-                quality.check_known_duplicates(frame, name, entry.key, known),
-                quality.check_hour_coverage(frame, name, entry.key[-1], window=window),
-            ]
-            if annual_kwh is not None and name == "load_hourly":
-                reports.append(quality.check_annual_total(frame, name, "load_kw", annual_kwh))
+            frame = self.raw(name)
+            reports.append(quality.check_columns(frame, name, RAW_TABLES[name].required, RAW_BOUNDS[name], "raw_bounds"))
+            reports += self._raw_checks(name, frame, window, annual_kwh)
         return quality.all_checks(reports)
 
     @staticmethod
@@ -90,7 +117,7 @@ class Warehouse:
 
     # ---- staging (lazy)
     def staged(self) -> dict[str, DataFrame]:
-        raw = lambda name: self.table(f"raw/{name}")
+        raw = self.raw
         return {
             "stg_pvgis_hourly": staging.stg_pv(raw("pvgis_hourly"), self.zone),
             "stg_load_hourly": staging.dedupe_avg(raw("load_hourly")),
@@ -153,9 +180,7 @@ class Warehouse:
         """Not-null, unique and range checks of staged or stored tables."""
         reports = []
         for name, df in tables.items():
-            reports.append(quality.check_not_null(df, name, NOT_NULL[name]))
-            if name in ACCEPTED_RANGES:
-                reports.append(quality.check_range(df, name, ACCEPTED_RANGES[name]))
+            reports.append(quality.check_columns(df, name, NOT_NULL[name], ACCEPTED_RANGES.get(name)))
             if name in UNIQUE_KEYS:
                 reports.append(quality.check_unique(df, name, UNIQUE_KEYS[name]))
         return quality.all_checks(reports)

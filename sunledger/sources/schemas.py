@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class RawTable:
-    """One raw table: CSV columns in file order (as DDL), required columns, key, and whether repeated keys are expected."""
+    """One raw table: CSV columns in file order (as DDL), required columns, key, whether repeated keys are expected, and
+    whether each series of a file must be in the order of time."""
 
     name: str
     file: str
@@ -15,6 +16,7 @@ class RawTable:
     required: tuple[str, ...]
     key: tuple[str, ...]
     duplicates_known: bool = False
+    ordered: bool = True
 
 
 # Raw table names, file names and CSV columns.
@@ -76,6 +78,7 @@ RAW_TABLES = {
             ("generation_mw",),
             ("asset_id", "ts_utc"),
             duplicates_known=True,
+            ordered=False,
         ),
     )
 }

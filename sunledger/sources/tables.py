@@ -2,30 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sunledger.sources.schemas import BATTERY_SCHEMA, RAW_TABLES, RawTable
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Header CSV with declared types: one pass, no inference; a malformed row fails the read."""
-    return (
+# Where a raw row came from: file, offset of the block in the file, and a number that grows in a block from row to row.
+SOURCE = ("source_file", "source_block", "source_row")
+
+
+def read_raw_csv(spark: SparkSession, path: str, schema: str | T.StructType, with_source: bool = False) -> DataFrame:
+    """Header CSV with declared types: one pass, no inference; a malformed row fails the read. `with_source` adds the
+    columns SOURCE, which put the rows of a file in their order."""
+    rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .csv(path)
     )
+    if not with_source:
+        return rows
+    places = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return rows.select("*", *[place.alias(name) for name, place in zip(SOURCE, places)])
 
 
-def read_raw_table(spark: SparkSession, folder: str, table: str | RawTable) -> DataFrame:
+def read_raw_table(spark: SparkSession, folder: str, table: str | RawTable, with_source: bool = False) -> DataFrame:
     """A catalog table from its CSV file (or folder of part files) under `folder`."""
     entry = RAW_TABLES[table] if isinstance(table, str) else table
-    return read_raw_csv(spark, f"{folder.rstrip('/')}/{entry.file}", entry.schema)
+    return read_raw_csv(spark, f"{folder.rstrip('/')}/{entry.file}", entry.schema, with_source)
 
 
 def read_battery(spark: SparkSession, path: str) -> DataFrame:
@@ -55,27 +66,108 @@ def raw_catalog(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
-def replace_table(
-    df: DataFrame,
-    path: str,
-    partition_by: Sequence[str] = (),
-    sort_by: Sequence[str] = (),
-) -> int:
-    """Overwrite the Parquet table at `path` and return its row count as read back.
+@dataclass(frozen=True)
+class Staged:
+    """A table written beside the one it may replace, with the figures observed while it was written."""
+
+    spark: SparkSession
+    path: str
+    beside: str
+    figures: Mapping[str, object]
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.beside)
+
+    def publish(self) -> None:
+        """Puts the table in place: the old one is renamed away, the new one takes its name, then the old one goes.
+
+        Renames are single steps on file systems like HDFS. If the second fails, the first is undone; a process that dies
+        between them leaves the old table to `restore_table`. On object stores, where a rename copies, the time without a
+        table is that of the copy.
+        """
+        fs, old = _file_system(self.spark, self.path), f"{self.path}{_OLD}{uuid.uuid4().hex}"
+        had_one = fs.exists(_hadoop(self.spark, self.path))
+        if had_one and not fs.rename(_hadoop(self.spark, self.path), _hadoop(self.spark, old)):
+            raise OSError(f"cannot move {self.path} away")
+        if not fs.rename(_hadoop(self.spark, self.beside), _hadoop(self.spark, self.path)):
+            if had_one:
+                fs.rename(_hadoop(self.spark, old), _hadoop(self.spark, self.path))
+            raise OSError(f"cannot publish {self.path}")
+        if had_one:
+            fs.delete(_hadoop(self.spark, old), True)
+        self.spark.catalog.refreshByPath(self.path)
+
+    def discard(self) -> None:
+        _file_system(self.spark, self.beside).delete(_hadoop(self.spark, self.beside), True)
+
+
+_OLD, _NEXT = "__old_", "__next_"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def stage_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), figures: Sequence[Column] = ()
+) -> Staged:
+    """Write `df` as Parquet beside `path`; whatever is at `path` stays. `figures` are aggregates (with names) that the one
+    pass of the write observes; `n_rows` always is. They are taken in the stage that writes, whose tasks count once, also
+    when executors are lost.
 
     With `partition_by`, rows are first rebalanced by those columns: a folder is written by few tasks instead of
     by every task, and adaptive execution splits a folder that is too large for one.
     """
-    out = df
+    out, beside = df, f"{path}{_NEXT}{uuid.uuid4().hex}"
     if partition_by:
         out = out.hint("rebalance", *partition_by)
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
-    writer = out.write.mode("overwrite")
+    seen = Observation(f"write of {path}")
+    writer = out.observe(seen, F.count(F.lit(1)).alias("n_rows"), *figures).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    try:
+        writer.parquet(beside)
+    except BaseException:
+        Staged(df.sparkSession, path, beside, {}).discard()
+        raise
+    return Staged(df.sparkSession, path, beside, dict(seen.get))
+
+
+def restore_table(spark: SparkSession, path: str) -> bool:
+    """Puts the old table back if a process died while it published a new one; whether there was one to put back."""
+    fs = _file_system(spark, path)
+    if fs.exists(_hadoop(spark, path)):
+        return False
+    left = fs.globStatus(_hadoop(spark, f"{path}{_OLD}*"))
+    return bool(left) and fs.rename(left[0].getPath(), _hadoop(spark, path))
+
+
+def replace_table(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    figures: Sequence[Column] = (),
+    audit: Callable[[Staged], None] | None = None,
+) -> int:
+    """Replace the Parquet table at `path` and return the row count: write beside it, audit, publish. An `audit` that
+    raises, like a write that fails, leaves the old table as it was."""
+    restore_table(df.sparkSession, path)
+    staged = stage_table(df, path, partition_by, sort_by, figures)
+    try:
+        if audit is not None:
+            audit(staged)
+        staged.publish()
+    except BaseException:
+        staged.discard()
+        raise
+    return staged.figures["n_rows"]
 
 
 def scan_ordered(

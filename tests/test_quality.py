@@ -34,6 +34,41 @@ def test_each_check_finds_its_fault(bad_rows):
     assert bad(quality.check_bounds_raw(bad_rows, "t", {"load_kw": (2, None)})) == {("raw_bounds", "load_kw"): (1, "error")}
 
 
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("FileScan parquet")
+
+
+def test_one_scan_for_the_checks_of_columns_and_one_for_those_of_keys(spark, bad_rows, tmp_path):
+    bad_rows.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    columns = quality.check_columns(stored, "t", ["asset_id", "load_kw"], {"load_kw": (0, 300)})
+    apart = quality.all_checks([quality.check_not_null(stored, "t", ["asset_id", "load_kw"]), quality.check_range(stored, "t", {"load_kw": (0, 300)})])
+    assert bad(columns) == bad(apart)
+    columns.collect()
+    assert scans(columns) == 1 < len(quality.check_columns(stored, "t", [], {"load_kw": (0, 300)}).collect()) + 1
+    keys = quality.check_keys(stored, "t", ["asset_id", "ts_utc"])
+    keys.collect()
+    assert bad(keys) == {("unique", "asset_id, ts_utc"): (1, "error"), ("row_count", "ts_utc"): (0, "error")}
+
+
+@pytest.mark.parametrize("window", [None, ("1970-01-01", "1970-01-08")])
+def test_keys_in_one_pass_equal_both_checks(spark, window):
+    rows = [("a", m * 7) for m in range(400)] + [("a", 14), ("b", 0), ("b", 90), ("b", 90), ("b", 90), (None, 300)]
+    df = spark.createDataFrame(rows, "asset_id STRING, m LONG").select("asset_id", F.timestamp_seconds(F.col("m") * 60).alias("ts_utc"))
+    key = ["asset_id", "ts_utc"]
+    apart = quality.all_checks([quality.check_known_duplicates(df, "t", key, ["t"]), quality.check_hour_coverage(df, "t", window=window)])
+    got = bad(quality.check_keys(df, "t", key, ["t"], window))
+    assert got == bad(apart) and got["unique", "asset_id, ts_utc"] == (2, "warn")
+    empty = quality.check_keys(df.where("1 = 0"), "t", key, ["t"], window)
+    assert bad(empty)["row_count", "ts_utc"] == bad(quality.check_hour_coverage(df.where("1 = 0"), "t", window=window))["row_count", "ts_utc"]
+
+
+def test_figures_tell_what_the_checks_tell(spark, bad_rows):
+    figures = bad_rows.agg(F.count(F.lit(1)).alias("n_rows"), *quality.column_figures(["load_kw"], {"load_kw": (0, 300)})).first().asDict()
+    told = bad(quality.report_figures(spark, figures, "t", "raw_bounds", expected=10))
+    assert told == {("not_null", "load_kw"): (1, "error"), ("raw_bounds", "load_kw"): (1, "error"), ("row_count", "*"): (5, "error")}
+
+
 def test_limits_are_inclusive(spark):
     df = spark.createDataFrame([(0.0,), (300.0,)], "load_kw DOUBLE")
     assert quality.check_range(df, "t", {"load_kw": (0, 300)}).first().bad_rows == 0

@@ -136,11 +136,55 @@ def test_missing_hours_across_months(spark):
     df = hours(spark, [h for h in range(24 * 70) if h not in (5, 800, 801)])
     got = sorted(r[0] for r in series.missing_hours(df).select(F.unix_seconds("ts_utc") / HOUR).collect())
     assert got == [5, 800, 801]
-    assert series.expected_hours(df).count() == 24 * 70
     edges = series.missing_hours(df.where(F.unix_seconds("ts_utc") >= 3 * HOUR), window=("1970-01-01", "1970-01-02"))
     assert sorted(r[0] for r in edges.select(F.unix_seconds("ts_utc") / HOUR).collect()) == [0, 1, 2, 5]
 
 
+@pytest.mark.parametrize("window", [None, ("1970-01-05", "1970-04-11")])
+def test_missing_hours_are_those_of_the_full_grid(spark, window):
+    """Several series, repeated and unaligned rows, gaps of months, one series outside the window, one without a name."""
+    rng = random.Random(8)
+    stamps = {"a": rng.sample(range(3000), 900), "b": [5, 6, 2500, 2500], "c": [9000], None: rng.sample(range(200, 260), 20), "d": [None, 7]}
+    rows = [(a, None if h is None else h * HOUR + rng.choice([0, 59])) for a, hs in stamps.items() for h in hs]
+    df = spark.createDataFrame(rows, "asset_id STRING, s LONG").select("asset_id", F.timestamp_seconds("s").alias("ts_utc"))
+    got = series.missing_hours(df, window=window).select("asset_id", (F.unix_seconds("ts_utc") / HOUR).cast("int")).collect()
+    want = []
+    for a, hs in stamps.items():
+        known = [h for h in hs if h is not None]
+        grid = range(min(known), max(known)) if window is None else range(4 * 24, 100 * 24)
+        want += [(a, h) for h in grid if h not in known]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_missing_hours_make_no_grid(spark, tmp_path):
+    """A series with one gap makes the hours of that gap, and nothing is joined."""
+    hours(spark, [h for h in range(20_000) if not 500 <= h < 507]).write.parquet(str(tmp_path / "s"))
+    missing = series.missing_hours(spark.read.parquet(str(tmp_path / "s")))
+    assert len(missing.collect()) == 7
+    final = missing._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Join" not in final and len(re.findall("Exchange hashpartitioning", final)) == 1
+
+
+def test_source_positions_put_files_in_order(spark, tmp_path):
+    """Two files cut into small blocks: steps back at and inside block borders are found, file by file."""
+    from sunledger.sources.tables import read_raw_csv
+
+    lines = lambda stamps: "asset_id,ts_utc\n" + "".join(f"a,1970-01-{1 + h // 24:02d} {h % 24:02d}:00:00\n" for h in stamps)
+    good, bad = list(range(300)), [*range(100), *range(90, 300), 5]
+    (tmp_path / "good.csv").write_text(lines(good))
+    (tmp_path / "bad.csv").write_text(lines(bad))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        rows = read_raw_csv(spark, str(tmp_path), "asset_id STRING, ts_utc TIMESTAMP", with_source=True).cache()
+        steps = series.ordering_check_blocks(rows).collect()
+        blocks = rows.groupBy("source_file").agg(F.countDistinct("source_block").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert all(r.n > 5 for r in blocks)
+    assert {r.source_file.rsplit("/")[-1]: (r.n_rows, r.n_backward) for r in steps} == {"good.csv": (300, 0), "bad.csv": (311, 2)}
+
+
 def medians(df, name="m"):
     return {r.g: r[name] for r in df.collect()}
 

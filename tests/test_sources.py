@@ -3,11 +3,12 @@ from __future__ import annotations
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from sunledger.functions.scalars import fixed_decimals
 from sunledger.sources import payloads
-from sunledger.sources.tables import replace_table
+from sunledger.sources.tables import replace_table, restore_table, stage_table
 
 
 def test_fixed_decimals_round_like_c(spark):
@@ -80,6 +81,31 @@ def test_replace_table_replaces(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_a_table_is_published_only_after_its_audit(spark, tmp_path):
+    """Audits that raise, writes that fail and processes that die leave the old rows readable, and no folder behind."""
+    path = str(tmp_path / "t")
+    seen = {}
+    replace_table(spark.range(10), path, figures=[F.max("id").alias("most"), F.count_if(F.col("id") > 6).alias("over")], audit=lambda s: seen.update(s.figures))
+    assert seen == {"n_rows": 10, "most": 9, "over": 3}
+
+    def refuse(staged):
+        assert staged.read().count() == 3 and spark.read.parquet(path).count() == 10
+        raise ValueError("refused")
+
+    with pytest.raises(ValueError, match="refused"):
+        replace_table(spark.range(3), path, audit=refuse)
+    with pytest.raises(Exception, match="broken"):
+        replace_table(spark.range(3).select(F.raise_error(F.lit("broken")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 10 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    staged = stage_table(spark.range(4), path)
+    (tmp_path / "t").rename(tmp_path / "t__old_x")  # dies between both renames
+    assert restore_table(spark, path) and not restore_table(spark, path) and spark.read.parquet(path).count() == 10
+    staged.publish()
+    assert spark.read.parquet(path).count() == 4 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert replace_table(spark.read.parquet(path).where("id > 1"), path) == 2  # reads what it replaces
+    assert replace_table(spark.range(0), path) == 0 and spark.read.parquet(path).count() == 0
+
+
 def test_raw_csv_keeps_the_decimals_of_its_table(spark, tmp_path):
     from sunledger.sources import sinks, tables
 

@@ -139,6 +139,39 @@ def test_load_fails_on_a_truncated_file(spark, tmp_path):
         house.load_raw(str(tmp_path / "csv"), ["load_hourly"], window=("1970-01-01", "1970-01-02"))
 
 
+def load_csv(spark, folder, stamps, value=lambda h: 1.0):
+    lines = "".join(f"site,1970-01-{1 + h // 24:02d} {h % 24:02d}:00:00,1970-01-{1 + h // 24:02d} {h % 24:02d}:00:00,{value(h)}\n" for h in stamps)
+    folder.mkdir()
+    (folder / RAW_TABLES["load_hourly"].file).write_text("asset_id,ts_utc,ts_local,load_kw\n" + lines)
+    return str(folder)
+
+
+def test_a_failed_load_leaves_the_old_rows(spark, tmp_path):
+    """A null, a step back in time and a malformed line: every time the first load stays readable."""
+    house = Warehouse(spark, str(tmp_path / "out"))
+    good = load_csv(spark, tmp_path / "good", range(48))
+    assert house.load_raw(good, ["load_hourly"]) == {"load_hourly": 48}
+    bad = {
+        "load_kw: not_null 1": load_csv(spark, tmp_path / "null", range(20), lambda h: "" if h == 3 else 2.0),
+        "source_order 2": load_csv(spark, tmp_path / "unsorted", [*range(10), 12, 11, 10, *range(13, 30)]),
+        "MALFORMED|Malformed": load_csv(spark, tmp_path / "malformed", range(20), lambda h: "much" if h == 19 else 2.0),
+    }
+    for message, folder in bad.items():
+        with pytest.raises(Exception, match=message):
+            house.load_raw(folder, ["load_hourly"])
+        assert house.raw("load_hourly").agg(F.count("*"), F.sum("load_kw")).first() == (48, 48.0)
+        assert [p.name for p in (tmp_path / "out" / "raw").iterdir()] == ["load_hourly"]
+    assert house.raw_report(["load_hourly"]).where("bad_rows > 0 AND severity = 'error'").count() == 0
+    assert house.raw("load_hourly").columns == ["asset_id", "ts_utc", "ts_local", "load_kw"]
+
+
+def test_a_mart_that_fails_its_checks_is_not_published(house):
+    before = house.table("fct_pv_features").count()
+    with pytest.raises(ValueError, match="fct_pv_features.pv_power_kw: accepted_range"):
+        house._store("fct_pv_features", house.table("fct_pv_features").drop("year").withColumn("pv_power_kw", F.lit(121.0)))
+    assert house.table("fct_pv_features").count() == before and house.table("fct_pv_features").agg(F.max("pv_power_kw")).first()[0] < 121
+
+
 def test_malformed_csv_fails(spark, tmp_path):
     path = tmp_path / RAW_TABLES["load_hourly"].file
     path.write_text("asset_id,ts_utc,ts_local,load_kw\nsite,2019-01-01 00:00:00,2019-01-01 01:00:00,much\n")
