@@ -25,8 +25,9 @@ def n_words(text: Column) -> Column:
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, and the hash that shuffles the documents of a source."""
-    order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    """doc_id, source, size, and the hash that shuffles the documents of a source: of id and text, so rows that share an
+    id, or have none, are spread as well."""
+    order = F.md5(F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))).cast("binary"))
     return stored(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), order.alias("order")), "sizes")
 
 

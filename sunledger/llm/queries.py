@@ -44,7 +44,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 OP1_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/' || coalesce(text, '')) AS place
   FROM documents
 ), totals AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS no FROM sized GROUP BY source
@@ -140,7 +140,8 @@ WITH split AS (
 )
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-            WHEN regexp_matches(host || path, '(^|[./_~-])(casino|porn|xxx|viagra|warez|torrent)($|[./_~-])') THEN 'block'
+            WHEN regexp_matches(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '(^|[./_~-])(casino|porn|xxx|viagra|warez|torrent)($|[./_~-])') THEN 'block'
             ELSE 'allow' END AS verdict
 FROM judged
 """

@@ -11,23 +11,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import ascii_lower
+from sunledger.llm.common import UPPER, ascii_lower
 
 # A rule list is a parameter and is sent to every task: at most this many rules.
 MOST_RULES = 1_000_000
+LOWER = str.maketrans(UPPER, UPPER.lower())
 TOKEN = re.compile(r"[^./?#&=_~%+:@!$'()*,;\-]+")
 
 
 @dataclass(frozen=True)
 class Rule:
     """`pattern` runs over host + path; `tokens` are literals of which each is a whole token of every URL that the
-    pattern matches (none: the rule runs on every URL). Of several matching rules the highest rank wins, then the first."""
+    pattern matches (none: the rule runs on every URL). Of several matching rules the highest rank wins, then the first.
+    A rule that ignores case sees A-Z lower-cased, in path and host; its tokens and pattern are in small letters."""
 
     name: str
     pattern: str
     verdict: str
     tokens: tuple[str, ...]
     rank: int
+    any_case: bool = False
 
 
 def host_rule(host: str, path: str, verdict: str) -> Rule:
@@ -38,8 +41,8 @@ def host_rule(host: str, path: str, verdict: str) -> Rule:
 
 
 def word_rule(word: str, verdict: str = "block") -> Rule:
-    """A word that stands alone anywhere in host or path. Nameless and of the lowest rank."""
-    return Rule("", rf"(?s:.*)(?<![^./_~\-]){re.escape(word)}(?![^./_~\-])", verdict, (word,), -1)
+    """A word that stands alone anywhere in host or path, in letters of either case. Nameless and of the lowest rank."""
+    return Rule("", rf"(?s:.*)(?<![^./_~\-]){re.escape(word)}(?![^./_~\-])", verdict, (word,), -1, any_case=True)
 
 
 SITE_RULES = (
@@ -63,11 +66,12 @@ def host_and_path(pages: DataFrame) -> DataFrame:
 
 
 def token_counts(urls: DataFrame, tokens: Sequence[str]) -> dict[str, int]:
-    """In how many URLs each of the rules' tokens stands; as many rows come back as the rules have tokens."""
+    """In how many URLs each of the rules' tokens stands, A-Z lower-cased (they order the tokens only; capitals count as
+    rare); as many rows come back as the rules have tokens."""
     if not tokens:
         return {}
     wanted = F.broadcast(urls.sparkSession.createDataFrame([(t,) for t in tokens], "token string"))
-    found = F.array_distinct(F.regexp_extract_all(F.concat("host", "path"), F.lit(TOKEN.pattern), F.lit(0)))
+    found = F.array_distinct(F.regexp_extract_all(ascii_lower(F.concat("host", "path")), F.lit(TOKEN.pattern), F.lit(0)))
     rows = urls.select(F.explode(found).alias("token")).join(wanted, "token").groupBy("token").count().collect()
     return {r["token"]: r["count"] for r in rows}
 
@@ -86,17 +90,18 @@ class RuleIndex:
                 self.always.append(i)
         self.compiled: dict[int, re.Pattern] = {}
 
-    def matches(self, i: int, url: str) -> bool:
+    def matches(self, i: int, url: str, lowered: str) -> bool:
         if i not in self.compiled:
             self.compiled[i] = re.compile(self.rules[i].pattern)
-        return self.compiled[i].match(url) is not None
+        return self.compiled[i].match(lowered if self.rules[i].any_case else url) is not None
 
     def judge(self, url: str) -> Rule | None:
+        lowered = url.translate(LOWER)
         candidates = set(self.always)
-        for token in set(TOKEN.findall(url)):
+        for token in {*TOKEN.findall(url), *(TOKEN.findall(lowered) if lowered != url else ())}:
             candidates.update(self.by_token.get(token, ()))
         best = max(candidates, key=lambda i: (self.rules[i].rank, -i), default=None)
-        while best is not None and not self.matches(best, url):
+        while best is not None and not self.matches(best, url, lowered):
             candidates.discard(best)
             best = max(candidates, key=lambda i: (self.rules[i].rank, -i), default=None)
         return None if best is None else self.rules[best]

@@ -93,6 +93,11 @@ def test_schedule_holds_weights_in_every_stretch(spark):
         assert abs(slots[start : start + 50].count(1) - 40) <= 3
 
 
+def test_rows_without_an_id_are_spread(spark):
+    rows = [(None, f"text {i}") for i in range(300)] + [(7, f"other {i}") for i in range(300)]
+    assert mixing.sized_documents(frame(spark, rows)).select("order").distinct().count() == 600
+
+
 def test_mixing_of_nothing(nothing):
     assert mixing.mix_sources(nothing).count() == 0
 
@@ -150,6 +155,32 @@ def test_digest_index_persists_between_batches(spark, tmp_path):
     assert "SortMergeJoin" in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_digest_index_keeps_its_buckets(spark, tmp_path, monkeypatch):
+    """Another number of buckets is refused, none asks for the stored one; appends and crowding make buckets anew."""
+    place = str(tmp_path / "index")
+    texts = frame(spark, [(i, f"t{i}") for i in range(200)])
+    index = exact_dedup.DigestIndex(spark, place, 8)
+    assert index.add(texts).where("kept").count() == 200
+    with pytest.raises(ValueError, match="8 buckets, not 16"):
+        exact_dedup.DigestIndex(spark, place, 16)
+    again = exact_dedup.DigestIndex(spark, place)
+    assert again.add(texts).where("kept").count() == 0 and again.about["buckets"] == 8
+    again.compact(16)
+    opened = exact_dedup.DigestIndex(spark, place, 16)
+    assert opened.add(texts).where("kept").count() == 0 and opened.entries().count() == 200
+    monkeypatch.setattr(exact_dedup, "MOST_APPENDS", 2)
+    for n in range(3):
+        assert opened.add(frame(spark, [(n, f"new {n}"), (n, "t5")])).where("kept").count() == 1
+    assert opened.about["version"] == 4 and opened.entries().count() == 203
+    monkeypatch.setattr(exact_dedup, "ROWS_PER_BUCKET", 2)
+    assert opened.add(texts).where("kept").count() == 0 and opened.about["buckets"] == 102
+    for i in (index, again, opened):
+        i.close()
+    assert not [t for t in spark.catalog.listTables() if t.name in (index.name, again.name, opened.name)]
+    fresh = exact_dedup.DigestIndex(spark, str(tmp_path / "none"))
+    assert fresh.entries().count() == 0 and fresh.add(texts.where("1 = 0")).count() == 0
+
+
 # ---- 4
 def test_simhash_components(spark, docs, rows, nothing):
     named = [(i, t) for i, t in dict(rows).items() if i is not None]
@@ -321,6 +352,13 @@ def test_url_rules(spark):
     assert url_filter.judge_urls(pages.where("1 = 0")).count() == 0
 
 
+def test_words_in_either_case_and_site_rules_as_they_are(spark):
+    urls = ["x://y.com/Casino/x", "x://y.com/casino/x", "x://y.com/a-XXX", "x://Y.COM/CASINOS", "x://example.com/DE/", "x://example.com/de/XXX", "x://caſino.y/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id LONG, url STRING")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(pages).collect()}
+    assert [got[i][1] for i in range(7)] == ["block", "block", "block", "allow", "allow", "block", "allow"] and got[5][0] == "example.com/de/"
+
+
 def test_rules_are_indexed_by_their_rarest_token():
     index = url_filter.RuleIndex(url_filter.SITE_RULES, {"example": 100, "net": 50, "en": 5, "com": 70, "de": 60, "org": 3, "fr": 9})
     assert {t: [index.rules[i].name for i in v] for t, v in index.by_token.items()} == {
