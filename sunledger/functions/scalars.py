@@ -61,3 +61,10 @@ def fixed_decimals(value: Column | str, digits: int) -> Column:
         .otherwise(F.rint(product))
     )
     return F.when(x.isNotNull() & ~F.isnan(x), F.format_string(f"%.{digits}f", whole / scale))
+
+
+def passed_cuts(cuts: str, value: str) -> Column:
+    """How many entries of the sorted array column `cuts` are at most `value`, by halving."""
+    entry = f"get({cuts}, n + shiftleft(1, b) - 1) <= {value}"
+    step = f"CASE WHEN n + shiftleft(1, b) <= size({cuts}) AND {entry} THEN n + shiftleft(1, b) ELSE n END"
+    return F.expr(f"aggregate(sequence(length(bin(size({cuts}))) - 1, 0, -1), 0, (n, b) -> {step})")

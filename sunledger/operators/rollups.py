@@ -140,12 +140,12 @@ def scale_to_annual_total(
     return dated.join(totals, "_k").withColumn(value, scaled).select(*series.columns)
 
 
-def hourly_shape_median(series: DataFrame, value: str, ts: str = "ts_local", largest: int | None = None) -> DataFrame:
-    """Median by local hour, winter against summer; `largest`: rows of the largest group, if known."""
+def hourly_shape_median(series: DataFrame, value: str, ts: str = "ts_local") -> DataFrame:
+    """Median by local hour, winter against summer."""
     rows = series.select(season(ts).alias("season"), hour_of_day(ts).alias("hour"), value).where(
         F.col("season").isNotNull()
     )
-    return agg_with_median(rows, ["season", "hour"], value, f"median_{value}", largest=largest)
+    return agg_with_median(rows, ["season", "hour"], value, f"median_{value}")
 
 
 def series_summary(
@@ -153,7 +153,6 @@ def series_summary(
     value: str,
     ts: str = "ts_utc",
     by: Sequence[str] = ("asset_id",),
-    largest: int | None = None,
 ) -> DataFrame:
     """Period, min, max, mean and exact median of a series."""
     others = [
@@ -164,7 +163,7 @@ def series_summary(
         F.max(value).alias("max_value"),
         F.avg(value).alias("mean_value"),
     ]
-    return agg_with_median(series, by, value, "median_value", others, largest)
+    return agg_with_median(series, by, value, "median_value", others)
 
 
 def summary_by_type(long: DataFrame, value: str = "generation_mw", label: str = "gen_type") -> DataFrame:
@@ -173,10 +172,11 @@ def summary_by_type(long: DataFrame, value: str = "generation_mw", label: str =
     )
 
 
-def concat_years(frames: Mapping[int, DataFrame]) -> DataFrame:
-    """One frame of several, one for each year, matched by column name. `year` says which frame a row is from."""
+def concat_years(frames: Mapping[int | None, DataFrame]) -> DataFrame:
+    """One frame of several, one for each year, matched by column name; a column that some years lack is null there. `year`
+    says which frame a row is from."""
     dated = [rows.withColumn("year", F.lit(year).cast("long")) for year, rows in frames.items()]
-    return reduce(DataFrame.unionByName, dated)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dated)
 
 
 def distinct_series(long: DataFrame, ts: str = "ts_utc", label: str = "gen_type") -> DataFrame:

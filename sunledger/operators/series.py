@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sunledger.functions.scalars import passed_cuts
 from sunledger.settings import LAGS, ROWS_PER_TASK
 
 KEYS = ("asset_id",)
@@ -48,16 +49,11 @@ def _stamp(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-# The number of cuts not after the row's instant, by halving.
-_CUTS_PASSED = """aggregate(sequence(length(bin(size(_at))) - 1, 0, -1), 0, (n, b) ->
-  CASE WHEN n + shiftleft(1, b) <= size(_at) AND get(_at, n + shiftleft(1, b) - 1) <= _s THEN n + shiftleft(1, b) ELSE n END)"""
-
-
 def in_ranges(df: DataFrame, cuts: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_utc") -> DataFrame:
     """Add `_range`, the row's time range in its series, and `_cuts`, how many ranges follow the series' first. Where no
     series is long enough for a cut, adaptive execution drops the join and everything that only cut series need."""
     told = df.withColumns({"_k": F.struct(*keys), "_s": _stamp(ts)}).join(F.broadcast(cuts), "_k", "left")
-    passed = F.when(F.col("_at").isNotNull(), F.expr(_CUTS_PASSED)).otherwise(F.lit(0))
+    passed = F.when(F.col("_at").isNotNull(), passed_cuts("_at", "_s")).otherwise(F.lit(0))
     return told.select(*df.columns, passed.alias("_range"), F.coalesce(F.size("_at"), F.lit(0)).alias("_cuts"))
 
 

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.operators import economics, rollups, staging
-from sunledger.operators.medians import bracketed_median
+from sunledger.operators.medians import selected_median
 from sunledger.plans.bindings import Bindings
 from sunledger.plans.queries.shaping import BATTERY_SUMS
 from sunledger.plans.registry import query, rounded, rounds
+from sunledger.session import scratch_path
+from sunledger.sources.tables import read_year_folders
 
 KPI_SUMS = "total_pv_kwh total_load_kwh self_consumption_kwh surplus_kwh deficit_kwh"
 KPI_REST = "self_consumption_ratio, autarky_ratio, co2_avoided_kg, chf_saved"
@@ -203,7 +205,7 @@ SELECT asset_id, round(median(load_kw), 4) AS median_load_kw FROM supplier_hourl
 )
 def median_large_groups(b: Bindings) -> DataFrame:
     """The path for groups too large for one task; a third of all values is the same."""
-    return rounded(bracketed_median(b.supplier_hourly, ["asset_id"], "load_kw", "median_load_kw"), 4)
+    return rounded(selected_median(b.supplier_hourly, ["asset_id"], "load_kw", "median_load_kw", values_per_task=100), 4)
 
 
 @query(
@@ -218,16 +220,19 @@ def summary_by_type(b: Bindings) -> DataFrame:
 
 @query(
     """
-SELECT year(ts_local) AS year, asset_id, ts_utc, price_eur_mwh FROM price_hourly
+SELECT year(ts_local) AS year, asset_id, ts_utc, price_eur_mwh, CASE WHEN year(ts_local) >= 1995 THEN price_eur_kwh END AS price_eur_kwh
+FROM price_hourly
 """
 )
 def concat_years(b: Bindings) -> DataFrame:
-    """The prices cut into a frame for each of their years, and united. The years are read first."""
-    own = F.year("ts_local")
-    years = sorted(r["year"] for r in b.price_hourly.select(own.alias("year")).distinct().collect())
-    columns = ["asset_id", "ts_utc", "price_eur_mwh"]
-    frames = {y: b.price_hourly.where(own == y).select(*columns) for y in years}
-    return rollups.concat_years(frames or {0: b.price_hourly.select(*columns)}).select("year", *columns)
+    """Prices stored in a folder for each year, of which the older ones lack a column, united."""
+    path, columns = scratch_path(b.spark, "prices-by-year"), ["asset_id", "ts_utc", "price_eur_mwh", "price_eur_kwh"]
+    dated = b.price_hourly.select(*columns, F.year("ts_local").alias("year"))
+    write = lambda rows: rows.write.mode("append").partitionBy("year").parquet(path)
+    write(dated.where("year >= 1995 OR year IS NULL"))
+    write(dated.where("year < 1995").drop("price_eur_kwh"))
+    empty = {None: b.spark.createDataFrame([], dated.drop("year").schema)}
+    return rollups.concat_years(read_year_folders(b.spark, path) or empty).select("year", *columns)
 
 
 # ---- battery economics

@@ -170,6 +170,17 @@ def replace_table(
     return staged.figures["n_rows"]
 
 
+def read_year_folders(spark: SparkSession, path: str, column: str = "year") -> dict[int | None, DataFrame]:
+    """The folders `<column>=<year>` under a table's path as frames by year, each with the columns its own files have. Years
+    come from the folders' names (rows without one are under None); no data is read for them."""
+    found = _file_system(spark, path).globStatus(_hadoop(spark, f"{path.rstrip('/')}/{column}=*"))
+    years = {}
+    for status in found or ():
+        name = status.getPath().getName().partition("=")[2]
+        years[int(name) if name.lstrip("-").isdigit() else None] = spark.read.parquet(status.getPath().toString())
+    return dict(sorted(years.items(), key=lambda y: (y[0] is None, y[0] or 0)))
+
+
 def scan_ordered(
     features: DataFrame,
     lag_columns: Sequence[str],

@@ -13,6 +13,21 @@ def test_years_are_united_by_name(spark):
     assert sorted(map(tuple, rows)) == [(1999, "a", 1.0), (1999, "a", 1.0), (2000, "b", 2.0)]
 
 
+def test_years_of_stored_folders(spark, tmp_path):
+    """Folders with unequal columns, one without a year: one scan of each, the lacking column null."""
+    from sunledger.sources.tables import read_year_folders
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", 1.0, 1999), ("b", 2.0, None)], "asset_id STRING, price DOUBLE, year INT").write.partitionBy("year").parquet(path)
+    spark.createDataFrame([("c", 3.0, 4, 2000)], "asset_id STRING, price DOUBLE, extra INT, year INT").write.mode("append").partitionBy("year").parquet(path)
+    frames = read_year_folders(spark, path)
+    assert list(frames) == [1999, 2000, None]
+    united = rollups.concat_years(frames)
+    assert {(r.year, r.asset_id, r.price, r.extra) for r in united.collect()} == {(1999, "a", 1.0, None), (2000, "c", 3.0, 4), (None, "b", 2.0, None)}
+    assert united._jdf.queryExecution().executedPlan().toString().count("FileScan") == 3
+    assert read_year_folders(spark, str(tmp_path / "none")) == {}
+
+
 def facts(spark, rows):
     """rows: (local timestamp, pv, load) of one asset with the default tariffs."""
     df = spark.createDataFrame([("a", *r) for r in rows], "asset_id STRING, t STRING, pv_power_kw DOUBLE, load_kw DOUBLE")

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from sunledger.operators import medians as medians_
 from sunledger.operators import series
-from sunledger.operators.medians import agg_with_median, bracketed_median
+from sunledger.operators.medians import agg_with_median, selected_median
 from sunledger.operators.sizing import join_dimension
 
 HOUR = 3600
@@ -190,7 +191,7 @@ def medians(df, name="m"):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_bracketed_median_is_exact(spark, seed):
+def test_selected_median_is_exact(spark, seed):
     random.seed(seed)
     rows = [("zeros", 0.0)] * 900 + [("zeros", random.random()) for _ in range(700)]
     rows += [("even", float(i)) for i in range(10_000)] + [("odd", float(i * i)) for i in range(9_999)]
@@ -198,25 +199,49 @@ def test_bracketed_median_is_exact(spark, seed):
     rows += [("heavy", random.lognormvariate(0, 5)) for _ in range(20_001)]
     df = spark.createDataFrame(rows, "g STRING, v DOUBLE").repartition(7)
     want = medians(df.groupBy("g").agg(F.expr("percentile(v, 0.5)").alias("m")))
-    assert medians(bracketed_median(df, ["g"], "v", "m")) == pytest.approx(want)
-    assert medians(agg_with_median(df, ["g"], "v", "m", largest=20_000, rows_per_group=100)) == pytest.approx(want)
-    assert medians(agg_with_median(df, ["g"], "v", "m")) == pytest.approx(want)
+    known = {g: m for g, m in want.items() if m is not None}
+    assert medians(selected_median(df, ["g"], "v", "m")) == pytest.approx(known)
+    # Cuts that are many, few or none: the answer is exact all the same.
+    for values in (33, 2_000, 10**6):
+        assert medians(selected_median(df, ["g"], "v", "m", values)) == pytest.approx(known)
+    cuts = {r._k.g: r._at for r in medians_.value_cuts(df, ["g"], "v", 1_000).collect()}
+    assert set(cuts) == {"even", "odd", "heavy"} and all(8 <= len(c) <= 60 and c == sorted(set(c)) for c in cuts.values())
+    assert medians(agg_with_median(df, ["g"], "v", "m", values_per_task=1_000)) == pytest.approx(want)
 
 
 def test_median_next_to_other_aggregates(spark):
     df = spark.createDataFrame([("a", float(i)) for i in range(10)] + [("b", 7.0)], "g STRING, v DOUBLE")
     for limit in (1, 1000):
-        got = agg_with_median(df, ["g"], "v", "m", [F.count("v").alias("n")], largest=10, rows_per_group=limit)
+        got = agg_with_median(df, ["g"], "v", "m", [F.count("v").alias("n")], values_per_task=limit)
         assert {(r.g, r.n, r.m) for r in got.collect()} == {("a", 10, 4.5), ("b", 1, 7.0)}
 
 
-def test_bracketed_median_without_a_group(spark):
+@pytest.mark.parametrize("cuts", [[], [7.5], [-1.0, 7.5, 8.0], [1e9, 2e9], [float(i) for i in range(0, 10**7, 10**5)], [6_000_000.0] * 3])
+def test_cuts_that_are_far_off_give_the_same_answer(spark, cuts):
+    """Cuts below, above and beside the middle, and one of a heavy value: counting the bins finds the middle, never a guess."""
+    rows = [("g", float(i * i)) for i in range(5000)] + [("g", 7.5)] * 400 + [("h", 7.5)] * 3 + [("h", 7.0)] * 3 + [("n", None)]
+    df = spark.createDataFrame(rows, "g STRING, v DOUBLE").repartition(5)
+    placed = df.select(F.struct("g").alias("_k"), "v", F.array(*[F.lit(c) for c in cuts]).cast("array<double>").alias("_at"))
+    got = {r._k.g: r.m for r in medians_.selected(placed, "v", "m").collect()}
+    assert got == medians(df.where("v IS NOT NULL").groupBy("g").agg(F.median("v").alias("m")))
+
+
+def test_median_of_small_groups_runs_one_aggregate(spark, tmp_path):
+    spark.range(2000).select((F.col("id") % 5).alias("g"), F.col("id").cast("double").alias("v")).write.parquet(str(tmp_path / "t"))
+    found = agg_with_median(spark.read.parquet(str(tmp_path / "t")), ["g"], "v", "m")
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Union" not in final and "Window" not in final
+
+
+def test_selected_median_without_a_group(spark):
     df = spark.range(101).select(F.col("id").cast("double").alias("v"))
-    assert bracketed_median(df, [], "v", "m").first().m == 50.0
+    assert selected_median(df, [], "v", "m").first().m == 50.0
+    assert agg_with_median(df, [], "v", "m", values_per_task=33).first().m == 50.0
 
 
 @pytest.mark.parametrize("kind", ["INT", "FLOAT", "DOUBLE", "DECIMAL(10,2)"])
-def test_both_medians_give_one_answer(spark, kind):
+def test_both_medians_give_one_answer(spark, kind, monkeypatch):
     """NULL keys, groups of NULLs only, values near the type's limit, an empty input."""
     rows = [("a", 1), ("a", 3), ("b", None), (None, 2), (None, 7), (None, None), ("c", 2147483646), ("c", 2147483647)]
     if kind != "INT":
@@ -227,7 +252,11 @@ def test_both_medians_give_one_answer(spark, kind):
         for by in (["g"], []):
             for others in ([], [F.count("v").alias("n"), F.count(F.lit(1)).alias("rows")]):
                 small = agg_with_median(source, by, "v", "m", others)
-                large = agg_with_median(source, by, "v", "m", others, largest=2, rows_per_group=1)
+                known = source.where("v IS NOT NULL")  # every group with values is large
+                cuts = known.groupBy(medians_._key(by).alias("_k")).agg(F.array(F.lit(2.0)).alias("_at"))
+                monkeypatch.setattr(medians_, "value_cuts", lambda *_: cuts)
+                large = agg_with_median(source, by, "v", "m", others)
+                monkeypatch.undo()
                 assert shown(small) == shown(large) and small.columns == large.columns
 
 
