@@ -39,16 +39,32 @@ def chronological_split(
     validation_months: int = VALIDATION_MONTHS,
     test_months: int = TEST_MONTHS,
     ts: str = "ts_utc",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Label rows 'train', 'validation' or 'test' by calendar month from the first month on; later rows go.
 
-    The first month is a scalar subquery over all series, so the labelled frame is one lazy plan without a join.
+    The first month is that of all rows, as a scalar subquery: one lazy plan without a join. With `by`, each series (say, an
+    asset) counts from its own first month, so a site that joins late has rows to train on; the first months have one
+    row for each series, which adaptive execution broadcasts when they are few. Either way the last month that counts bounds
+    `ts`, and the partition column `year` where there is one.
     """
-    first = rows.select(F.date_trunc("month", F.min(ts))).scalar()
     ends = (train_months, train_months + validation_months, train_months + validation_months + test_months)
+    month = F.date_trunc("month", F.min(ts))
+    if by:
+        key = F.struct(*by)
+        origins = rows.groupBy(key.alias("_k")).agg(month.alias("_first"))
+        latest, first = origins.select(F.max("_first")).scalar(), F.col("_first")
+    else:
+        latest = first = rows.select(month).scalar()
+    stop = F.add_months(latest, ends[2])
+    kept = rows.where(F.col(ts) < stop.cast("timestamp"))
+    if "year" in rows.columns:
+        kept = kept.where(F.col("year") <= F.year(stop))
+    if by:
+        kept = kept.withColumn("_k", key).join(origins, "_k")
     before = lambda months: F.col(ts) < F.add_months(first, months).cast("timestamp")
     label = F.when(before(ends[0]), "train").when(before(ends[1]), "validation").otherwise("test")
-    return rows.where(before(ends[2])).withColumn("split", label)
+    return kept.where(before(ends[2])).select(*rows.columns, label.alias("split"))
 
 
 @dataclass

@@ -7,10 +7,10 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sunledger.functions.timeops import month_index
+from sunledger.functions.timeops import month_index, utc_to_local
 from sunledger.operators.series import ordering_check_blocks
 from sunledger.settings import (
     ANNUAL_TOLERANCE_PCT,
@@ -18,6 +18,7 @@ from sunledger.settings import (
     TEST_MONTHS,
     TRAIN_MONTHS,
     VALIDATION_MONTHS,
+    ZONE,
 )
 from sunledger.sources.tables import SOURCE
 
@@ -62,12 +63,17 @@ def column_figures(required: Sequence[str], ranges: Ranges | None = None) -> lis
     return nulls + [F.count_if(_outside(c, *limits)).alias(f"outside {c}") for c, limits in (ranges or {}).items()]
 
 
+def clock_figure(zone: str = ZONE) -> Column:
+    """Rows whose wall clock is not that of their instant: merging rows of one instant keeps only one of its clocks."""
+    return F.count_if(F.col("ts_local").cast("timestamp_ntz") != utc_to_local(F.col("ts_utc").cast("timestamp"), zone)).alias("clock ts_local")
+
+
 def report_figures(
     spark: SparkSession, figures: Mapping[str, object], table: str, range_check: str = "accepted_range", expected: int | None = None, share: float = MIN_HOUR_SHARE
 ) -> DataFrame:
     """Report rows of the figures of `column_figures`; with `expected`, also whether `n_rows` falls short of its share."""
-    checks = {"null": "not_null", "outside": range_check}
-    rows = [(checks[kind], table, column, bad, "error") for kind, column, bad in ((*n.split(" ", 1), v) for n, v in figures.items() if " " in n)]
+    checks = {"null": ("not_null", "error"), "outside": (range_check, "error"), "clock": ("local_time", "warn")}
+    rows = [(checks[kind][0], table, column, bad, checks[kind][1]) for kind, column, bad in ((*n.split(" ", 1), v) for n, v in figures.items() if " " in n)]
     if expected is not None:
         rows.append(("row_count", table, "*", max(0, math.ceil(expected * share) - figures["n_rows"]), "error"))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
@@ -84,6 +90,11 @@ def check_columns(df: DataFrame, table: str, required: Sequence[str], ranges: Ra
     return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*", F.lit("error").alias("severity"))
 
 
+def check_local_time(df: DataFrame, table: str, zone: str = ZONE) -> DataFrame:
+    """`clock_figure` as a report row, a warning."""
+    return _report(df.agg(clock_figure(zone)), "local_time", table, {"ts_local": "`clock ts_local`"}, "warn")
+
+
 def check_keys(
     df: DataFrame,
     table: str,
@@ -227,12 +238,17 @@ def check_split_bounds(
     table: str,
     ts: str = "ts_utc",
     months: Sequence[int] = (TRAIN_MONTHS, VALIDATION_MONTHS, TEST_MONTHS),
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Splits that leave their calendar months. `split` is the labelled frame of `chronological_split`."""
+    """Splits (of each series of `by`, if any) that leave their calendar months. `split` is the labelled frame of
+    `chronological_split`."""
     labels = ("train", "validation", "test")
     month = month_index(ts)
-    seen = split.groupBy("split").agg(F.min(month).alias("lo"), F.max(month).alias("hi"))
-    origin = split.select(F.min(month)).scalar()
+    seen = split.groupBy(*by, "split").agg(F.min(month).alias("lo"), F.max(month).alias("hi"))
+    if by:
+        origin = F.min("lo").over(Window.partitionBy(*by))
+    else:
+        origin = split.select(F.min(month)).scalar()
     starts = [sum(months[:i]) for i in range(len(months))]
     low = F.coalesce(*[F.when(F.col("split") == n, F.lit(s)) for n, s in zip(labels, starts)])
     length = F.coalesce(*[F.when(F.col("split") == n, F.lit(m)) for n, m in zip(labels, months)])

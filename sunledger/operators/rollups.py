@@ -12,6 +12,7 @@ from sunledger.functions.scalars import per_thousand, ratio, safe_ratio
 from sunledger.functions.timeops import floor_hour, hour_of_day, local_date, month_start, season
 from sunledger.operators.balance import TARIFF_COLUMNS
 from sunledger.operators.medians import agg_with_median
+from sunledger.operators.sizing import join_dimension
 
 ENERGY = {
     "total_pv_kwh": "pv_power_kw",
@@ -28,10 +29,15 @@ def exact_sum(column: str, digits: int) -> Column:
     return F.sum(F.col(column).cast(f"decimal(18,{digits})"))
 
 
-def kpi_daily(facts: DataFrame) -> DataFrame:
-    """Daily KPIs per asset, local day and tariff; kW over one hour is kWh."""
-    keys = ["asset_id", local_date("ts_local").alias("date"), *TARIFF_COLUMNS]
-    sums = facts.groupBy(*keys).agg(*[F.sum(c).alias(name) for name, c in ENERGY.items()])
+def kpi_daily(facts: DataFrame, assets: DataFrame | None = None) -> DataFrame:
+    """Daily KPIs per asset, local day and tariff; kW over one hour is kWh. With `assets`, hours without tariffs are summed
+    first and the tariffs joined to the days, of which there are fewer."""
+    keys = ["asset_id", local_date("ts_local").alias("date")]
+    energies = [F.sum(c).alias(name) for name, c in ENERGY.items()]
+    if assets is None:
+        sums = facts.groupBy(*keys, *TARIFF_COLUMNS).agg(*energies)
+    else:
+        sums = join_dimension(facts.groupBy(*keys).agg(*energies), assets.select("asset_id", *TARIFF_COLUMNS), "asset_id")
     kept = F.col("self_consumption_kwh")
     return sums.select(
         "asset_id",

@@ -175,13 +175,17 @@ class Bindings:
         return grouped.withColumn("ts_local", utc_to_local("ts_utc"))
 
     @cached_property
-    def supplier_facts(self) -> DataFrame:
-        """Fleet-wide facts; tariffs by the supplier's region stand in for the asset dimension."""
+    def supplier_assets(self) -> DataFrame:
+        """Tariffs by the supplier's region stand in for the asset dimension."""
         nation = self.table("nation").select("n_nationkey", "n_regionkey")
         site = self.table("supplier").select(F.col("s_suppkey").cast("string").alias("asset_id"), F.col("s_nationkey").alias("n_nationkey"))
         tariffs = self.dim_asset.withColumnRenamed("asset_id", "n_regionkey")
-        assets = site.join(nation, "n_nationkey").join(tariffs, "n_regionkey")
-        return asset_facts(split_flows(self.supplier_hourly), assets)
+        return site.join(nation, "n_nationkey").join(tariffs, "n_regionkey")
+
+    @cached_property
+    def supplier_facts(self) -> DataFrame:
+        """Fleet-wide facts."""
+        return asset_facts(split_flows(self.supplier_hourly), self.supplier_assets)
 
     # ---- orders: an hourly price series per priority, over more than six years and several DST changes
     @cached_property

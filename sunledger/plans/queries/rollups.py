@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.operators import economics, rollups, staging
+from sunledger.operators.balance import split_flows
 from sunledger.operators.medians import selected_median
 from sunledger.plans.bindings import Bindings
 from sunledger.plans.queries.shaping import BATTERY_SUMS
@@ -33,7 +34,7 @@ def kpi_monthly(b: Bindings) -> DataFrame:
 
 
 def fleet_daily(b: Bindings) -> DataFrame:
-    return rollups.kpi_daily(b.supplier_facts)
+    return rollups.kpi_daily(split_flows(b.supplier_hourly), b.supplier_assets)
 
 
 def fleet_monthly(b: Bindings) -> DataFrame:

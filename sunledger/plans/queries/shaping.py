@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sunledger.functions import scalars, timeops
 from sunledger.operators import balance, economics, evaluation, features, forecasting, staging
+from sunledger.operators.balance import split_flows
 from sunledger.operators.features import PV_LAGS
 from sunledger.operators.rollups import filter_years as years_of
 from sunledger.operators.rollups import kpi_daily, kpi_monthly
@@ -274,7 +275,7 @@ FROM fleet_monthly WHERE year(month) IN (1996, 1999)
 """
 )
 def filter_years(b: Bindings) -> DataFrame:
-    monthly = kpi_monthly(kpi_daily(b.supplier_facts))
+    monthly = kpi_monthly(kpi_daily(split_flows(b.supplier_hourly), b.supplier_assets))
     columns = ["asset_id", "month", "total_pv_kwh", "total_load_kwh", "self_consumption_ratio", "autarky_ratio"]
     ratios = ("self_consumption_ratio", "autarky_ratio")
     chosen = years_of(monthly, [1996, 1999]).select(*columns)

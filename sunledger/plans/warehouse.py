@@ -68,7 +68,10 @@ class Warehouse:
                 entry, path = RAW_TABLES[name], self.path(f"raw/{name}")
                 restore_table(self.spark, path)
                 frame = read_raw_table(self.spark, csv_folder, name, with_source=True)
-                staged[name] = stage_table(frame, path, figures=quality.column_figures(entry.required, RAW_BOUNDS[name]))
+                figures = quality.column_figures(entry.required, RAW_BOUNDS[name])
+                if "ts_utc" in frame.columns:
+                    figures.append(quality.clock_figure(self.zone))
+                staged[name] = stage_table(frame, path, figures=figures)
             frames = {name: s.read() for name, s in staged.items()}
             reports = [quality.report_figures(self.spark, s.figures, name, "raw_bounds") for name, s in staged.items()]
             for name, frame in frames.items():
@@ -105,6 +108,8 @@ class Warehouse:
         for name in tables:
             frame = self.raw(name)
             reports.append(quality.check_columns(frame, name, RAW_TABLES[name].required, RAW_BOUNDS[name], "raw_bounds"))
+            if "ts_utc" in frame.columns:
+                reports.append(quality.check_local_time(frame, name, self.zone))
             reports += self._raw_checks(name, frame, window, annual_kwh)
         return quality.all_checks(reports)
 
@@ -163,8 +168,13 @@ class Warehouse:
         return rows
 
     def build_battery(self, dispatch: DataFrame) -> dict[str, int]:
-        """Battery marts from a dispatch table."""
-        staged = staging.stg_battery(dispatch, self.zone)
+        """Battery marts from a dispatch table, which must have no nulls, no values out of range and one row for each
+        (asset, hour, capacity)."""
+        staged, name = staging.stg_battery(dispatch, self.zone), "stg_battery_simulations"
+        key = ["asset_id", "ts_utc", "battery_capacity_kwh"]
+        self._must_pass(
+            quality.check_columns(staged, name, NOT_NULL[name], ACCEPTED_RANGES[name]).unionByName(quality.check_unique(staged, name, key))
+        )
         rows = {"fct_asset_performance_battery": self._store(
             "fct_asset_performance_battery", economics.border_flows(self.table("fct_asset_performance"), staged)
         )}
@@ -186,12 +196,13 @@ class Warehouse:
         return quality.all_checks(reports)
 
     # ---- forecasts
-    def splits(self) -> dict[str, DataFrame]:
+    def splits(self, by: Sequence[str] = ()) -> dict[str, DataFrame]:
+        """The labelled marts; with `by`, each series counts its months from its own first one."""
         price = scan_ordered(self.table("fct_hourly_market").drop("year"), features.PRICE_LAGS)
         pv = scan_ordered(self.table("fct_pv_features").drop("year"), features.PV_LAGS)
         return {
-            "price_eur_mwh": forecasting.chronological_split(price),
-            "pv_power_kw": forecasting.chronological_split(pv),
+            "price_eur_mwh": forecasting.chronological_split(price, by=by),
+            "pv_power_kw": forecasting.chronological_split(pv, by=by),
         }
 
     def split_report(self, splits: dict[str, DataFrame]) -> DataFrame:

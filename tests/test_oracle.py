@@ -44,3 +44,20 @@ def test_sql_belongs_to_queries():
 
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+@pytest.mark.parametrize(
+    "name, order",
+    [
+        ("order_output", ["month", "asset_id"]),
+        ("sort_long", ["ts_utc", "gen_type", "asset_id"]),
+        ("kpi_monthly_report", ["month", "asset_id"]),
+        ("forecast_vs_seasonal", ["ts_utc", "asset_id"]),
+        ("forecast_vs_persistence", ["ts_utc", "asset_id"]),
+    ],
+)
+def test_rows_come_in_order(spark, name, order):
+    """The comparison above sorts both sides; these queries promise an order."""
+    rows = [tuple(r[c] for c in order) for r in contract.queries()[name](spark, "/root/testdata/sf0.01").collect()]
+    assert len(rows) > 1 and rows == sorted(rows)

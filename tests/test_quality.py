@@ -145,6 +145,35 @@ def test_split_checks_find_faults(months):
     assert quality.check_split_total(doubled.unionByName(doubled), months, "t").first().bad_rows > 0
 
 
+def test_each_series_may_count_from_its_own_first_month(spark, tmp_path):
+    """A site that joins in month 30 has train rows of its own; the stored table is bounded by year."""
+    month = lambda m: f"{2000 + m // 12}-{m % 12 + 1:02d}-15 12:00:00"
+    rows = [("old", month(m)) for m in range(70)] + [("new", month(m)) for m in range(30, 100)] + [(None, month(5))]
+    df = spark.createDataFrame(rows, "asset_id STRING, t STRING").select("asset_id", F.to_timestamp("t").alias("ts_utc"), F.year(F.to_timestamp("t")).alias("year"))
+    df.write.partitionBy("year").parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    split = forecasting.chronological_split(stored, by=["asset_id"])
+    counts = {(r.asset_id, r.split): r["count"] for r in split.groupBy("asset_id", "split").count().collect()}
+    parts = {"train": 48, "validation": 6, "test": 6}
+    assert counts == {**{(a, p): n for a in ("old", "new") for p, n in parts.items()}, (None, "train"): 1}
+    assert quality.check_split_bounds(split, "t", by=["asset_id"]).first().bad_rows == 0
+    assert quality.check_split_bounds(split, "t").first().bad_rows > 0
+    together = forecasting.chronological_split(stored)
+    assert together.where("asset_id = 'new' AND split = 'train'").count() == 18
+    assert quality.check_split_bounds(together, "t").first().bad_rows == 0
+    for frame in (split, together):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_clocks_that_are_not_those_of_their_instants(spark):
+    rows = [("2019-01-01 00:00:00", "2019-01-01 01:00:00"), ("2019-07-01 00:00:00", "2019-07-01 01:00:00"), ("2019-07-01 00:00:00", None)]
+    df = spark.createDataFrame(rows, "u STRING, l STRING").select(F.to_timestamp("u").alias("ts_utc"), F.to_timestamp_ntz("l").alias("ts_local"))
+    assert bad(quality.check_local_time(df, "t")) == {("local_time", "ts_local"): (1, "warn")}
+    figures = df.agg(F.count(F.lit(1)).alias("n_rows"), quality.clock_figure()).first().asDict()
+    assert bad(quality.report_figures(spark, figures, "t")) == {("local_time", "ts_local"): (1, "warn")}
+
+
 def test_best_round():
     assert best_round([5, 4, 3, 3.5, 3.4, 3.3], patience=3) == (3, True)
     assert best_round([5, 4, 3, 3.5], patience=3) == (3, False)
