@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sunledger.llm.common import identified, stored
 
-# Groups whose names may stand for one another in a sentence.
+# Groups whose names may stand for one another in a sentence; English, German, French, Spanish.
 IDENTITY_TERMS = (
     ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
@@ -28,11 +28,24 @@ IDENTITY_TERMS = (
     ("black", "white", "asian", "latino"),
     ("immigrants", "refugees", "foreigners", "locals"),
     ("old", "young", "disabled", "blind", "deaf"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("frauen", "männer"),
+    ("schwule", "lesben", "heterosexuelle"),
+    ("einwanderer", "flüchtlinge", "ausländer", "einheimische"),
+    ("musulmans", "chrétiens", "juifs", "bouddhistes", "athées"),
+    ("femmes", "hommes"),
+    ("immigrés", "réfugiés", "étrangers", "habitants"),
+    ("musulmanes", "cristianos", "judíos", "budistas", "ateos"),
+    ("mujeres", "hombres"),
+    ("inmigrantes", "refugiados", "extranjeros", "vecinos"),
 )
 # Labelled rows the fit uses at most, the smallest by the hashes of doc_id and text, and features it keeps at most.
 SAMPLE_ROWS = 20_000
 MOST_FEATURES = 4_000
 LEAST_ROWS = 3
+# Standard errors by which a feature's log odds must differ from none: of ten thousands of candidates, chance alone would bring
+# hundreds beyond two.
+LEAST_Z = 3.0
 PREFIXES = (4, 5)
 THRESHOLD = 0.3
 RIDGE = 1e-4
@@ -102,7 +115,7 @@ def chosen_features(sample: DataFrame, most: int = MOST_FEATURES) -> list[str]:
     n_bad, n_good = totals["n_bad"], totals["n"] - totals["n_bad"]
     odds = F.log((F.col("bad") + 0.5) / (F.lit(n_bad + 0.5) - F.col("bad") + 0.5)) - F.log((F.col("good") + 0.5) / (F.lit(n_good + 0.5) - F.col("good") + 0.5))
     error = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
-    best = counts.withColumn("z", F.round(F.abs(odds / error), 6)).where("z > 2").orderBy(F.desc("z"), "feature").limit(most)
+    best = counts.withColumn("z", F.round(F.abs(odds / error), 6)).where(F.col("z") > LEAST_Z).orderBy(F.desc("z"), "feature").limit(most)
     return [r["feature"] for r in best.select("feature").collect()]
 
 

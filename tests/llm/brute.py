@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -125,3 +127,38 @@ def contamination(texts: list[str | None], items: list[tuple[object, str | None]
                     found |= ids
         result.append((len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w)))
     return result
+
+
+def toxicity_scores(labelled: list[tuple[int, str]], texts: list[str | None], swapped, least=3, z=3.0, fairness=1.0) -> list[float]:
+    """Scores by a dense logistic fit on the features of (toxic, text); `swapped` gives a text's counterfactuals."""
+
+    def features(text):
+        words = set(re.findall(r"[^\W\d_]+", (text or "").lower()))
+        return words | {w[:n] + "*" for w in words for n in (4, 5) if len(w) > n}
+
+    found = [features(t) for _, t in labelled]
+    y = np.array([t for t, _ in labelled], float)
+    counts = [Counter(f for s, t in zip(found, y) if t == k for f in s) for k in (0, 1)]
+    n = [len(y) - y.sum(), y.sum()]
+    sure = {}
+    for f in counts[0].keys() | counts[1].keys():
+        good, bad = counts[0][f], counts[1][f]
+        if good + bad >= least:
+            odds = math.log((bad + 0.5) / (n[1] - bad + 1)) - math.log((good + 0.5) / (n[0] - good + 1))
+            sure[f] = round(abs(odds) / math.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5)), 6)
+    names = sorted(f for f in sure if sure[f] > z)
+    row = lambda s: np.array([f in s for f in names], float)
+    x = np.array([row(s) for s in found]).reshape(len(y), -1)
+    moves = [row(features(o)) - row(s) for (_, t), s in zip(labelled, found) for o in swapped(t)]
+    swaps = np.array([m for m in moves if m.any()]).reshape(-1, len(names))
+    prior = (y.sum() + 0.05) / (len(y) + 1)
+    w, bias = np.zeros(len(names)), math.log(prior / (1 - prior))
+    mean, square = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+    for t in range(1, 401):
+        error = (1 / (1 + np.exp(-(x @ w + bias))) - y) / len(y)
+        gradient = x.T @ error + 1e-4 * w + (2 * fairness * swaps.T @ (swaps @ w) / len(swaps) if len(swaps) else 0)
+        step = np.append(gradient, error.sum())
+        mean, square = 0.9 * mean + 0.1 * step, 0.999 * square + 0.001 * step**2
+        move = 0.05 * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-9)
+        w, bias = w - move[:-1], bias - move[-1]
+    return [1 / (1 + math.exp(-(row(features(t)) @ w + bias))) for t in texts]

@@ -408,6 +408,24 @@ def test_toxicity_without_labels_or_documents(spark, docs, rows, nothing):
     assert toxicity.score_texts(nothing, model).count() == 0
 
 
+def test_toxicity_scores_equal_a_plain_fit(spark, docs, rows):
+    """The query over the smallest tables, and sentences that name groups, next to a dense fit in plain Python."""
+    from sunledger.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    scored = {r.doc_id: r for r in QUERIES["op9_toxicity"](spark, folder).collect()}
+    seen = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if not scored[r.doc_id].held_out and r.toxic is not None}
+    want = brute.toxicity_scores([(y, texts[i]) for i, y in seen.items()], list(texts.values()), toxicity.counterfactuals)
+    assert [scored[i].score for i in texts] == pytest.approx(want, abs=1e-6)
+    docs_, labels = labelled(spark)
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    known = [(r.doc_id, r.text) for r in docs_.collect()]
+    model = toxicity.train(docs_, labels, F.lit(True))
+    want = brute.toxicity_scores([(toxic[i], t) for i, t in known], [t for _, t in known], toxicity.counterfactuals)
+    assert [model.score(t) for _, t in known] == pytest.approx(want, abs=1e-6)
+
+
 def test_toxicity_on_held_out_rows(spark):
     from sunledger.llm.queries import QUERIES
 
@@ -415,7 +433,7 @@ def test_toxicity_on_held_out_rows(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     scored = [(labels[r.doc_id], r.predicted) for r in QUERIES["op9_toxicity"](spark, folder).where("held_out").collect() if r.doc_id in labels]
     toxic = sum(y for y, _ in scored)
-    assert sum(y and p for y, p in scored) >= 0.85 * toxic and sum(p and not y for y, p in scored) <= 0.01 * len(scored)
+    assert sum(y and p for y, p in scored) >= 0.9 * toxic and sum(p and not y for y, p in scored) <= 0.01 * len(scored)
 
 
 # ---- 10
