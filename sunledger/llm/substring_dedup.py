@@ -21,6 +21,8 @@ from sunledger.llm.repeats import (
 )
 
 WINDOW_WORDS = 20
+# No run is halved below this many words.
+SHORTEST_RUN = 5
 
 
 def word_values(text: bytes) -> np.ndarray:
@@ -29,17 +31,29 @@ def word_values(text: bytes) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+def levels(window: int) -> list[int]:
+    """Lengths of the levels: the window and its halves, rounded up, shortest first (20 words: 5, 10, 20)."""
+    lengths = [window]
+    while lengths[0] > SHORTEST_RUN:
+        lengths.insert(0, (lengths[0] + 1) // 2)
+    return lengths
+
+
 def late_spans(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """(doc_id, _twin, start, end): word spans covered by windows whose words also start earlier.
 
-    Level 1, half the length: of the runs of window / 2 words, each window needs one (its anchor) to repeat; runs are
-    counted, and only rows of repeated ones live on. Level 2, the full length: stretches of windows with equal unions
-    are compared at once; every one but the first is late as a whole. A first one of several unions of the same run is
-    extended window by window: a window is late if its two hashes name an earlier place. Levels are shuffles on hashes,
-    so no group gathers in one task beyond what adaptive execution can split.
+    Level 1, the shortest length: a window can only repeat where one run in it (its anchor) does; runs are counted, and
+    only rows of repeated ones live on. Each level doubles the run of every stretch that lives, to the right where the
+    window has room, else to the left, and keeps what repeats at that length; it stops where no stretch is left. Last
+    level, the full length: stretches of windows with equal unions are compared at once; every one but the first is late
+    as a whole. A first one of several unions of the same run is extended window by window: a window is late if its two
+    hashes name an earlier place. Levels are shuffles on hashes, so no group gathers in one task beyond what adaptive
+    execution can split; from the second on they work on distinct stretches, not on their copies.
     """
-    anchors = repeated_anchors(anchor_rows(docs, word_values, max(1, window // 2), window))
-    unions = distinct_unions(anchors)
+    gram, *runs = levels(window)
+    runs = runs[:-1]
+    anchors = repeated_anchors(anchor_rows(docs, word_values, gram, window, runs))
+    unions = distinct_unions(anchors, runs)
     windows = stored(window_rows(with_heads(docs, unions.where("kinds > 1")), word_values, window), "windows")
     place = F.struct("doc_id", "pos")
     earliest = windows.groupBy("w1", "w2").agg(F.min(place).alias("earliest"), F.count(F.lit(1)).alias("c")).where("c > 1")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sunledger.llm.common import stored
 from sunledger.llm.repeats import (
-    MULTIPLIERS,
+    MULTIPLIER,
     anchor_rows,
     covered,
     distinct_unions,
@@ -72,7 +72,7 @@ def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
 def spread(gram: int) -> bytes:
     """The gram's hash as the first bytes of a key. Anchors have the smallest hashes around, so all of them are small; an
     odd factor deals them evenly over the ranges and keeps different hashes apart."""
-    return (gram * MULTIPLIERS[0] & (2**64 - 1)).to_bytes(8, "big")
+    return (gram * MULTIPLIER & (2**64 - 1)).to_bytes(8, "big")
 
 
 def pack_run(suffixes: list[Suffix]) -> bytes:

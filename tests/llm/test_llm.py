@@ -18,6 +18,7 @@ from sunledger.llm import (
     exact_dedup,
     mixing,
     pii,
+    repeats,
     simhash,
     substring_dedup,
     suffix_dedup,
@@ -438,13 +439,53 @@ def test_toxicity_on_held_out_rows(spark):
 
 # ---- 10
 def test_substring_dedup(docs, rows, nothing):
-    for window in (20, 3, 1):
+    for window in (20, 13, 3, 1):
         found = substring_dedup.dedup_substrings(docs, window).collect()
         want = [(i, *x) for (i, _), x in zip(rows, brute.removed_words(rows, window))]
         assert shown((r.doc_id, r.n_words, r.n_removed, brute.sha(r.kept)) for r in found) == shown(want)
     assert substring_dedup.dedup_substrings(nothing).count() == 0
 
 
+def test_levels_double_until_nothing_survives(spark):
+    """Survivors of each level, counted against what truly repeats at its length."""
+    assert substring_dedup.levels(20) == [5, 10, 20] and substring_dedup.levels(41) == [3, 6, 11, 21, 41]
+    rng = random.Random(3)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    shared = {size: text(size) for size in (7, 15, 30)}
+    texts = [" ".join(text(40) + shared[size] + text(40)) for size in shared for _ in range(2)]
+    docs = frame(spark, list(enumerate(texts)))
+    gram, *runs = substring_dedup.levels(20)
+    anchors = repeats.repeated_anchors(repeats.anchor_rows(docs, substring_dedup.word_values, gram, 20, runs[:-1]))
+    first = {r.doc_id for r in anchors.select("doc_id").collect()}
+    second = {r.doc_id for r in repeats.distinct_unions(anchors, runs[:-1]).select("head.doc_id").collect()}
+    third = {r.doc_id for r in substring_dedup.late_spans(docs).select("doc_id").collect()}
+    # Runs of 7, 15 and 30 words may live on at 5, those of 15 and 30 at 10, that of 30 alone repeats a window.
+    assert {4, 5} <= first <= set(range(6)) and len(first) > 2
+    assert {4, 5} <= second <= {2, 3, 4, 5} and third == {5}
+    assert substring_dedup.late_spans(frame(spark, [(1, texts[0]), (2, " ".join(text(90)))])).isEmpty()
+
+
+@pytest.mark.parametrize("values_of", [suffix_dedup.byte_values, substring_dedup.word_values])
+def test_unions_and_windows_of_thue_morse_texts_differ(values_of):
+    letters = ["ab"[bin(i).count("1") % 2] for i in range(2048)]
+    swapped = ["ba"["ab".index(c)] for c in letters]
+    gap = " " if values_of is substring_dedup.word_values else ""
+    one, two = (values_of(gap.join(t).encode()) for t in (letters, swapped))
+    start, end = np.array([0]), np.array([2048])
+    assert repeats.Rolling(one).hashes(start, end) == repeats.Rolling(two).hashes(start, end)
+    assert repeats.PrimeRolling(one).hashes(start, end) != repeats.PrimeRolling(two).hashes(start, end)
+    unions = [np.concatenate([p[1] for p in repeats.anchors_of(v, 1024, 2048)]) for v in (one, two)]
+    assert unions[0] != unions[1]
+
+
+@pytest.mark.parametrize("rolling", [repeats.Rolling, repeats.PrimeRolling])
+def test_hashes_depend_on_content_alone(rolling):
+    values = np.random.default_rng(1).integers(0, 2**63, 5000).astype(np.uint64)
+    at = np.arange(4900)
+    shifted = rolling(np.concatenate([values[:3], values])).hashes(at + 3, at + 80)
+    assert (rolling(values).hashes(at, at + 77) == shifted).all() and len(set(shifted.tolist())) == 4900
+
+
 def test_long_documents_are_cut_into_segments(spark, monkeypatch):
     from sunledger.llm import repeats
 
