@@ -154,25 +154,36 @@ class LoserTree:
             self.winner = run
 
 
-def repeated_windows(group: list[Suffix], window: int) -> Iterator[tuple[Suffix, list[tuple[int, int]]]]:
-    """For suffixes that share their gram: the windows (as ranges a..b of window numbers) that occur more than once."""
-    seen: dict[bytes, int] = {}
-    texts = [(s, s.left + s.key[8:]) for s in group]
-    if any(s.count == 1 for s in group):
-        for s, text in texts:
-            for j in range(len(text) - window + 1):
-                piece = text[j : j + window]
-                seen[piece] = seen.get(piece, 0) + s.count
-    for s, text in texts:
-        n = len(text) - window + 1
+def repeated_windows(group: list[Suffix], shared: list[int], window: int) -> Iterator[tuple[Suffix, list[tuple[int, int]]]]:
+    """For suffixes that share their gram, in suffix order: the windows (as ranges a..b of window numbers) that occur
+    more than once. `shared` is what each key shares with the one before.
+
+    A window with `l` bytes before the gram goes on for window - l bytes from there. Two suffixes agree on those exactly if
+    no neighbour between them shares less, so the known prefix lengths cut the order into blocks of equal right parts;
+    only within a block of several are the `l` bytes on the left compared."""
+    lead = np.array([len(s.left) for s in group])
+    last = np.array([len(s.left) + len(s.key) - 8 for s in group]) - window
+    count = np.array([s.count for s in group])
+    common = np.array(shared) - 8
+    late: list[list[int]] = [[] for _ in group]
+    for l in range(int(lead.max()), -1, -1) if (count == 1).any() else ():  # noqa: E741
+        members = np.flatnonzero((lead >= l) & (lead - l <= last))
+        block = np.cumsum(common < window - l)[members]
+        crowded = np.bincount(block)[block] > 1 if len(block) else block
+        alike: dict[tuple[int, bytes], list[int]] = {}
+        for i, b in zip(members[crowded > 0].tolist(), block[crowded > 0].tolist()):
+            left = group[i].left
+            alike.setdefault((b, left[len(left) - l :]), []).append(i)
+        for found in alike.values():
+            if len(found) > 1:
+                for i in found:
+                    late[i].append(len(group[i].left) - l)
+    for s, found, end in zip(group, late, last.tolist()):
         if s.count > 1:
-            yield s, [(0, n - 1)]
-            continue
-        late = [j for j in range(n) if seen[text[j : j + window]] > 1]
-        starts = [j for i, j in enumerate(late) if i == 0 or late[i - 1] != j - 1]
-        ends = [j for i, j in enumerate(late) if i == len(late) - 1 or late[i + 1] != j + 1]
-        if late:
-            yield s, list(zip(starts, ends))
+            yield s, [(0, end)]
+        elif found:
+            gaps = [i for i in range(1, len(found)) if found[i - 1] != found[i] - 1]
+            yield s, [(found[a], found[b - 1]) for a, b in zip([0, *gaps], [*gaps, len(found)])]
 
 
 def sorted_runs(heads: DataFrame, ranges: int, window: int) -> DataFrame:
@@ -220,13 +231,15 @@ def merged_decisions(runs: DataFrame, ranges: int, gram: int, window: int) -> Da
 
     def decide(packed: list[bytes]):
         group: list[Suffix] = []
+        prefixes: list[int] = []
         for suffix, shared in LoserTree(read_run(p) for p in packed):
             if group and shared < 8 + gram:
-                yield from repeated_windows(group, window)
-                group = []
+                yield from repeated_windows(group, prefixes, window)
+                group, prefixes = [], []
+            prefixes.append(shared if group else 0)
             group.append(suffix)
         if group:
-            yield from repeated_windows(group, window)
+            yield from repeated_windows(group, prefixes, window)
 
     def batch_of(packed: list[bytes]) -> pa.RecordBatch:
         rows = [(s.gram, s.union, [{"a": a, "b": b} for a, b in late]) for s, late in decide(packed)]
@@ -266,7 +279,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW_BYTES, gram: int = GRAM
     2. Each task sorts its suffixes and sends front-coded runs to the tasks that own their ranges. Ranges are those of
        the gram's hash, which stands before the suffix in the sort key: ranges are even without sampling, and equal
        windows meet in one task.
-    3. Runs are merged by loser trees. Neighbours that share a gram form a group, whose windows are compared byte by byte.
+    3. Runs are merged by loser trees. Neighbours that share a gram form a group; the prefix lengths that the trees carry
+       tell which of its windows agree from the gram on, and only those are compared on the left of it.
     4. The decisions go back to all occurrences.
     """
     anchors = repeated_anchors(anchor_rows(docs, byte_values, gram, window))

@@ -129,6 +129,27 @@ def test_loser_tree_merges_and_knows_prefixes(runs):
     assert all(n == suffix_dedup.common_prefix(a, b) for (a, _), (b, n) in zip(merged, merged[1:]))
 
 
+@given(st.lists(st.tuples(st.text("ab", max_size=6), st.text("ab", min_size=1, max_size=9), st.integers(1, 3)), min_size=1, max_size=12))
+@settings(max_examples=200, deadline=None)
+def test_prefix_lengths_decide_what_repeats(parts):
+    window, gram = 8, b"G" * 3
+    group = {(left, right): count for left, right, count in parts if len(left) + len(gram) + len(right) >= window}
+    suffixes = [suffix_dedup.Suffix(b"8 bytes " + gram + right.encode(), left.encode(), 1, k, c) for k, ((left, right), c) in enumerate(group.items())]
+    # As in the operator, a stretch ends where its last window would lose the gram.
+    suffixes = sorted((s for s in suffixes if len(s.key) - 8 <= window), key=lambda s: s.key)
+    if not suffixes:
+        return
+    shared = [0, *(suffix_dedup.common_prefix(a.key, b.key) for a, b in zip(suffixes, suffixes[1:]))]
+    times = {}
+    windows = [[(j - len(s.left), (s.left + s.key[8:])[j : j + window]) for j in range(len(s.left) + len(s.key) - 8 - window + 1)] for s in suffixes]
+    for s, found in zip(suffixes, windows):
+        for w in found:
+            times[w] = times.get(w, 0) + s.count
+    got = {s.union: {j for a, b in late for j in range(a, b + 1)} for s, late in suffix_dedup.repeated_windows(suffixes, shared, window)}
+    want = {s.union: {j for j, w in enumerate(found) if times[w] > 1} for s, found in zip(suffixes, windows)}
+    assert got == {u: js for u, js in want.items() if js}
+
+
 # ---- 3
 def test_exact_dedup(spark, docs, rows, nothing, tmp_path):
     got = exact_dedup.open_index(spark).add(docs).collect()
