@@ -21,8 +21,9 @@ from sunledger.llm.repeats import (
 )
 
 WINDOW_WORDS = 20
-# No run is halved below this many words.
-SHORTEST_RUN = 5
+# Runs of at most this many words are not halved: shorter ones repeat by chance almost everywhere, so that a level of them
+# rules nothing out and costs a shuffle of every row.
+SHORTEST_RUN = 10
 
 
 def word_values(text: bytes) -> np.ndarray:
@@ -32,7 +33,7 @@ def word_values(text: bytes) -> np.ndarray:
 
 
 def levels(window: int) -> list[int]:
-    """Lengths of the levels: the window and its halves, rounded up, shortest first (20 words: 5, 10, 20)."""
+    """Lengths of the levels: the window and its halves, rounded up, shortest first (20 words: 10, 20; 80 words: 10, 20, 40, 80)."""
     lengths = [window]
     while lengths[0] > SHORTEST_RUN:
         lengths.insert(0, (lengths[0] + 1) // 2)

@@ -158,27 +158,31 @@ def repeated_windows(group: list[Suffix], shared: list[int], window: int) -> Ite
     """For suffixes that share their gram, in suffix order: the windows (as ranges a..b of window numbers) that occur
     more than once. `shared` is what each key shares with the one before.
 
-    A window with `l` bytes before the gram goes on for window - l bytes from there. Two suffixes agree on those exactly if
-    no neighbour between them shares less, so the known prefix lengths cut the order into blocks of equal right parts;
-    only within a block of several are the `l` bytes on the left compared."""
-    lead = np.array([len(s.left) for s in group])
-    last = np.array([len(s.left) + len(s.key) - 8 for s in group]) - window
-    count = np.array([s.count for s in group])
-    common = np.array(shared) - 8
+    A window with `l` bytes before the gram goes on for window - l bytes from there. What a suffix shares with any other it
+    shares with a neighbour, so windows that go on for longer than that occur once. Of the rest, two agree from the gram
+    on exactly if no neighbour between them shares less; those are compared on the `l` bytes left of it."""
+    common = [n - 8 for n in shared] + [0]
+    lead = [len(s.left) for s in group]
+    last = [len(s.left) + len(s.key) - 8 - window for s in group]
     late: list[list[int]] = [[] for _ in group]
-    for l in range(int(lead.max()), -1, -1) if (count == 1).any() else ():  # noqa: E741
-        members = np.flatnonzero((lead >= l) & (lead - l <= last))
-        block = np.cumsum(common < window - l)[members]
-        crowded = np.bincount(block)[block] > 1 if len(block) else block
+    members: dict[int, list[int]] = {}
+    if any(s.count == 1 for s in group):
+        for i in range(len(group)):
+            for l in range(max(lead[i] - last[i], window - max(common[i], common[i + 1])), lead[i] + 1):  # noqa: E741
+                members.setdefault(l, []).append(i)
+    for l in sorted(members, reverse=True):  # noqa: E741
+        block = before = members[l][0]
         alike: dict[tuple[int, bytes], list[int]] = {}
-        for i, b in zip(members[crowded > 0].tolist(), block[crowded > 0].tolist()):
-            left = group[i].left
-            alike.setdefault((b, left[len(left) - l :]), []).append(i)
+        for i in members[l]:
+            if i != before and min(common[before + 1 : i + 1]) < window - l:
+                block = i
+            before = i
+            alike.setdefault((block, group[i].left[lead[i] - l :]), []).append(i)
         for found in alike.values():
             if len(found) > 1:
                 for i in found:
-                    late[i].append(len(group[i].left) - l)
-    for s, found, end in zip(group, late, last.tolist()):
+                    late[i].append(lead[i] - l)
+    for s, found, end in zip(group, late, last):
         if s.count > 1:
             yield s, [(0, end)]
         elif found:

@@ -460,7 +460,7 @@ def test_toxicity_on_held_out_rows(spark):
 
 # ---- 10
 def test_substring_dedup(docs, rows, nothing):
-    for window in (20, 13, 3, 1):
+    for window in (41, 20, 3):
         found = substring_dedup.dedup_substrings(docs, window).collect()
         want = [(i, *x) for (i, _), x in zip(rows, brute.removed_words(rows, window))]
         assert shown((r.doc_id, r.n_words, r.n_removed, brute.sha(r.kept)) for r in found) == shown(want)
@@ -469,21 +469,22 @@ def test_substring_dedup(docs, rows, nothing):
 
 def test_levels_double_until_nothing_survives(spark):
     """Survivors of each level, counted against what truly repeats at its length."""
-    assert substring_dedup.levels(20) == [5, 10, 20] and substring_dedup.levels(41) == [3, 6, 11, 21, 41]
+    assert substring_dedup.levels(20) == [10, 20] and substring_dedup.levels(41) == [6, 11, 21, 41]
     rng = random.Random(3)
     text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
-    shared = {size: text(size) for size in (7, 15, 30)}
-    texts = [" ".join(text(40) + shared[size] + text(40)) for size in shared for _ in range(2)]
+    shared = {size: text(size) for size in (14, 30, 60)}
+    texts = [" ".join(text(80) + shared[size] + text(80)) for size in shared for _ in range(2)]
     docs = frame(spark, list(enumerate(texts)))
-    gram, *runs = substring_dedup.levels(20)
-    anchors = repeats.repeated_anchors(repeats.anchor_rows(docs, substring_dedup.word_values, gram, 20, runs[:-1]))
+    gram, *runs = substring_dedup.levels(40)
+    assert [gram, *runs] == [10, 20, 40]
+    anchors = repeats.repeated_anchors(repeats.anchor_rows(docs, substring_dedup.word_values, gram, 40, runs[:-1]))
     first = {r.doc_id for r in anchors.select("doc_id").collect()}
     second = {r.doc_id for r in repeats.distinct_unions(anchors, runs[:-1]).select("head.doc_id").collect()}
-    third = {r.doc_id for r in substring_dedup.late_spans(docs).select("doc_id").collect()}
-    # Runs of 7, 15 and 30 words may live on at 5, those of 15 and 30 at 10, that of 30 alone repeats a window.
+    third = {r.doc_id for r in substring_dedup.late_spans(docs, 40).select("doc_id").collect()}
+    # Runs of 14, 30 and 60 words may live on at 10, those of 30 and 60 at 20, that of 60 alone repeats a window.
     assert {4, 5} <= first <= set(range(6)) and len(first) > 2
     assert {4, 5} <= second <= {2, 3, 4, 5} and third == {5}
-    assert substring_dedup.late_spans(frame(spark, [(1, texts[0]), (2, " ".join(text(90)))])).isEmpty()
+    assert substring_dedup.late_spans(frame(spark, [(1, texts[0]), (2, " ".join(text(90)))]), 40).isEmpty()
 
 
 @pytest.mark.parametrize("values_of", [suffix_dedup.byte_values, substring_dedup.word_values])
