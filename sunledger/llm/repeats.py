@@ -6,8 +6,8 @@ window can only repeat where its anchor's gram repeats. Neighbouring windows mos
 a whole stretch of windows, and the string that the stretch covers (its union) decides them together. Two stretches of
 equal unions hold equal windows; only where one gram has several unions must single windows be compared.
 
-What names a union or a window also counts modulo two primes: modulo 2^64 alone, texts of Thue-Morse shape lose bits for
-every multiplier.
+What names a union or a window also counts modulo a prime: modulo 2^64 alone, texts of Thue-Morse shape lose bits for every
+multiplier.
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ from sunledger.llm.common import identified, same_rows, stored
 # Windows of a document that are hashed at once; longer documents are cut so, with overlap, which bounds memory.
 SEGMENT = 1 << 17
 MULTIPLIER = 0x9E3779B97F4A7C15
-# (prime, base): two polynomial hashes of which every product fits in 64 bits.
-PRIMES = ((2**31 - 1, 1_327_217_885), (2**31 - 19, 861_505_417))
+# A prime of which every product fits in 64 bits and is reduced by a shift, and the bases of two polynomial hashes.
+PRIME = (1 << 31) - 1
+BASES = (1_327_217_885, 861_505_417)
 KEYS = ["doc_id", "_twin"]
 ANCHOR_SCHEMA = "gram long, union long, doc_id long, _twin long, first long, lead int, n int"
 ANCHORS = [("gram", pa.int64()), ("union", pa.int64()), ("doc_id", pa.int64()), ("_twin", pa.int64()), ("first", pa.int64()),
@@ -88,19 +89,22 @@ class Rolling:
 
 
 class PrimeRolling:
-    """The same, by two hashes modulo primes side by side in one word. Sums stay exact up to 2^33 values."""
+    """The same, by two polynomials modulo a prime, over either half of the values, side by side in one word. Sums stay exact
+    up to 2^32 values."""
 
     def __init__(self, values: np.ndarray):
+        prime, bits = np.uint64(PRIME), np.uint64(31)
         self.parts = []
-        for prime, base in PRIMES:
-            p = np.uint64(prime)
-            powers, inverse = Powers.of(base, prime, len(values) + 1)
+        for base, half in zip(BASES, (values >> np.uint64(33), values & prime)):
+            powers, inverse = Powers.of(base, PRIME, len(values) + 1)
+            terms = half * powers[: len(values)]
             sums = np.zeros(len(values) + 1, np.uint64)
-            np.cumsum(values % p * powers[: len(values)] % p, dtype=np.uint64, out=sums[1:])
-            self.parts.append((p, inverse, sums))
+            np.cumsum((terms & prime) + (terms >> bits), dtype=np.uint64, out=sums[1:])
+            self.parts.append((inverse, sums))
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        high, low = ((sums[end] - sums[start]) % p * inverse[start] % p for p, inverse, sums in self.parts)
+        prime = np.uint64(PRIME)
+        high, low = ((sums[end] - sums[start]) % prime * inverse[start] % prime for inverse, sums in self.parts)
         return mix(high << np.uint64(32) | low)
 
 
@@ -236,7 +240,7 @@ def lists_of(column: pa.Array) -> Iterator[dict[str, np.ndarray]]:
 
 
 def window_rows(heads: DataFrame, values_of: Callable[[bytes], np.ndarray], window: int) -> DataFrame:
-    """Every window of the listed unions, named by a hash modulo 2^64 and one modulo two primes."""
+    """Every window of the listed unions, named by a hash modulo 2^64 and one modulo a prime."""
 
     def run(batches):
         for batch in batches:
