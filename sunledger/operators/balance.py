@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions.scalars import at_least_zero
+from sunledger.operators.series import hour_key
 from sunledger.operators.sizing import join_dimension
 
 FACT_COLUMNS = (
@@ -35,10 +36,9 @@ def split_flows(df: DataFrame, pv: str = "pv_power_kw", load: str = "load_kw") -
 
 def energy_balance(pv: DataFrame, load: DataFrame) -> DataFrame:
     """PV and load on the same UTC hour. Both sides are unique on (asset_id, ts_utc), so the join key spreads
-    a hot asset over all its hours."""
-    joined = pv.select("asset_id", "ts_utc", "ts_local", "pv_power_kw").join(
-        load.select("asset_id", "ts_utc", "load_kw"), ["asset_id", "ts_utc"]
-    )
+    a hot asset over all its hours. Sides stored in the same number of buckets are joined without a shuffle."""
+    key = hour_key(pv, load)
+    joined = pv.select(*key, "ts_local", "pv_power_kw").join(load.select(*key, "load_kw"), key)
     return split_flows(joined).select(*FACT_COLUMNS)
 
 

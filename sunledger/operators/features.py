@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions.timeops import day_of_week, day_of_year, hour_of_day, is_weekend, local_date
-from sunledger.operators.series import in_ranges, lag_in_ranges, lag_rows, range_cuts
+from sunledger.operators.series import HOUR_KEY, hour_key, in_ranges, lag_in_ranges, lag_rows, range_cuts
 from sunledger.settings import LAGS, ROWS_PER_TASK
 
-SERIES_KEY = ["asset_id", "ts_utc"]
+SERIES_KEY = list(HOUR_KEY)
 WEATHER = ("ghi_w_m2", "temp_c", "cloud_pct", "wind_ms")
 MIX = ("solar_share", "hydro_share", "nuclear_share", "total_gen_mw")
 PRICE_LAGS = tuple(f"price_lag_{n}h" for n in LAGS)
@@ -53,8 +53,9 @@ def holiday_join(series: DataFrame, holidays: DataFrame) -> DataFrame:
 
 
 def _joined(series: DataFrame, side: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Left join on the hour; frames of `partitioned_by_range` join on their range as well, which the hour decides."""
-    key = [*SERIES_KEY, "_range"] if "_range" in series.columns else SERIES_KEY
+    """Left join on the hour; frames of `partitioned_by_range` and of `sources.bucketed` join on their range as well, which
+    the hour decides."""
+    key = hour_key(series, side)
     return series.join(side.select(*key, *columns), key, "left")
 
 
@@ -96,7 +97,10 @@ def lag_after_join(
 
 
 def _lag_features(sides: Sequence[DataFrame], join, lags, rows_per_task: int, together: bool) -> DataFrame:
-    """Lags over the joined sides. The cuts come from the first side alone, whose rows a left join keeps one to one."""
+    """Lags over the joined sides. The cuts come from the first side alone, whose rows a left join keeps one to one; if its
+    rows are stored with their ranges, those are taken."""
+    if "_range" in sides[0].columns:
+        return lag_rows(join(*sides), lags)
     if together:
         return lag_in_ranges(join(*partitioned_by_range(sides, rows_per_task)), lags)
     cuts = range_cuts(sides[0], ["asset_id"], "ts_utc", rows_per_task)
@@ -110,8 +114,8 @@ def pv_features(
     together: bool = False,
 ) -> DataFrame:
     """PV target with lags, calendar and weather; `together`: see `partitioned_by_range`."""
-    base = pv.select(*SERIES_KEY, "ts_local", "pv_power_kw")
-    sides = [base, weather.select(*SERIES_KEY, *WEATHER)]
+    base = pv.select(*hour_key(pv), "ts_local", "pv_power_kw")
+    sides = [base, weather.select(*hour_key(pv, weather), *WEATHER)]
     lags = {name: ("pv_power_kw", n) for name, n in zip(PV_LAGS, LAGS)}
     lagged = _lag_features(sides, pv_weather_join, lags, rows_per_task, together)
     return lagged.withColumns(
@@ -139,12 +143,12 @@ def price_features(
     lags can share the window of the mix lags.
     `day_ahead_safe` leaves out the one-hour price lag, which is not known a day ahead; `together`: see `partitioned_by_range`.
     """
-    base = prices.select(*SERIES_KEY, "ts_local", "price_eur_mwh", "price_eur_kwh")
+    base = prices.select(*hour_key(prices), "ts_local", "price_eur_mwh", "price_eur_kwh")
     sides = [
         base,
-        weather.select(*SERIES_KEY, *WEATHER),
-        load_forecast.select(*SERIES_KEY, "load_forecast_mw"),
-        genmix.select(*SERIES_KEY, *MIX),
+        weather.select(*hour_key(prices, weather), *WEATHER),
+        load_forecast.select(*hour_key(prices, load_forecast), "load_forecast_mw"),
+        genmix.select(*hour_key(prices, genmix), *MIX),
     ]
     lags = {name: ("price_eur_mwh", n) for name, n in zip(PRICE_LAGS, LAGS)}
     lags |= {name: (c, 24) for name, c in zip(MIX_LAGS, MIX)}

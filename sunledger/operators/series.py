@@ -11,10 +11,18 @@ from sunledger.functions.scalars import passed_cuts
 from sunledger.settings import LAGS, ROWS_PER_TASK
 
 KEYS = ("asset_id",)
+HOUR_KEY = ("asset_id", "ts_utc")
 # Sampled rows between two cuts of a long series: ranges vary by a sixth of their size.
 SAMPLES_PER_RANGE = 32
 
 
+def hour_key(*sides: DataFrame) -> list[str]:
+    """What frames of hours are joined on. If all of them carry `_range`, the hour's time range, it belongs to the key: it
+    changes no row, and sides that are partitioned or bucketed by (series, range) are joined where they are."""
+    ranged = all("_range" in side.columns for side in sides)
+    return [*HOUR_KEY, "_range"] if ranged else list(HOUR_KEY)
+
+
 def lag_rows(
     df: DataFrame,
     lags: Mapping[str, tuple[str, int]],
@@ -25,8 +33,11 @@ def lag_rows(
     """Add `name = column n rows earlier in the series` for each `name: (column, n)`. Runs no job.
 
     Rows are partitioned by series and time range, so no series is one task; see `in_ranges` and `lag_in_ranges`. Rows of
-    one instant are ordered by their values, so the answer is one whatever the partitions.
+    one instant are ordered by their values, so the answer is one whatever the partitions. Stored rows that carry their
+    `_range` (`sources.bucketed`) keep it as their range, and only the seams between ranges are shuffled.
     """
+    if "_range" in df.columns:
+        return lag_in_ranges(df.withColumn("_cuts", F.lit(1)), lags, keys, ts)
     return lag_in_ranges(in_ranges(df, range_cuts(df, keys, ts, rows_per_task), keys, ts), lags, keys, ts)
 
 

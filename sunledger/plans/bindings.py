@@ -17,6 +17,7 @@ from sunledger.operators.forecasting import chronological_split, forecast_rows,
 from sunledger.operators.staging import genmix_pivot
 from sunledger.session import pin_session, scratch_path
 from sunledger.settings import BATTERY_CAPACITIES_KWH
+from sunledger.sources.bucketed import bucket_count, read_bucketed, stage_bucketed
 from sunledger.sources.tables import scan_ordered
 
 # Event types as generation types; view/signup stand for PV, the other three for load.
@@ -265,6 +266,15 @@ class Bindings:
         df.write.parquet(path)
         return self.spark.read.parquet(path)
 
+    def bucketed(self, *frames: DataFrame, rows_per_bucket: int = 10_000) -> list[DataFrame]:
+        """The series stored in as many buckets as the first one's rows ask for."""
+        buckets, stored = bucket_count(frames[0].count(), rows_per_bucket), []
+        for df in frames:
+            staged = stage_bucketed(df, scratch_path(self.spark, "series"), buckets)
+            staged.publish()
+            stored.append(read_bucketed(self.spark, staged.path))
+        return stored
+
     @cached_property
     def price_mart(self) -> DataFrame:
         return self._stored(self.price_features, "price-features")

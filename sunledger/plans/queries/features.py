@@ -69,6 +69,11 @@ def pv_features(b: Bindings) -> DataFrame:
     return b.pv_features
 
 
+@query("SELECT * FROM pv_features")
+def pv_features_bucketed(b: Bindings) -> DataFrame:
+    return features.pv_features(*b.bucketed(b.supplier_hourly, b.supplier_weather))
+
+
 PRICE_FEATURE_SQL = f"""
 SELECT asset_id, ts_utc, ts_local, price_eur_mwh, price_eur_kwh, price_lag_1h, price_lag_24h, price_lag_168h,
   hour_of_day, day_of_week, is_weekend, is_holiday, ghi_w_m2, temp_c, cloud_pct, wind_ms, load_forecast_mw,
@@ -76,13 +81,24 @@ SELECT asset_id, ts_utc, ts_local, price_eur_mwh, price_eur_kwh, price_lag_1h, p
 """
 
 
-@query(PRICE_FEATURE_SQL)
-def price_features(b: Bindings) -> DataFrame:
-    return b.price_features.withColumns(
+def rounded_mix(table: DataFrame) -> DataFrame:
+    return table.withColumns(
         {**{c: F.round(c, 8) for c in MIX_LAGS.split()}, "total_gen_mw_lag24h": F.round("total_gen_mw_lag24h", 2)}
     )
 
 
+@query(PRICE_FEATURE_SQL)
+def price_features(b: Bindings) -> DataFrame:
+    return rounded_mix(b.price_features)
+
+
+@query(PRICE_FEATURE_SQL)
+def price_features_bucketed(b: Bindings) -> DataFrame:
+    """The same from series stored in buckets: joined where they are, lagged year by year, only the seams shuffled."""
+    prices, *sides = b.bucketed(b.price_hourly, b.price_weather, b.price_load_forecast, b.price_genmix)
+    return rounded_mix(features.price_features(prices, b.holidays, *sides))
+
+
 NAIVE_SQL = """
 SELECT asset_id, ts_utc, price_eur_mwh,
   lag(price_eur_mwh, {0}) OVER (PARTITION BY asset_id ORDER BY ts_utc) AS y_pred FROM price_hourly

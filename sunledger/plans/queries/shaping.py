@@ -337,15 +337,22 @@ def clip_nonnegative(b: Bindings) -> DataFrame:
 
 
 # ---- joins
-@query(
-    f"""
+BALANCE_SQL = f"""
 SELECT asset_id, ts_utc, ts_local, pv_power_kw, load_kw, {rounds(FLOW_COLUMNS, 2)} FROM balance
 """
-)
+
+
+@query(BALANCE_SQL)
 def energy_balance(b: Bindings) -> DataFrame:
     return rounded(b.balance, 2)
 
 
+@query(BALANCE_SQL)
+def energy_balance_bucketed(b: Bindings) -> DataFrame:
+    """The same from series stored in buckets of (asset, year): no shuffle is left."""
+    return rounded(balance.energy_balance(*b.bucketed(b.pv_hourly, b.load_hourly)), 2)
+
+
 @query(
     f"""
 SELECT asset_id, ts_utc, ts_local, pv_power_kw, load_kw, {rounds(FLOW_COLUMNS, 2)},

@@ -1,6 +1,7 @@
 """The whole path over stored tables: raw CSV -> staged series -> features and facts -> KPI marts -> forecasts.
 
-Raw, intermediate and mart tables are Parquet folders, staging stays lazy. Hourly tables are partitioned by year
+Raw, intermediate and mart tables are Parquet folders. Staging stays lazy, or is stored in buckets that many rebuilds join
+and lag without a shuffle (`store_staged`). Hourly tables are partitioned by year
 and sorted by (asset, hour) inside each file, so date and asset filters skip files and row groups.
 """
 
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 from sunledger.operators import balance, economics, evaluation, features, forecasting, quality, rollups, staging
 from sunledger.session import pin_session
-from sunledger.settings import ACCEPTED_RANGES, NOT_NULL, RAW_BOUNDS, UNIQUE_KEYS, ZONE
+from sunledger.settings import ACCEPTED_RANGES, NOT_NULL, RAW_BOUNDS, ROWS_PER_TASK, UNIQUE_KEYS, ZONE
+from sunledger.sources.bucketed import bucket_count, read_bucketed, stage_bucketed
 from sunledger.sources.schemas import RAW_TABLES
 from sunledger.sources.sinks import read_metrics, write_metrics
 from sunledger.sources.tables import SOURCE, read_raw_table, replace_table, restore_table, scan_ordered, stage_table
@@ -132,10 +134,33 @@ class Warehouse:
             "stg_entsoe_genmix": staging.genmix_pivot(raw("entsoe_genmix")),
         }
 
+    def store_staged(self, rows_per_bucket: int = ROWS_PER_TASK, unit: str = "year") -> dict[str, int]:
+        """Store the staged series in buckets by (asset, period), checked by figures of the pass that writes, and return
+        their rows. All have the same number of buckets, taken from the largest raw table; all are written and checked before
+        the first takes its place."""
+        frames, staged = self.staged(), {}
+        buckets = bucket_count(max(self.raw(name).count() for name in RAW_TABLES), rows_per_bucket)
+        try:
+            for name, df in frames.items():
+                figures = quality.column_figures(NOT_NULL[name], ACCEPTED_RANGES.get(name))
+                restore_table(self.spark, self.path(f"staged/{name}"))
+                staged[name] = stage_bucketed(df, self.path(f"staged/{name}"), buckets, unit=unit, figures=figures)
+            self._must_pass(quality.all_checks([quality.report_figures(self.spark, s.figures, name) for name, s in staged.items()]))
+            for s in staged.values():
+                s.publish()
+        finally:
+            for s in staged.values():
+                s.discard()
+        return {name: s.figures["n_rows"] for name, s in staged.items()}
+
+    def stored_series(self) -> dict[str, DataFrame]:
+        return {name: read_bucketed(self.spark, self.path(f"staged/{name}")) for name in self.staged()}
+
     # ---- intermediate tables and marts
-    def build(self, assets: DataFrame, holidays: DataFrame) -> dict[str, int]:
-        """Write the tables that others read, each from the stored one before it."""
-        stg = self.staged()
+    def build(self, assets: DataFrame, holidays: DataFrame, from_stored: bool = False) -> dict[str, int]:
+        """Write the tables that others read, each from the stored one before it; `from_stored`: the first from the buckets of
+        `store_staged`, which must be newer than the raw tables."""
+        stg = self.stored_series() if from_stored else self.staged()
         rows = {}
         rows["int_hourly_energy_balance"] = self._store(
             "int_hourly_energy_balance",

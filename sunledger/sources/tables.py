@@ -113,26 +113,40 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def stage_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), figures: Sequence[Column] = ()
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    figures: Sequence[Column] = (),
+    buckets: tuple[int, Sequence[str]] | None = None,
 ) -> Staged:
     """Write `df` as Parquet beside `path`; whatever is at `path` stays. `figures` are aggregates (with names) that the one
     pass of the write observes; `n_rows` always is. They are taken in the stage that writes, whose tasks count once, also
     when executors are lost.
 
     With `partition_by`, rows are first rebalanced by those columns: a folder is written by few tasks instead of
-    by every task, and adaptive execution splits a folder that is too large for one.
+    by every task, and adaptive execution splits a folder that is too large for one. With `buckets` (number, columns), each
+    bucket is one file.
     """
     out, beside = df, f"{path}{_NEXT}{uuid.uuid4().hex}"
     if partition_by:
         out = out.hint("rebalance", *partition_by)
-    if sort_by:
+    if buckets:
+        out = out.repartition(buckets[0], *buckets[1])
+    elif sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
     seen = Observation(f"write of {path}")
     writer = out.observe(seen, F.count(F.lit(1)).alias("n_rows"), *figures).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     try:
-        writer.parquet(beside)
+        if buckets:
+            # Only a table of the catalog can be written in buckets; its name goes, the files stay.
+            name = f"staged_{uuid.uuid4().hex}"
+            writer.bucketBy(buckets[0], *buckets[1]).sortBy(*sort_by).option("path", beside).saveAsTable(name)
+            df.sparkSession.sql(f"DROP TABLE {name}")
+        else:
+            writer.parquet(beside)
     except BaseException:
         Staged(df.sparkSession, path, beside, {}).discard()
         raise
