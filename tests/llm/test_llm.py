@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 
@@ -282,6 +283,29 @@ def test_events_fold_into_final_messages(spark):
     assert chat.format_conversations(frame_.where("1 = 0")).count() == 0
 
 
+def test_conversations_as_a_log_read_back(spark):
+    """Null and empty texts, texts beyond one delta, repeated rows, tied turns, no conv_id, clashing columns, no rows."""
+    talks = [
+        (1, 0, "user", "é\n" * 7), (1, 1, "assistant", "</s>[INST] ok"), (1, 1, "assistant", "</s>[INST] ok"), (1, 1, "assistant", None),
+        (2, 0, "assistant", ""), (2, 0, "user", "b"), (None, 0, "user", "x" * 11), (3, None, "assistant", "late"), (3, 0, "user", None),
+    ]
+    schema = "conv_id LONG, turn LONG, role STRING, text STRING, seq LONG, kind STRING, part STRING"
+    table = spark.createDataFrame([(*t, 5, "noise", "clash") for t in talks], schema)
+    got = chat.conversation_digests(chat.format_conversations(chat.as_log(table.repartition(3), delta_chars=4))).collect()
+    want = {}
+    for conv, turn, role, text in sorted(talks, key=lambda t: (t[1] is not None, t[1] or 0, t[2], t[3] or "")):
+        want.setdefault(conv, []).append((role, text or ""))
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    assert len(got) == len(want) == 4
+    for r in got:
+        turns = want[r.conv_id]
+        said = "".join(text for role, text in turns if role == "assistant")
+        assert (r.n_turns, r.turns_sha256) == (len(turns), sha("".join(f"{role}\n{text}\n" for role, text in turns)))
+        assert (r.loss_chars, r.loss_sha256) == (len(said), sha(said))
+        assert r.formatted_chars == sum(len(chat.render(*t)[0]) for t in turns)
+    assert chat.conversation_digests(chat.format_conversations(chat.as_log(table.where("1 = 0")))).count() == 0
+
+
 # ---- 6
 def test_contamination(spark, docs, rows, nothing):
     words = (dict(rows)[70]).split()
