@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from sunledger.operators import forecasting
+from sunledger.operators import boosting, forecasting
 
 
 @pytest.fixture(scope="module")
@@ -85,3 +86,44 @@ def test_trees_are_fitted_on_few_partitions(spark, split, monkeypatch):
     forecasting.train_price(split.repartition(200), "v", rounds=2, patience=2, depth=2)
     assert parts and max(parts) <= spark.sparkContext.defaultParallelism
     assert forecasting.fit_partitions(spark, 10**7, 10**6) == max(10, spark.sparkContext.defaultParallelism)
+
+
+def test_a_block_of_rounds_is_one_job(spark, split):
+    """Rows that one task can hold grow all trees of a block together: jobs do not follow the trees, nor their levels."""
+    context, jobs = spark.sparkContext, {}
+    for rounds in (3, 12):
+        context.setJobGroup(f"fit {rounds}", "")
+        trained = forecasting.train_price(split, "v", rounds=rounds, patience=12, depth=4, learning_rate=0.3)
+        jobs[rounds] = len(context.statusTracker().getJobIdsForGroup(f"fit {rounds}"))
+        assert trained.model.stages[-1].trees
+    context.setJobGroup("others", "")
+    assert 0 < jobs[12] <= jobs[3] + 2 < 12 * 4
+
+
+@pytest.mark.parametrize("rows_per_task", [10_000, 300])
+def test_trees_are_those_of_spark_ml(spark, split, monkeypatch, rows_per_task):
+    """With all rows and all features in every tree, in one task or level by level, stored again on the way."""
+    monkeypatch.setattr(boosting, "STORED_EVERY", 2)
+    monkeypatch.setattr(boosting, "SUMMED_BY_DRIVER", 2)
+    options = {"rounds": 5, "patience": 20, "depth": 3, "learning_rate": 0.3, "row_sample": 1.0, "column_sample": 1.0}
+    all_rows = split.withColumn("split", F.when(F.col("split") == "validation", "train").otherwise(F.col("split"))).repartition(4)
+    ours = forecasting.train_price(all_rows, "v", rows_per_task=rows_per_task, **options)
+    prepare, trees = PipelineModel(stages=ours.model.stages[:-1]), ours.model.stages[-1]
+    doubles = [F.col(c).cast("double").alias(c) for c in ours.features]
+    rows = prepare.transform(all_rows.where("split = 'train'").select(*doubles, F.col("price_eur_mwh").alias("label")))
+    theirs = GBTRegressor(maxIter=5, maxDepth=3, stepSize=0.3, subsamplingRate=1.0, featureSubsetStrategy="all").fit(rows)
+    assert trees.getNumTrees == theirs.getNumTrees == 5 and trees.treeWeights == theirs.treeWeights
+    predicted = [[r.prediction for r in m.transform(rows.coalesce(1)).collect()] for m in (trees, theirs)]
+    assert predicted[0] == pytest.approx(predicted[1], rel=1e-9)
+    assert trees.featureImportances.toArray() == pytest.approx(theirs.featureImportances.toArray(), rel=1e-6)
+    ours_root, theirs_root = (m.trees[1]._java_obj.rootNode() for m in (trees, theirs))
+    assert ours_root.impurity() == pytest.approx(theirs_root.impurity()) and ours_root.gain() == pytest.approx(theirs_root.gain())
+
+
+def test_trees_by_level_stop_early_like_trees_of_one_task(split):
+    """Blocks that go on over rows of several tasks: the same trees, as no rows are drawn."""
+    options = {"rounds": 12, "patience": 2, "depth": 2, "learning_rate": 0.3, "row_sample": 1.0}
+    here, spread = (forecasting.train_price(split, "v", rows_per_task=n, **options) for n in (10_000, 300))
+    assert here.model.stages[-1].getNumTrees == spread.model.stages[-1].getNumTrees
+    mae = lambda m: forecasting.score_test_window(split, m).agg(F.avg(F.abs(F.col("y_pred") - F.col("price_eur_mwh")))).first()[0]
+    assert mae(here) == pytest.approx(mae(spread), rel=1e-9)
